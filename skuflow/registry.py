@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.operators import detail, questions
+from skuflow.operators import abc, deadstock, detail, questions, scorecard, turnover
+from skuflow.oracle import analysis as a_sql
 from skuflow.oracle import questions as q_sql
 from skuflow.sources.tpch import bind
 
@@ -35,10 +36,19 @@ def queries() -> dict[str, QueryFn]:
         "supplier_reliability": _on_model(questions.supplier_reliability),
         "dead_stock_value": _on_model(questions.dead_stock_value),
         "reorder_recommendations": _on_model(questions.reorder_recommendations),
+        "abc_classification": _on_model(abc.classify_abc),
+        "abc_summary": _on_model(abc.abc_summary),
+        "inventory_turnover": _on_model(turnover.inventory_turnover),
+        "supplier_scorecard": _on_model(scorecard.supplier_scorecard),
+        "scorecard_audit": _on_model(scorecard.scorecard_audit),
+        "dead_stock_detail": _on_model(deadstock.dead_stock_detail),
+        "dead_stock_summary": _on_model(deadstock.dead_stock_summary),
+        "dead_stock_by_category": _on_model(deadstock.dead_stock_by_category),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(q_sql.SQL)
+    out.update(a_sql.SQL)
     return out
