@@ -36,9 +36,20 @@ def _reliability_m(supplier_id):
     return F.greatest(supplier_id % 10 - 5, F.lit(0))
 
 
-def bind(spark: SparkSession, sf_dir: str) -> Model:
-    src = read_sources(spark, sf_dir)
-    return bind_frames(src)
+_BOUND: dict[tuple[str, str], Model] = {}
+
+
+def bind(spark: SparkSession, sf_dir: str, cache: bool = True) -> Model:
+    """The model over ``sf_dir``.  Plans are lazy, so one bound model is shared
+    by every query of the same application (building it costs thousands of
+    driver-JVM round trips)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if cache and key in _BOUND:
+        return _BOUND[key]
+    model = bind_frames(read_sources(spark, sf_dir))
+    if cache:
+        _BOUND[key] = model
+    return model
 
 
 def bind_frames(src: dict[str, DataFrame]) -> Model:
