@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skuflow.operators import abc, deadstock, detail, questions, scorecard, turnover
 from skuflow.oracle import analysis as a_sql
+from skuflow.oracle import star as star_sql
+from skuflow.plans import star
 from skuflow.oracle import questions as q_sql
 from skuflow.sources.tpch import bind
 
@@ -44,6 +46,15 @@ def queries() -> dict[str, QueryFn]:
         "dead_stock_detail": _on_model(deadstock.dead_stock_detail),
         "dead_stock_summary": _on_model(deadstock.dead_stock_summary),
         "dead_stock_by_category": _on_model(deadstock.dead_stock_by_category),
+        "dim_date": _on_model(star.dim_date),
+        "dim_product": _on_model(star.dim_product),
+        "dim_supplier": _on_model(star.dim_supplier),
+        "dim_warehouse": _on_model(star.dim_warehouse),
+        "fact_sales": _on_model(star.fact_sales),
+        "fact_inventory": _on_model(star.fact_inventory),
+        "fact_purchase_orders": _on_model(star.fact_purchase_orders),
+        "star_checks": _on_model(lambda m: star.star_checks(star.build_star(m))),
+        "star_verdict": _on_model(lambda m: star.verdict(star.star_checks(star.build_star(m)))),
     }
 
 
@@ -51,4 +62,5 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(q_sql.SQL)
     out.update(a_sql.SQL)
+    out.update(star_sql.SQL)
     return out
