@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from skuflow.operators import abc, deadstock, detail, questions, scorecard, turnover
 from skuflow.oracle import analysis as a_sql
 from skuflow.oracle import star as star_sql
-from skuflow.plans import star
+from skuflow.oracle import measures as m_sql
+from skuflow.plans import measures, star, timeintel
 from skuflow.oracle import questions as q_sql
 from skuflow.sources.tpch import bind
 
@@ -55,6 +56,12 @@ def queries() -> dict[str, QueryFn]:
         "fact_purchase_orders": _on_model(star.fact_purchase_orders),
         "star_checks": _on_model(lambda m: star.star_checks(star.build_star(m))),
         "star_verdict": _on_model(lambda m: star.verdict(star.star_checks(star.build_star(m)))),
+        **{name: _on_model(measures.measure_view, name=name) for name in measures.MEASURE_VIEWS},
+        "class_a_share_by_category": _on_model(measures.class_a_share, by=["category"]),
+        "class_a_share_by_warehouse": _on_model(measures.class_a_share, by=["warehouse_name"]),
+        "revenue_time_intelligence": _on_model(timeintel.revenue_time_intelligence),
+        "revenue_time_intelligence_by_warehouse": _on_model(timeintel.revenue_time_intelligence,
+                                                            by=["warehouse_name"]),
     }
 
 
@@ -63,4 +70,10 @@ def oracle_sql() -> dict[str, str]:
     out.update(q_sql.SQL)
     out.update(a_sql.SQL)
     out.update(star_sql.SQL)
+    for name, (families, by) in measures.MEASURE_VIEWS.items():
+        out[name] = m_sql.view_sql(families, measures.view_measures(families), by)
+    out["class_a_share_by_category"] = m_sql.class_a_share_sql(["category"], True)
+    out["class_a_share_by_warehouse"] = m_sql.class_a_share_sql(["warehouse_name"], False)
+    out["revenue_time_intelligence"] = m_sql.time_intelligence_sql([])
+    out["revenue_time_intelligence_by_warehouse"] = m_sql.time_intelligence_sql(["warehouse_name"])
     return out
