@@ -25,17 +25,21 @@ def order_revenue(m: Model) -> DataFrame:
         F.sum(F.col("quantity") * F.col("price_cents")).alias("order_revenue_cents"))
 
 
-def warehouse_performance(m: Model) -> DataFrame:
-    """Orders of every status; orders without lines drop out (inner join)."""
+def warehouse_totals(m: Model) -> DataFrame:
+    """C1 aggregate in exact cents (before presentation)."""
     per_order = m.orders.join(order_revenue(m), "order_id")
-    agg = per_order.groupBy("warehouse_id").agg(
+    return per_order.groupBy("warehouse_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
         money_sum(F.col("order_revenue_cents")).alias("revenue_cents"),
         F.count_if(F.col("status") == "Returned").alias("returned"),
         F.count_if(F.col("status") == "Cancelled").alias("cancelled"),
     )
+
+
+def warehouse_performance(m: Model) -> DataFrame:
+    """Orders of every status; orders without lines drop out (inner join)."""
     return (
-        agg.join(_warehouse_names(m), "warehouse_id")
+        warehouse_totals(m).join(_warehouse_names(m), "warehouse_id")
         .select(
             "warehouse_id", "warehouse_name", "region", "total_orders",
             dollars(F.col("revenue_cents")).alias("total_revenue"),

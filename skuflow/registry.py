@@ -10,13 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.operators import abc, deadstock, detail, questions, scorecard, turnover
+from skuflow.operators import abc, deadstock, detail, quality, questions, scorecard, turnover
 from skuflow.oracle import analysis as a_sql
 from skuflow.oracle import star as star_sql
 from skuflow.oracle import measures as m_sql
+from skuflow.oracle import quality as dq_sql
 from skuflow.plans import measures, star, timeintel
 from skuflow.oracle import questions as q_sql
-from skuflow.sources.tpch import bind
+from skuflow.sources.tpch import bind, read_sources
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,16 @@ def _on_model(fn, **params) -> QueryFn:
     return run
 
 
+def _row_counts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = bind(spark, sf_dir)
+    src = read_sources(spark, sf_dir)
+    return quality.row_count_checks(m, quality.expected_counts_from_sources(m, src))
+
+
+def _labels(m):
+    return quality.label_checks(star.dim_product(m), star.dim_supplier(m))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "sales_detail": _on_model(detail.sales_detail),
@@ -60,6 +71,24 @@ def queries() -> dict[str, QueryFn]:
         "class_a_share_by_category": _on_model(measures.class_a_share, by=["category"]),
         "class_a_share_by_warehouse": _on_model(measures.class_a_share, by=["warehouse_name"]),
         "revenue_time_intelligence": _on_model(timeintel.revenue_time_intelligence),
+        "dq_pk": _on_model(quality.pk_checks),
+        "dq_not_null": _on_model(quality.not_null_checks),
+        "dq_check": _on_model(quality.check_constraints),
+        "dq_domain": _on_model(quality.domain_checks),
+        "dq_fk": _on_model(quality.fk_checks),
+        "dq_fk_violations": _on_model(quality.fk_violation_sample),
+        "dq_row_counts": _row_counts_check,
+        "dq_dates_window": _on_model(quality.date_window_check),
+        "dq_on_time_share": _on_model(quality.on_time_share),
+        "dq_stockout_share": _on_model(quality.stockout_share),
+        "dq_dead_share": _on_model(quality.dead_share),
+        "dq_top20_share": _on_model(quality.top20_share),
+        "dq_po_dates": _on_model(quality.po_date_check),
+        "dq_basket_stability": _on_model(quality.basket_stability),
+        "dq_month_basket_corr": _on_model(quality.month_basket_corr),
+        "dq_revenue_reconcile": _on_model(quality.revenue_reconcile),
+        "dq_dead_reconcile": _on_model(quality.dead_reconcile),
+        "dq_labels": _on_model(_labels),
         "revenue_time_intelligence_by_warehouse": _on_model(timeintel.revenue_time_intelligence,
                                                             by=["warehouse_name"]),
     }
@@ -70,6 +99,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(q_sql.SQL)
     out.update(a_sql.SQL)
     out.update(star_sql.SQL)
+    out.update(dq_sql.SQL)
     for name, (families, by) in measures.MEASURE_VIEWS.items():
         out[name] = m_sql.view_sql(families, measures.view_measures(families), by)
     out["class_a_share_by_category"] = m_sql.class_a_share_sql(["category"], True)
