@@ -10,10 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.operators import abc, deadstock, detail, quality, questions, scorecard, turnover
+from skuflow.operators import abc, deadstock, detail, profile, quality, questions, scorecard, turnover
 from skuflow.oracle import analysis as a_sql
 from skuflow.oracle import star as star_sql
 from skuflow.oracle import measures as m_sql
+from skuflow.oracle import profile as r_sql
 from skuflow.oracle import quality as dq_sql
 from skuflow.plans import measures, star, timeintel
 from skuflow.oracle import questions as q_sql
@@ -89,6 +90,10 @@ def queries() -> dict[str, QueryFn]:
         "dq_revenue_reconcile": _on_model(quality.revenue_reconcile),
         "dq_dead_reconcile": _on_model(quality.dead_reconcile),
         "dq_labels": _on_model(_labels),
+        "stock_thresholds": _on_model(profile.stock_thresholds),
+        "demand_percentile": _on_model(profile.demand_percentile),
+        "seasonal_index": _on_model(profile.seasonal_index),
+        "order_mix_profile": _on_model(profile.order_mix_profile),
         "revenue_time_intelligence_by_warehouse": _on_model(timeintel.revenue_time_intelligence,
                                                             by=["warehouse_name"]),
     }
@@ -100,6 +105,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(a_sql.SQL)
     out.update(star_sql.SQL)
     out.update(dq_sql.SQL)
+    out.update(r_sql.SQL)
     for name, (families, by) in measures.MEASURE_VIEWS.items():
         out[name] = m_sql.view_sql(families, measures.view_measures(families), by)
     out["class_a_share_by_category"] = m_sql.class_a_share_sql(["category"], True)
