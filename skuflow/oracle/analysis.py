@@ -7,7 +7,7 @@ SQL: dict[str, str] = {}
 
 _DELIVERED_FACTS = """
 q_f AS (
-    SELECT o.order_date, o.warehouse_id, ol.product_id, ol.quantity,
+    SELECT o.order_date, o.warehouse_id, ol.order_id, ol.product_id, ol.quantity,
            ol.quantity * ol.price_cents AS rc
     FROM b_order_lines ol JOIN b_orders o ON o.order_id = ol.order_id
     WHERE o.status = 'Delivered'

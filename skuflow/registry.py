@@ -10,10 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skuflow.operators import abc, deadstock, detail, profile, quality, questions, scorecard, turnover
+from skuflow.operators import abc, deadstock, detail, kpis, profile, quality, questions, scorecard, turnover
 from skuflow.oracle import analysis as a_sql
 from skuflow.oracle import star as star_sql
 from skuflow.oracle import measures as m_sql
+from skuflow.oracle import kpis as k_sql
 from skuflow.oracle import profile as r_sql
 from skuflow.oracle import quality as dq_sql
 from skuflow.plans import measures, star, timeintel
@@ -94,6 +95,12 @@ def queries() -> dict[str, QueryFn]:
         "demand_percentile": _on_model(profile.demand_percentile),
         "seasonal_index": _on_model(profile.seasonal_index),
         "order_mix_profile": _on_model(profile.order_mix_profile),
+        "headline_kpis": _on_model(kpis.headline_kpis),
+        "monthly_revenue": _on_model(kpis.monthly_revenue),
+        "monthly_revenue_pivot": _on_model(kpis.monthly_revenue_pivot),
+        "warehouse_scale_quality": _on_model(kpis.warehouse_scale_quality),
+        "query_headlines": _on_model(kpis.query_headlines),
+        "report_facts": _on_model(kpis.report_facts),
         "revenue_time_intelligence_by_warehouse": _on_model(timeintel.revenue_time_intelligence,
                                                             by=["warehouse_name"]),
     }
@@ -106,6 +113,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(star_sql.SQL)
     out.update(dq_sql.SQL)
     out.update(r_sql.SQL)
+    out.update(k_sql.SQL)
     for name, (families, by) in measures.MEASURE_VIEWS.items():
         out[name] = m_sql.view_sql(families, measures.view_measures(families), by)
     out["class_a_share_by_category"] = m_sql.class_a_share_sql(["category"], True)
