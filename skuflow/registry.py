@@ -14,10 +14,11 @@ from skuflow.operators import abc, deadstock, detail, kpis, profile, quality, qu
 from skuflow.oracle import analysis as a_sql
 from skuflow.oracle import star as star_sql
 from skuflow.oracle import measures as m_sql
+from skuflow.oracle import feeds as b_sql
 from skuflow.oracle import kpis as k_sql
 from skuflow.oracle import profile as r_sql
 from skuflow.oracle import quality as dq_sql
-from skuflow.plans import measures, star, timeintel
+from skuflow.plans import feeds, measures, star, timeintel
 from skuflow.oracle import questions as q_sql
 from skuflow.sources.tpch import bind, read_sources
 
@@ -101,6 +102,18 @@ def queries() -> dict[str, QueryFn]:
         "warehouse_scale_quality": _on_model(kpis.warehouse_scale_quality),
         "query_headlines": _on_model(kpis.query_headlines),
         "report_facts": _on_model(kpis.report_facts),
+        "feed_exec_kpis": _on_model(feeds.feed_exec_kpis),
+        "feed_revenue_by_category": _on_model(feeds.feed_revenue_by_category),
+        "feed_warehouse_matrix": _on_model(feeds.feed_warehouse_matrix),
+        "feed_inventory_by_class": _on_model(feeds.feed_inventory_by_class),
+        "feed_turnover_vs_value": _on_model(feeds.feed_turnover_vs_value),
+        "feed_below_reorder": _on_model(feeds.feed_below_reorder),
+        "feed_late_rate_monthly": _on_model(feeds.feed_late_rate_monthly),
+        "pareto_curve": _on_model(feeds.pareto_curve),
+        "pareto_crossing": _on_model(feeds.pareto_crossing),
+        "stock_health_mix": _on_model(feeds.stock_health_mix),
+        "dashboard_top_products": _on_model(feeds.dashboard_top_products),
+        "dashboard_bottom_suppliers": _on_model(feeds.dashboard_bottom_suppliers),
         "revenue_time_intelligence_by_warehouse": _on_model(timeintel.revenue_time_intelligence,
                                                             by=["warehouse_name"]),
     }
@@ -114,6 +127,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(dq_sql.SQL)
     out.update(r_sql.SQL)
     out.update(k_sql.SQL)
+    out.update(b_sql.SQL)
     for name, (families, by) in measures.MEASURE_VIEWS.items():
         out[name] = m_sql.view_sql(families, measures.view_measures(families), by)
     out["class_a_share_by_category"] = m_sql.class_a_share_sql(["category"], True)
