@@ -8,13 +8,15 @@ the denominator is zero.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
     "EXACT", "exact", "money_sum", "dollars", "safe_div", "round_ratio",
     "round_half_even", "round_half_up", "date_key", "year_month", "pct",
-    "pearson", "money_label", "to_date_col",
+    "pearson", "money_label", "to_date_col", "scalar_row",
 ]
 
 EXACT = "decimal(38,0)"
@@ -104,3 +106,14 @@ def money_label(x: Column) -> Column:
 def to_date_col(c: Column) -> Column:
     """Text or timestamp to DATE (ISO-8601 text is the reference's storage form)."""
     return F.to_date(c)
+
+
+def scalar_row(one_row: DataFrame) -> Callable[[str], Column]:
+    """Fields of a one-row aggregate as lazy scalars.
+
+    All fields come from ONE scalar subquery returning a struct, so the
+    aggregate runs once however many of its fields a plan uses (separate
+    ``.scalar()`` calls would each re-run it).
+    """
+    sub = one_row.select(F.struct(*one_row.columns).alias("r")).scalar()
+    return sub.getField

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import EXACT, dollars, exact, money_sum, pct
-from skuflow.operators.prefix import ROWS_PER_RANGE, running_totals
+from skuflow.operators.prefix import ROWS_PER_RANGE, row_bound, running_totals
 from skuflow.sources.model import Model
 
 _SCALE = 10 ** 6
@@ -63,7 +63,7 @@ def _product_bound(m: Model) -> int:
 
     Counting the dimension avoids aggregating the facts just to size the plan.
     """
-    return m.products.select("product_id").count()
+    return row_bound(m.products)
 
 
 def classify_abc(m: Model, a_threshold: float = 0.80, b_threshold: float = 0.95,

@@ -24,6 +24,21 @@ from pyspark.sql import functions as F
 ROWS_PER_RANGE = 2_000_000
 SAMPLE_PER_RANGE = 64
 
+_BOUNDS: dict[int, tuple[DataFrame, int]] = {}
+
+
+def row_bound(df: DataFrame) -> int:
+    """Row count of a (dimension) DataFrame, computed once per DataFrame object.
+
+    Used as the upper bound that sizes ``running_totals``; for a Parquet-backed
+    dimension it is answered from file metadata.
+    """
+    hit = _BOUNDS.get(id(df))
+    if hit is None or hit[0] is not df:
+        hit = (df, df.count())
+        _BOUNDS[id(df)] = hit
+    return hit[1]
+
 
 def _after(keys: list[tuple[str, bool]], bound: tuple) -> Column:
     """True when a row sorts at or after ``bound`` in the (col, descending) key order."""

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.operators.prefix import running_totals
+from skuflow.operators.prefix import row_bound, running_totals
 from skuflow.sources.model import Model
 
 # Fixed values of the threshold formula.
@@ -64,7 +64,7 @@ def demand_percentile(m: Model) -> DataFrame:
     """
     units = _units_per_product(m)
     per_value = units.groupBy("units_sold").agg(F.count(F.lit(1)).alias("ties"))
-    bound = m.products.select("product_id").count()
+    bound = row_bound(m.products)
     ranked = running_totals(per_value, [("units_sold", False)], "ties", row_bound=bound,
                             cum_col="cum", total_col="n")
     pct = ((F.lit(2) * (F.col("cum") - F.col("ties")) + F.col("ties") + 1).cast("double")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import money_sum, pearson, round_half_even
-from skuflow.operators.prefix import running_totals
+from skuflow.operators.prefix import row_bound, running_totals
 from skuflow.operators.questions import dead_stock_value, warehouse_totals
 from skuflow.sources.model import Model
 from skuflow.sources.schemas import MODEL_SCHEMAS, ORDER_STATUSES
@@ -192,7 +192,7 @@ def top20_share(m: Model) -> DataFrame:
     """Q13: revenue share of the top max(1, floor(0.2 n)) products, all statuses, >= 0.55."""
     per = m.order_lines.groupBy("product_id").agg(
         money_sum(F.col("quantity") * F.col("price_cents")).alias("rev"))
-    bound = m.products.select("product_id").count()
+    bound = row_bound(m.products)
     ranked = running_totals(per, [("rev", True), ("product_id", False)], "rev", row_bound=bound,
                             total_col="total", count_col="n")
     cutoff = F.greatest(F.lit(1), F.floor(F.col("n") * 0.2))

@@ -62,3 +62,8 @@ SELECT 'share_lines_below_list_price', CAST(count_if(ol.price_cents < p.unit_pri
            / CAST(count(*) AS DOUBLE)
 FROM b_order_lines ol JOIN b_products p ON p.product_id = ol.product_id
 """)
+
+SQL["row_counts"] = with_binding(" UNION ALL ".join(
+    f"SELECT {i} AS load_order, '{t}' AS table_name, count(*) AS row_count FROM b_{t}"
+    for i, t in enumerate(("warehouses", "suppliers", "products", "inventory", "purchase_orders", "orders",
+                           "order_lines"))))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import date_key, dollars, round_half_even
+from skuflow.functions.exprs import date_key, dollars, round_half_even, scalar_row
 from skuflow.operators.abc import classify_cents
 from skuflow.operators.detail import line_facts
 from skuflow.operators.scorecard import supplier_scorecard
@@ -91,8 +91,9 @@ def dim_date(m: Model) -> DataFrame:
     any order or purchase-order date."""
     span = (m.orders.select("order_date").unionByName(m.purchase_orders.select("order_date"))
             .agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")))
-    lo = span.select(F.make_date(F.year("lo"), F.lit(1), F.lit(1))).scalar()
-    hi = span.select(F.make_date(F.year("hi"), F.lit(12), F.lit(31))).scalar()
+    b = scalar_row(span.select(F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("lo"),
+                               F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("hi")))
+    lo, hi = b("lo"), b("hi")
     return dim_date_between(m.spark, lo, hi)
 
 

@@ -20,6 +20,7 @@ from skuflow.oracle import profile as r_sql
 from skuflow.oracle import quality as dq_sql
 from skuflow.plans import feeds, measures, star, timeintel
 from skuflow.oracle import questions as q_sql
+from skuflow.sources import sinks
 from skuflow.sources.tpch import bind, read_sources
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,7 @@ def _labels(m):
 
 def queries() -> dict[str, QueryFn]:
     return {
+        "row_counts": _on_model(sinks.row_counts),
         "sales_detail": _on_model(detail.sales_detail),
         "inventory_detail": _on_model(detail.inventory_detail),
         "warehouse_performance": _on_model(questions.warehouse_performance),

@@ -29,6 +29,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM
+        builder = builder.config("spark.driver.memory", os.environ.get("SKUFLOW_DRIVER_MEMORY", "12g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
