@@ -117,3 +117,14 @@ def scalar_row(one_row: DataFrame) -> Callable[[str], Column]:
     """
     sub = one_row.select(F.struct(*one_row.columns).alias("r")).scalar()
     return sub.getField
+
+
+def sort_bounded(df: DataFrame, *cols) -> DataFrame:
+    """Order a result whose size is bounded by a small dimension.
+
+    For outputs with one row per warehouse / category / status / class / month
+    a single final task sorts them; a global ``orderBy`` would add a
+    range-partitioning exchange and a sampling job for a handful of rows.
+    Unbounded outputs (per position, per supplier, per line) use ``orderBy``.
+    """
+    return df.coalesce(1).sortWithinPartitions(*cols)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import EXACT, dollars, exact, money_sum, pct
+from skuflow.functions.exprs import EXACT, dollars, exact, money_sum, pct, sort_bounded
 from skuflow.operators.prefix import ROWS_PER_RANGE, row_bound, running_totals
 from skuflow.sources.model import Model
 
@@ -101,4 +101,4 @@ def abc_summary(m: Model, a_threshold: float = 0.80, b_threshold: float = 0.95)
         "units_sold",
         pct(F.col("sku_count"), n_total).alias("pct_of_skus"),
         pct(F.col("revenue_cents"), rev_total).alias("pct_of_revenue"),
-    ).orderBy("abc_class")
+    ).transform(lambda d: sort_bounded(d, "abc_class"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import dollars, money_sum, pct, round_half_even
+from skuflow.functions.exprs import dollars, money_sum, pct, round_half_even, sort_bounded
 from skuflow.operators.detail import inventory_cents, line_facts
 from skuflow.sources.model import Model
 
@@ -76,7 +76,7 @@ def dead_stock_summary(m: Model, velocity_window_days: int = 90) -> DataFrame:
         "stock_status", "positions", "total_units",
         dollars(F.col("value_cents")).alias("total_value"),
         pct(F.col("value_cents"), total).alias("pct_of_inventory_value"),
-    ).orderBy(F.desc("total_value"), "stock_status")
+    ).transform(lambda d: sort_bounded(d, F.desc("total_value"), "stock_status"))
 
 
 def dead_stock_by_category(m: Model, velocity_window_days: int = 90) -> DataFrame:
@@ -87,5 +87,4 @@ def dead_stock_by_category(m: Model, velocity_window_days: int = 90) -> DataFram
         .agg(F.count(F.lit(1)).alias("problem_positions"),
              money_sum(F.col("inventory_value_cents")).alias("value_cents"))
         .select("category", "problem_positions", dollars(F.col("value_cents")).alias("capital_tied_up"))
-        .orderBy(F.desc("capital_tied_up"), "category")
-    )
+    ).transform(lambda d: sort_bounded(d, F.desc("capital_tied_up"), "category"))

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skuflow.functions.exprs import sort_bounded
+
 from skuflow.operators.prefix import row_bound, running_totals
 from skuflow.sources.model import Model
 
@@ -82,7 +84,7 @@ def seasonal_index(m: Model) -> DataFrame:
         "month", "order_count",
         (F.col("order_count") * F.count(F.lit(1)).over(every)).cast("double")
         / F.sum("order_count").over(every).cast("double"),
-    ).toDF("month", "order_count", "seasonal_index").orderBy("month")
+    ).toDF("month", "order_count", "seasonal_index").transform(lambda d: sort_bounded(d, "month"))
 
 
 def order_mix_profile(m: Model) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import dollars, exact, money_sum, pct, round_ratio
+from skuflow.functions.exprs import dollars, exact, money_sum, pct, round_ratio, sort_bounded
 from skuflow.sources.model import Model
 
 
@@ -47,8 +47,7 @@ def warehouse_performance(m: Model) -> DataFrame:
             pct(F.col("returned"), F.col("total_orders")).alias("return_rate_pct"),
             pct(F.col("cancelled"), F.col("total_orders")).alias("cancellation_rate_pct"),
         )
-        .orderBy(F.desc("total_revenue"), "warehouse_id")
-    )
+    ).transform(lambda d: sort_bounded(d, F.desc("total_revenue"), "warehouse_id"))
 
 
 def top_revenue_products(m: Model, limit: int = 20) -> DataFrame:
@@ -136,8 +135,7 @@ def dead_stock_value(m: Model, ratio: int = 4) -> DataFrame:
         )
         .select("category", "dead_stock_positions", "total_units_tied_up",
                 dollars(F.col("value_cents")).alias("dead_stock_value"))
-        .orderBy(F.desc("dead_stock_value"), "category")
-    )
+    ).transform(lambda d: sort_bounded(d, F.desc("dead_stock_value"), "category"))
 
 
 def reorder_recommendations(m: Model, lookback_days: int = 30, limit: int = 50) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import dollars, money_sum, round_half_even
+from skuflow.functions.exprs import dollars, money_sum, round_half_even, sort_bounded
 from skuflow.operators.abc import product_sales
 from skuflow.operators.detail import line_facts
 from skuflow.sources.model import Model
@@ -39,5 +39,4 @@ def inventory_turnover(m: Model, days_per_year: int = 365) -> DataFrame:
             F.lit(float(days_per_year)) / F.nullif(F.col("inventory_turnover"), F.lit(0.0)), 1))
         .select("category", "line_cogs", "annualized_cogs", "inventory_value", "inventory_turnover",
                 "days_of_supply")
-        .orderBy(F.desc_nulls_last("inventory_turnover"), "category")
-    )
+    ).transform(lambda d: sort_bounded(d, F.desc_nulls_last("inventory_turnover"), "category"))

@@ -7,13 +7,13 @@ from skuflow.oracle.measures import view_sql
 
 SQL: dict[str, str] = {}
 
-SQL["feed_exec_kpis"] = view_sql(("sales", "inventory", "supplier_dim"),
+SQL["feed_exec_kpis"] = view_sql(("lines", "inventory", "supplier_dim"),
                                  ["total_revenue", "margin_pct", "inventory_value", "stockout_risk_pct",
                                   "high_risk_suppliers"], [])
-SQL["feed_revenue_by_category"] = view_sql(("sales",), ["total_revenue"], ["category"])
+SQL["feed_revenue_by_category"] = view_sql(("lines",), ["total_revenue"], ["category"])
 SQL["feed_inventory_by_class"] = view_sql(("inventory",), ["inventory_value", "dead_stock_value", "units_on_hand"],
                                           ["abc_class"])
-SQL["feed_turnover_vs_value"] = view_sql(("sales+inventory",), ["inventory_turnover", "inventory_value"],
+SQL["feed_turnover_vs_value"] = view_sql(("lines+inventory",), ["inventory_turnover", "inventory_value"],
                                          ["category"])
 SQL["feed_late_rate_monthly"] = view_sql(("purchase_orders",), ["late_delivery_rate", "delivered_pos", "late_pos"],
                                          ["year_month"])

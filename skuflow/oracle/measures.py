@@ -202,18 +202,18 @@ LEFT JOIN (SELECT {", ".join(other) + ", " if other else ""}CAST(sum(rev_c) AS D
 """, _FAMILIES)
 
 
-_FAMILY_CTE = {"sales": "q_sales", "orders": "q_lines_all", "inventory": "q_inv", "purchase_orders": "q_po",
+_FAMILY_CTE = {"lines": "q_sales", "lines_all": "q_lines_all", "inventory": "q_inv", "purchase_orders": "q_po",
                "supplier_dim": "q_sdim", "product_dim": "q_pdim", "date_dim": "q_dim_date",
-               "sales+inventory": None}
+               "lines+inventory": None}
 
 
 def view_sql(families, measures, by) -> str:
     ctes = []
     for f in families:
-        if f == "sales+inventory":
+        if f == "lines+inventory":
             continue
         ctes.append(_FAMILY_CTE[f])
-    if "sales+inventory" in families:
+    if "lines+inventory" in families:
         for need in ("q_sales", "q_inv"):
             if need not in ctes:
                 ctes.append(need)

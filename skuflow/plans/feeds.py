@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import EXACT, money_sum, round_half_even
+from skuflow.functions.exprs import EXACT, money_sum, round_half_even, sort_bounded
 from skuflow.operators import abc, deadstock, scorecard
 from skuflow.operators.detail import line_facts
 from skuflow.plans.measures import evaluate
@@ -30,7 +30,7 @@ def feed_exec_kpis(m: Model) -> DataFrame:
 
 def feed_revenue_by_category(m: Model) -> DataFrame:
     """B1 revenue by category."""
-    return evaluate(m, ["total_revenue"], ["category"]).orderBy(F.desc("total_revenue"), "category")
+    return sort_bounded(evaluate(m, ["total_revenue"], ["category"]), F.desc("total_revenue"), "category")
 
 
 def feed_warehouse_matrix(m: Model) -> DataFrame:
@@ -42,17 +42,18 @@ def feed_warehouse_matrix(m: Model) -> DataFrame:
             .agg(money_sum(F.col("line_revenue_cents")).alias("rev_c"), F.grouping_id().alias("grouping_level"))
             .select("warehouse_name", "category", (F.col("rev_c").cast("double") / 100).alias("revenue"),
                     "grouping_level")
-            .orderBy("grouping_level", "warehouse_name", "category"))
+            .transform(lambda d: sort_bounded(d, "grouping_level", "warehouse_name", "category")))
 
 
 def feed_inventory_by_class(m: Model) -> DataFrame:
     """B3 inventory value and dead stock by ABC class."""
-    return evaluate(m, ["inventory_value", "dead_stock_value", "units_on_hand"], ["abc_class"]).orderBy("abc_class")
+    return sort_bounded(evaluate(m, ["inventory_value", "dead_stock_value", "units_on_hand"], ["abc_class"]),
+                        "abc_class")
 
 
 def feed_turnover_vs_value(m: Model) -> DataFrame:
     """B3 turnover (raw, M22) against inventory value per category."""
-    return evaluate(m, ["inventory_turnover", "inventory_value"], ["category"]).orderBy("category")
+    return sort_bounded(evaluate(m, ["inventory_turnover", "inventory_value"], ["category"]), "category")
 
 
 def feed_below_reorder(m: Model) -> DataFrame:
@@ -68,7 +69,8 @@ def feed_below_reorder(m: Model) -> DataFrame:
 
 def feed_late_rate_monthly(m: Model) -> DataFrame:
     """B4 late-delivery rate by PO month."""
-    return evaluate(m, ["late_delivery_rate", "delivered_pos", "late_pos"], ["year_month"]).orderBy("year_month")
+    return sort_bounded(evaluate(m, ["late_delivery_rate", "delivered_pos", "late_pos"], ["year_month"]),
+                        "year_month")
 
 
 def pareto_curve(m: Model, points: int = PARETO_POINTS) -> DataFrame:
@@ -82,7 +84,7 @@ def pareto_curve(m: Model, points: int = PARETO_POINTS) -> DataFrame:
                     round_half_even((F.col("rank") * 100).cast("double") / F.col("n_classified").cast("double"), 2)
                     .alias("sku_pct"),
                     round_half_even(F.lit(100.0) * share, 2).alias("cum_revenue_pct"))
-            .orderBy("rank"))
+            .transform(lambda d: sort_bounded(d, "rank")))  # about `points` rows
 
 
 def pareto_crossing(m: Model, thresholds=PARETO_THRESHOLDS) -> DataFrame:
@@ -97,7 +99,7 @@ def pareto_crossing(m: Model, thresholds=PARETO_THRESHOLDS) -> DataFrame:
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    return out.orderBy("threshold_pct")
+    return sort_bounded(out, "threshold_pct")
 
 
 def stock_health_mix(m: Model) -> DataFrame:
@@ -106,13 +108,14 @@ def stock_health_mix(m: Model) -> DataFrame:
     for i, s in reversed(list(enumerate(HEALTH_ORDER))):
         order = F.when(F.col("stock_status") == s, F.lit(i)).otherwise(order)
     return (deadstock.dead_stock_summary(m).withColumn("display_order", order)
-            .filter(F.col("display_order").isNotNull()).orderBy("display_order"))
+            .filter(F.col("display_order").isNotNull()).transform(lambda d: sort_bounded(d, "display_order")))
 
 
 def dashboard_top_products(m: Model, n: int = 10) -> DataFrame:
     """B7 top products by Delivered revenue (the ABC ranking's head)."""
     return (abc.classify_abc(m).filter(F.col("rank") <= n)
-            .select("rank", "sku", "category", "units_sold", "total_revenue").orderBy("rank"))
+            .select("rank", "sku", "category", "units_sold", "total_revenue")
+            .transform(lambda d: sort_bounded(d, "rank")))
 
 
 def dashboard_bottom_suppliers(m: Model, n: int = 15) -> DataFrame:

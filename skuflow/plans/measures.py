@@ -35,6 +35,7 @@ SUPPLIER_KEYS = ("supplier_id", "supplier_name", "supplier_region", "risk_tier")
 
 # D8 relationships: which dimensions each family can filter through.
 FAMILY_DIMS = {
+    "lines": ("product", "warehouse", "date"),
     "sales": ("product", "warehouse", "date"),
     "orders": ("product", "warehouse", "date"),
     "inventory": ("product", "warehouse"),
@@ -43,6 +44,9 @@ FAMILY_DIMS = {
     "product_dim": ("product",),
     "date_dim": ("date",),
 }
+# Context keys whose cardinality is bounded by a small dimension or the calendar.
+BOUNDED_KEYS = {"category", "abc_class", "warehouse_id", "warehouse_name", "warehouse_region", "year", "quarter",
+                "month", "year_month", "fiscal_year", "supplier_region", "risk_tier"}
 DIM_OF_KEY = {**{k: "product" for k in PRODUCT_KEYS}, **{k: "warehouse" for k in WAREHOUSE_KEYS},
               **{k: "date" for k in DATE_KEYS}, **{k: "supplier" for k in SUPPLIER_KEYS}}
 
@@ -80,17 +84,29 @@ def _d(name, needs, derive, label):
 
 
 # Hidden intermediate aggregates (cents) used by derived measures.
+def _delivered() -> Column:
+    return F.col("status") == "Delivered"
+
+
+def _dsum(c: str) -> Column:
+    """Sum over Delivered orders only (NULL when there are none)."""
+    return F.sum(F.when(_delivered(), F.col(c)))
+
+
+# Hidden intermediate aggregates (cents) used by derived measures.  The
+# "lines" family is pre-aggregated to (context, order, status) grain, so
+# order counts are plain conditional counts (no distinct aggregation).
 _HIDDEN = [
-    _m("_rev_c", "sales", lambda: money_sum(_c("rev_c")), ""),
-    _m("_margin_c", "sales", lambda: money_sum(_c("rev_c") - _c("cogs_c")), ""),
-    _m("_cogs_c", "sales", lambda: money_sum(_c("cogs_c")), ""),
-    _m("_lines", "sales", lambda: F.count(F.lit(1)), ""),
+    _m("_rev_c", "lines", lambda: _dsum("rev_c"), ""),
+    _m("_margin_c", "lines", lambda: F.sum(F.when(_delivered(), _c("rev_c") - _c("cogs_c"))), ""),
+    _m("_cogs_c", "lines", lambda: _dsum("cogs_c"), ""),
+    _m("_lines", "lines", lambda: _dsum("n_lines"), ""),
     _m("_inv_c", "inventory", lambda: money_sum(_c("value_c")), ""),
     _m("_dead_c", "inventory", lambda: F.sum(F.when(_c("quantity_on_hand") >= _c("safety_stock") * 4,
                                                     _c("value_c").cast(EXACT))), ""),
     _m("_positions", "inventory", lambda: F.count(F.lit(1)), ""),
-    _m("_orders_all", "orders", lambda: F.countDistinct("order_id"), ""),
-    _m("_a_rev_c", "sales", lambda: F.sum(F.when(_c("abc_class") == "A", _c("rev_c").cast(EXACT))), ""),
+    _m("_orders_all", "lines", lambda: F.count(F.lit(1)), ""),
+    _m("_a_rev_c", "lines", lambda: _dsum("a_rev_c"), ""),
 ]
 
 MEASURES: dict[str, Measure] = {m.name: m for m in _HIDDEN + [
@@ -98,20 +114,18 @@ MEASURES: dict[str, Measure] = {m.name: m for m in _HIDDEN + [
     _d("total_margin", ("_margin_c",), lambda: _dollars_of(_c("_margin_c")), "M2 Total Margin"),
     _d("total_cogs", ("_cogs_c",), lambda: _dollars_of(_c("_cogs_c")), "M3 Total COGS"),
     _d("margin_pct", ("_margin_c", "_rev_c"), lambda: _div(_c("_margin_c"), _c("_rev_c")), "M4 Margin %"),
-    _m("total_units_sold", "sales", lambda: F.sum("quantity").cast("long"), "M5 Total Units Sold"),
-    _m("order_count", "sales", lambda: F.countDistinct("order_id"), "M6 Order Count"),
+    _m("total_units_sold", "lines", lambda: _dsum("units").cast("long"), "M5 Total Units Sold"),
+    _m("order_count", "lines", lambda: F.nullif(F.count_if(_delivered()), F.lit(0).cast("long")),
+       "M6 Order Count"),
     _d("average_order_value", ("_rev_c", "order_count"),
        lambda: _dollars_of(_c("_rev_c")) / F.nullif(_c("order_count").cast("double"), F.lit(0.0)),
        "M7 Average Order Value"),
     _d("lines_per_order", ("_lines", "order_count"), lambda: _div(_c("_lines"), _c("order_count")),
        "M8 Lines per Order"),
-    _m("returned_orders", "orders",
-       lambda: F.countDistinct(F.when(_c("status") == "Returned", _c("order_id"))), "M9 Returned Orders"),
+    _m("returned_orders", "lines", lambda: F.count_if(_c("status") == "Returned"), "M9 Returned Orders"),
     _d("return_rate", ("returned_orders", "_orders_all"),
        lambda: _div(_c("returned_orders"), _c("_orders_all")), "M10 Return Rate %"),
-    _m("delivered_revenue", "orders",
-       lambda: _dollars_of(F.sum(F.when(_c("status") == "Delivered", _c("rev_c").cast(EXACT)))),
-       "M11 Delivered Revenue"),
+    _m("delivered_revenue", "lines", lambda: _dollars_of(_dsum("rev_c")), "M11 Delivered Revenue"),
     _d("inventory_value", ("_inv_c",), lambda: _dollars_of(_c("_inv_c")), "M18 Inventory Value"),
     _m("units_on_hand", "inventory", lambda: F.sum("quantity_on_hand").cast("long"), "M19 Units On Hand"),
     _m("skus_below_reorder_point", "inventory",
@@ -188,14 +202,13 @@ def _need(keys: set[str], dim: str) -> bool:
 
 def family_frame(m: Model, family: str, keys: set[str]) -> DataFrame:
     """Fact rows of ``family`` with only the dimension attributes the context needs."""
-    if family in ("sales", "orders"):
-        orders = m.orders if family == "orders" else m.orders.filter(F.col("status") == "Delivered")
+    if family in ("sales", "sales_all"):
+        orders = m.orders if family == "sales_all" else m.orders.filter(F.col("status") == "Delivered")
         f = m.order_lines.join(orders, "order_id")
         cost = m.products.select("product_id", "unit_cost_cents")
-        f = f.join(cost, "product_id") if family == "sales" else f
-        cols = [F.col("*"), (F.col("quantity") * F.col("price_cents")).alias("rev_c")]
-        if family == "sales":
-            cols.append((F.col("quantity").cast("long") * F.col("unit_cost_cents")).alias("cogs_c"))
+        f = f.join(cost, "product_id")
+        cols = [F.col("*"), (F.col("quantity") * F.col("price_cents")).alias("rev_c"),
+                (F.col("quantity").cast("long") * F.col("unit_cost_cents")).alias("cogs_c")]
         if _need(keys, "date"):
             cols += _date_attrs(F.col("order_date"))
         f = f.select(*cols)
@@ -235,6 +248,22 @@ def family_frame(m: Model, family: str, keys: set[str]) -> DataFrame:
     raise ValueError(f"unknown family {family}")
 
 
+def lines_order_grain(m: Model, by: list[str], need_abc: bool) -> DataFrame:
+    """All-status lines aggregated to (context keys, order, status).
+
+    Status is an order attribute, so Delivered-only and all-status measures
+    are conditional aggregates over these rows, and order counts are counts
+    of rows - one pass over the lines instead of one per status scope.
+    """
+    attrs = set(by) | ({"abc_class"} if need_abc else set())
+    f = family_frame(m, "sales_all", attrs)
+    aggs = [money_sum(F.col("rev_c")).alias("rev_c"), money_sum(F.col("cogs_c")).alias("cogs_c"),
+            F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("n_lines")]
+    if need_abc:
+        aggs.append(F.sum(F.when(F.col("abc_class") == "A", F.col("rev_c").cast(EXACT))).alias("a_rev_c"))
+    return f.groupBy(*by, "order_id", "status").agg(*aggs)
+
+
 def _closure(names: list[str]) -> list[str]:
     out: list[str] = []
 
@@ -274,8 +303,11 @@ def evaluate(m: Model, measures: list[str] | tuple[str, ...], by: list[str] | tu
     agg_cols = [ms.name for ms in base]
     parts = []
     for fam, ms_list in families.items():
-        attrs = keys | ({"abc_class"} if any(x.name in NEEDS_ABC for x in ms_list) else set())
-        f = family_frame(m, fam, attrs)
+        need_abc = any(x.name in NEEDS_ABC for x in ms_list)
+        if fam == "lines":
+            f = lines_order_grain(m, by, need_abc)
+        else:
+            f = family_frame(m, fam, keys | ({"abc_class"} if need_abc else set()))
         aggs = [ms.agg().alias(ms.name) for ms in ms_list]
         g = f.groupBy(*by).agg(*aggs) if by else f.agg(*aggs)
         # the other families' columns are NULL in this part
@@ -305,7 +337,7 @@ _MEASURE_TYPES = {
     "_inv_c": "decimal(38,0)", "_dead_c": "decimal(38,0)", "_a_rev_c": "decimal(38,0)",
     "_lines": "bigint", "_positions": "bigint", "_orders_all": "bigint",
     "total_units_sold": "bigint", "order_count": "bigint", "returned_orders": "bigint",
-    "delivered_revenue": "double", "units_on_hand": "bigint", "skus_below_reorder_point": "bigint",
+    "delivered_revenue": "double", "units_on_hand": "bigint", "_a_rev_c": "decimal(38,0)", "skus_below_reorder_point": "bigint",
     "purchase_order_count": "bigint", "delivered_pos": "bigint", "late_pos": "bigint",
     "average_delay_days": "double", "high_risk_suppliers": "bigint", "class_a_sku_count": "bigint",
     "selected_period_label": "string",
@@ -335,12 +367,12 @@ def class_a_share(m: Model, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
 
 # Public measures grouped by the family (fact) they are evaluated on.
 FAMILY_MEASURES = {
-    "sales": ("total_revenue", "total_margin", "total_cogs", "margin_pct", "total_units_sold", "order_count",
+    "lines": ("total_revenue", "total_margin", "total_cogs", "margin_pct", "total_units_sold", "order_count",
               "average_order_value", "lines_per_order", "class_a_revenue"),
-    "orders": ("returned_orders", "return_rate", "delivered_revenue"),
+    "lines_all": ("returned_orders", "return_rate", "delivered_revenue"),
     "inventory": ("inventory_value", "units_on_hand", "skus_below_reorder_point", "stockout_risk_pct",
                   "dead_stock_value", "dead_stock_pct"),
-    "sales+inventory": ("inventory_turnover", "days_of_supply"),
+    "lines+inventory": ("inventory_turnover", "days_of_supply"),
     "purchase_orders": ("purchase_order_count", "delivered_pos", "late_pos", "late_delivery_rate",
                         "on_time_delivery_rate", "average_delay_days"),
     "supplier_dim": ("high_risk_suppliers",),
@@ -350,12 +382,12 @@ FAMILY_MEASURES = {
 
 # Standard report views: name -> (families, context keys).
 MEASURE_VIEWS = {
-    "measures_total": (("sales", "orders", "inventory", "sales+inventory", "purchase_orders", "supplier_dim",
+    "measures_total": (("lines", "lines_all", "inventory", "lines+inventory", "purchase_orders", "supplier_dim",
                         "product_dim", "date_dim"), ()),
-    "measures_by_category": (("sales", "orders", "inventory", "sales+inventory", "purchase_orders",
+    "measures_by_category": (("lines", "lines_all", "inventory", "lines+inventory", "purchase_orders",
                               "product_dim"), ("category",)),
-    "measures_by_warehouse": (("sales", "orders", "inventory", "sales+inventory"), ("warehouse_name",)),
-    "measures_by_year_month": (("sales", "orders", "purchase_orders", "date_dim"), ("year_month",)),
+    "measures_by_warehouse": (("lines", "lines_all", "inventory", "lines+inventory"), ("warehouse_name",)),
+    "measures_by_year_month": (("lines", "lines_all", "purchase_orders", "date_dim"), ("year_month",)),
     "measures_by_risk_tier": (("purchase_orders", "supplier_dim"), ("risk_tier",)),
 }
 

@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import money_sum, round_half_even, scalar_row
-from skuflow.plans.measures import DIM_OF_KEY, family_frame
+from skuflow.functions.exprs import money_sum, round_half_even, scalar_row, sort_bounded
+from skuflow.plans.measures import BOUNDED_KEYS, DIM_OF_KEY, family_frame
 from skuflow.sources.model import Model
 
 
@@ -83,5 +83,6 @@ def revenue_time_intelligence(m: Model, by: list[str] | tuple[str, ...] = ()) ->
             .alias("revenue_3m_avg"),
         )
         .withColumn("revenue_yoy_arrow", arrow)
-        .orderBy(*by, "year_month")
+        .transform(lambda d: sort_bounded(d, *by, "year_month") if set(by) <= BOUNDED_KEYS
+                   else d.orderBy(*by, "year_month"))
     )
