@@ -21,12 +21,11 @@ _SCALE = 10 ** 6
 
 def product_sales(m: Model, statuses: tuple[str, ...] | None = ("Delivered",)) -> DataFrame:
     """Per-product revenue, units and margin in cents, aggregated before any dimension join."""
-    orders = m.orders
+    f = m.facts
     if statuses is not None:
-        orders = orders.filter(F.col("status").isin(*statuses))
+        f = f.filter(F.col("status").isin(*statuses))
     per_product = (
-        m.order_lines.join(orders.select("order_id"), "order_id")
-        .groupBy("product_id")
+        f.groupBy("product_id")
         .agg(money_sum(F.col("quantity") * F.col("price_cents")).alias("revenue_cents"),
              F.sum("quantity").alias("units_sold"))
     )

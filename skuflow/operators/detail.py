@@ -19,16 +19,14 @@ from skuflow.sources.model import Model
 def line_facts(m: Model, statuses: tuple[str, ...] | None = ("Delivered",)) -> DataFrame:
     """Order lines with their header (and integer-cent measures), optionally status-filtered.
 
-    The status filter is applied to the header before the join so only
-    matching orders are shuffled.
+    Reads the staged line facts (the lines-orders join done once at load), so
+    the status filter is pushed into the Parquet scan; lazily it is applied to
+    the header before the join.
     """
-    orders = m.orders
+    f = m.facts
     if statuses is not None:
-        orders = orders.filter(F.col("status").isin(*statuses))
-    return (
-        m.order_lines.join(orders, "order_id")
-        .withColumn("line_revenue_cents", F.col("quantity") * F.col("price_cents"))
-    )
+        f = f.filter(F.col("status").isin(*statuses))
+    return f.withColumn("line_revenue_cents", F.col("quantity") * F.col("price_cents"))
 
 
 def sales_cents(m: Model, statuses: tuple[str, ...] | None = ("Delivered",)) -> DataFrame:

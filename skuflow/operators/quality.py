@@ -243,8 +243,8 @@ def basket_stability(m: Model, tolerance: float = 0.4) -> DataFrame:
 
 def month_basket_corr(m: Model, limit: float = 0.05) -> DataFrame:
     """Q21: order month and basket size are independent, |r| < limit."""
-    lines = m.order_lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_lines"))
-    o = m.orders.join(lines, "order_id").select(
+    per_order = m.facts.groupBy("order_id", "order_date").agg(F.count(F.lit(1)).alias("n_lines"))
+    o = per_order.select(
         (F.year("order_date") * 12 + F.month("order_date")).cast("double").alias("mi"),
         F.col("n_lines").cast("double").alias("nl"))
     a = o.agg(round_half_even(pearson(F.col("mi"), F.col("nl")), 3).alias("r"))

@@ -26,8 +26,14 @@ def order_revenue(m: Model) -> DataFrame:
 
 
 def warehouse_totals(m: Model) -> DataFrame:
-    """C1 aggregate in exact cents (before presentation)."""
-    per_order = m.orders.join(order_revenue(m), "order_id")
+    """C1 aggregate in exact cents (before presentation).
+
+    Fan-out safe: lines are first reduced to one row per order (with the
+    order's warehouse and status), then orders are counted per warehouse.
+    Orders without lines do not appear in the line facts (the inner join).
+    """
+    per_order = m.facts.groupBy("order_id", "warehouse_id", "status").agg(
+        F.sum(F.col("quantity") * F.col("price_cents")).alias("order_revenue_cents"))
     return per_order.groupBy("warehouse_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
         money_sum(F.col("order_revenue_cents")).alias("revenue_cents"),
@@ -145,11 +151,8 @@ def reorder_recommendations(m: Model, lookback_days: int = 30, limit: int = 50)
     window includes today - N and demand is divided by N.
     """
     today = m.orders.agg(F.max("order_date")).scalar()
-    recent_orders = m.orders.filter(F.col("order_date") >= F.date_sub(today, lookback_days)) \
-                            .select("order_id", "warehouse_id")
     recent = (
-        m.order_lines.select("order_id", "product_id", "quantity")
-        .join(recent_orders, "order_id")
+        m.facts.filter(F.col("order_date") >= F.date_sub(today, lookback_days))
         .groupBy("warehouse_id", "product_id")
         .agg(F.sum("quantity").alias("units_recent"))
     )

@@ -203,8 +203,7 @@ def _need(keys: set[str], dim: str) -> bool:
 def family_frame(m: Model, family: str, keys: set[str]) -> DataFrame:
     """Fact rows of ``family`` with only the dimension attributes the context needs."""
     if family in ("sales", "sales_all"):
-        orders = m.orders if family == "sales_all" else m.orders.filter(F.col("status") == "Delivered")
-        f = m.order_lines.join(orders, "order_id")
+        f = m.facts if family == "sales_all" else m.facts.filter(F.col("status") == "Delivered")
         cost = m.products.select("product_id", "unit_cost_cents")
         f = f.join(cost, "product_id")
         cols = [F.col("*"), (F.col("quantity") * F.col("price_cents")).alias("rev_c"),

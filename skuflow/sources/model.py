@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from skuflow.sources.schemas import LOAD_ORDER, MODEL_SCHEMAS
 
 
+LINE_FACT_COLUMNS = ("order_line_id", "order_id", "product_id", "quantity", "price_cents", "order_date",
+                     "warehouse_id", "customer_id", "status")
+
+
+def join_line_facts(order_lines: DataFrame, orders: DataFrame) -> DataFrame:
+    return order_lines.join(orders, "order_id").select(*LINE_FACT_COLUMNS)
+
+
 @dataclass(frozen=True)
 class Model:
     """Operational tables.  Nothing here is materialised unless asked."""
@@ -21,13 +29,23 @@ class Model:
     purchase_orders: DataFrame
     orders: DataFrame
     order_lines: DataFrame
+    # Lines with their order header (date, warehouse, customer, status).  The
+    # loader stages this join once; lazily it is the join itself.
+    line_facts: DataFrame | None = None
 
     @property
     def spark(self) -> SparkSession:
         return self.orders.sparkSession
 
+    @property
+    def facts(self) -> DataFrame:
+        """order_lines joined to orders (inner): the sales fact at line grain."""
+        if self.line_facts is not None:
+            return self.line_facts
+        return join_line_facts(self.order_lines, self.orders)
+
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in LOAD_ORDER}
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -35,6 +53,8 @@ class Model:
     def replace(self, **frames: DataFrame) -> "Model":
         t = self.tables()
         t.update(frames)
+        if "order_lines" not in frames and "orders" not in frames and "line_facts" not in frames:
+            t["line_facts"] = self.line_facts
         return Model(**t)
 
     def register_views(self, prefix: str = "") -> None:

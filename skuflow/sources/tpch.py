@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import scalar_row
 
-from skuflow.sources.model import Model
+from skuflow.sources.model import Model, join_line_facts
 
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -30,7 +31,10 @@ MAX_WAREHOUSES = 10000              # the warehouse dimension is exploded per pr
 
 
 def read_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCE_TABLES}
+    # Footer/schema reads are independent driver round trips: do them together.
+    with ThreadPoolExecutor(max_workers=len(SOURCE_TABLES)) as pool:
+        frames = pool.map(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"), SOURCE_TABLES)
+        return dict(zip(SOURCE_TABLES, frames))
 
 
 def _lead_time(supplier_id):
@@ -73,26 +77,23 @@ def bind(spark: SparkSession, sf_dir: str, cache: bool = True, materialize: bool
     return model
 
 
-def bind_frames(src: dict[str, DataFrame], stage: Stage = _lazy) -> Model:
-    """Derive the seven tables.  ``stage(name, df)`` is called at each reuse
-    point (identity by default; the loader writes and re-reads there)."""
-    region, nation, customer = src["region"], src["nation"], src["customer"]
-    supplier, part, orders_raw, lineitem = src["supplier"], src["part"], src["orders"], src["lineitem"]
-
-    warehouses = stage("warehouses", region.select(
+def _warehouses(src: dict[str, DataFrame]) -> DataFrame:
+    return src["region"].select(
         F.col("r_regionkey").cast("long").alias("warehouse_id"),
         F.col("r_name").alias("name"),
         F.col("r_name").alias("region"),
         (F.lit(CAPACITY_PER_WAREHOUSE) * (F.col("r_regionkey") + 1)).cast("int").alias("capacity_units"),
-    ))
+    )
 
+
+def _orders(src: dict[str, DataFrame]) -> DataFrame:
     status = F.lit(None).cast("string")
     for code, label in STATUS_OF_ORDERSTATUS.items():
         status = F.when(F.col("o_orderstatus") == code, F.lit(label)).otherwise(status)
-    orders = stage("orders", (
-        orders_raw.join(customer.select("c_custkey", "c_nationkey"),
-                        F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return (
+        src["orders"].join(src["customer"].select("c_custkey", "c_nationkey"),
+                           F.col("o_custkey") == F.col("c_custkey"))
+        .join(src["nation"].select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("o_orderkey").cast("long").alias("order_id"),
             F.to_date("o_orderdate").alias("order_date"),
@@ -100,13 +101,15 @@ def bind_frames(src: dict[str, DataFrame], stage: Stage = _lazy) -> Model:
             F.col("o_custkey").cast("long").alias("customer_id"),
             status.alias("status"),
         )
-    ))
+    )
+
 
-    # One row per lineitem with a stable line id.  The window's partitions are
-    # single orders (a handful of rows), so it never concentrates data.
+def _lines(src: dict[str, DataFrame]) -> DataFrame:
+    """One row per lineitem with a stable line id.  The window's partitions are
+    single orders (a handful of rows), so it never concentrates data."""
     w_line = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
-    lines = stage("lines", lineitem.select(
+    return src["lineitem"].select(
         (F.col("l_orderkey") * 1000 + F.row_number().over(w_line)).cast("long").alias("line_id"),
         F.col("l_orderkey").cast("long").alias("order_id"),
         F.col("l_partkey").cast("long").alias("product_id"),
@@ -116,14 +119,19 @@ def bind_frames(src: dict[str, DataFrame], stage: Stage = _lazy) -> Model:
                " div (100 * CAST(l_quantity AS INT))").alias("price_cents"),
         F.to_date("l_shipdate").alias("ship_date"),
         F.round(F.col("l_tax") * 100).cast("int").alias("tax_pct"),
-    ))
-    order_lines = lines.select(
+    )
+
+
+def _order_lines(lines: DataFrame) -> DataFrame:
+    return lines.select(
         F.col("line_id").alias("order_line_id"), "order_id", "product_id", "quantity", "price_cents")
 
+
+def _purchase_orders(lines: DataFrame) -> DataFrame:
     max_ship = lines.agg(F.max("ship_date")).scalar()
     expected = F.date_add("ship_date", _lead_time(F.col("supplier_id")))
     actual = F.date_add(expected, (F.col("tax_pct") * _reliability_m(F.col("supplier_id")) - 12).cast("int"))
-    purchase_orders = lines.select(
+    return lines.select(
         F.col("line_id").alias("po_id"), "supplier_id", "product_id",
         F.col("ship_date").alias("order_date"),
         expected.alias("expected_delivery_date"),
@@ -131,26 +139,26 @@ def bind_frames(src: dict[str, DataFrame], stage: Stage = _lazy) -> Model:
         "quantity",
     )
 
-    # Units per (part, supplier) once; everything else rolls up from it.
-    pair_units = stage("pair_units", lines.groupBy("product_id", "supplier_id")
-                       .agg(F.sum("quantity").cast("long").alias("units")))
-    part_units = pair_units.groupBy("product_id").agg(
-        F.sum("units").alias("units"),
-        # most units, ties to the smallest supplier id
-        F.min(F.struct((-F.col("units")).alias("neg_units"), F.col("supplier_id")))
-         .getField("supplier_id").alias("supplier_id"),
-    )
+
+def _pair_units(lines: DataFrame) -> DataFrame:
+    """Units per (part, supplier) once; product and supplier attributes roll up from it."""
+    return lines.groupBy("product_id", "supplier_id").agg(F.sum("quantity").cast("long").alias("units"))
+
+
+def _suppliers(src: dict[str, DataFrame], pair_units: DataFrame) -> DataFrame:
     supplier_category = (
-        pair_units.join(part.select(F.col("p_partkey").cast("long").alias("product_id"), "p_type"),
+        pair_units.join(src["part"].select(F.col("p_partkey").cast("long").alias("product_id"), "p_type"),
                         "product_id")
         .groupBy("supplier_id", "p_type").agg(F.sum("units").alias("units"))
         .groupBy("supplier_id").agg(
+            # most units, ties to the smallest type name
             F.min(F.struct((-F.col("units")).alias("neg_units"), F.col("p_type")))
              .getField("p_type").alias("primary_category"))
     )
-    suppliers = stage("suppliers", (
-        supplier.join(nation.select("n_nationkey", "n_regionkey"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return (
+        src["supplier"].join(src["nation"].select("n_nationkey", "n_regionkey"),
+                             F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(src["region"].select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("s_suppkey").cast("long").alias("supplier_id"),
                 F.col("s_name").alias("name"), F.col("r_name").alias("region"))
         .join(supplier_category, "supplier_id", "left")
@@ -160,18 +168,26 @@ def bind_frames(src: dict[str, DataFrame], stage: Stage = _lazy) -> Model:
             .alias("base_reliability_score"),
             _lead_time(F.col("supplier_id")).alias("avg_lead_time_days"),
         )
-    ))
+    )
+
 
-    # R1 stock thresholds from observed demand (all statuses).
+def _products(src: dict[str, DataFrame], pair_units: DataFrame, orders: DataFrame,
+              warehouses: DataFrame) -> DataFrame:
+    """Products with R1 stock thresholds from observed demand (all statuses)."""
+    part_units = pair_units.groupBy("product_id").agg(
+        F.sum("units").alias("units"),
+        # most units, ties to the smallest supplier id
+        F.min(F.struct((-F.col("units")).alias("neg_units"), F.col("supplier_id")))
+         .getField("supplier_id").alias("supplier_id"),
+    )
     bounds = orders.agg(F.max("order_date").alias("mx"), F.min("order_date").alias("mn"))
-    b = scalar_row(bounds.select(F.greatest(F.datediff("mx", "mn"), F.lit(1)).alias("period"), "mx"))
-    period_days, max_order_date = b("period"), b("mx")
+    period_days = scalar_row(bounds.select(F.greatest(F.datediff("mx", "mn"), F.lit(1)).alias("period")))("period")
     n_warehouses = warehouses.agg(F.count(F.lit(1))).scalar()
     ltd = (F.coalesce(F.col("units"), F.lit(0)).cast("double") / period_days / n_warehouses
            * _lead_time(F.col("supplier_id")))
     safety = F.greatest(F.ceil(ltd * 0.5), F.lit(2)).cast("int")
-    products = stage("products", (
-        part.select(F.col("p_partkey").cast("long").alias("product_id"), "p_type", "p_retailprice")
+    return (
+        src["part"].select(F.col("p_partkey").cast("long").alias("product_id"), "p_type", "p_retailprice")
         .join(part_units, "product_id", "left")
         .select(
             "product_id",
@@ -189,32 +205,64 @@ def bind_frames(src: dict[str, DataFrame], stage: Stage = _lazy) -> Model:
                     F.greatest(F.ceil(F.col("ltd") + F.col("safety_stock")), F.col("safety_stock") + 1).cast("int"))
         .select("product_id", "sku", "category", "unit_cost_cents", "unit_price_cents", "supplier_id",
                 "reorder_point", "safety_stock", "popularity_score")
-    ))
+    )
 
-    # Every (warehouse, product) position.  The warehouse dimension is tiny and
-    # its size is checked, so positions are generated per product row (no join).
+
+def _inventory(products: DataFrame, warehouses: DataFrame, orders: DataFrame) -> DataFrame:
+    """Every (warehouse, product) position.  The warehouse dimension is tiny and
+    its size is checked, so positions are generated per product row (no join)."""
     wh_ids = [r[0] for r in warehouses.select("warehouse_id").orderBy("warehouse_id")
               .limit(MAX_WAREHOUSES + 1).collect()]
     if len(wh_ids) > MAX_WAREHOUSES:
         raise ValueError(f"more than {MAX_WAREHOUSES} warehouses; positions must be joined, not exploded")
+    max_order_date = orders.agg(F.max("order_date")).scalar()
     wid, pid = F.col("warehouse_id"), F.col("product_id")
-    b = (pid * 37 + wid * 53 + (pid % 7) * 11) % 100
+    bucket = (pid * 37 + wid * 53 + (pid % 7) * 11) % 100
     on_hand = (
         F.when(F.col("bkt") < 12, F.expr("(reorder_point * (10 + 7 * bkt)) div 100"))
         .when(F.col("bkt") < 22, F.expr("safety_stock * (4 + bkt % 5)"))
         .otherwise(F.expr("reorder_point + 1 + (safety_stock * (bkt % 10)) div 20"))
     )
-    inventory = stage("inventory", (
+    return (
         products.select("product_id", "reorder_point", "safety_stock")
         .withColumn("warehouse_id", F.explode(F.array(*[F.lit(int(w)).cast("long") for w in wh_ids])))
-        .withColumn("bkt", b)
+        .withColumn("bkt", bucket)
         .select(
             "warehouse_id", "product_id",
             on_hand.cast("int").alias("quantity_on_hand"),
             F.date_sub(max_order_date,
                        (F.lit(1) + (pid * 13 + wid * 29) % 119).cast("int")).alias("last_restock_date"),
         )
-    ))
+    )
+
+
+# Stage plan: each phase only needs earlier phases, stages inside a phase are
+# independent (the loader runs them concurrently).
+PHASES = (
+    (("warehouses", lambda src, t: _warehouses(src)),
+     ("orders", lambda src, t: _orders(src)),
+     ("lines", lambda src, t: _lines(src))),
+    (("pair_units", lambda src, t: _pair_units(t["lines"])),
+     ("line_facts", lambda src, t: join_line_facts(_order_lines(t["lines"]), t["orders"]))),
+    (("suppliers", lambda src, t: _suppliers(src, t["pair_units"])),
+     ("products", lambda src, t: _products(src, t["pair_units"], t["orders"], t["warehouses"]))),
+    (("inventory", lambda src, t: _inventory(t["products"], t["warehouses"], t["orders"])),),
+)
+
 
-    return Model(warehouses=warehouses, suppliers=suppliers, products=products, inventory=inventory,
-                 purchase_orders=purchase_orders, orders=orders, order_lines=order_lines)
+def model_from_stages(t: dict[str, DataFrame]) -> Model:
+    return Model(warehouses=t["warehouses"], suppliers=t["suppliers"], products=t["products"],
+                 inventory=t["inventory"], purchase_orders=_purchase_orders(t["lines"]),
+                 orders=t["orders"], order_lines=_order_lines(t["lines"]), line_facts=t.get("line_facts"))
+
+
+def bind_frames(src: dict[str, DataFrame], stage: Stage = _lazy) -> Model:
+    """Derive the seven tables.  ``stage(name, df)`` is called at each reuse
+    point (identity by default; the loader writes and re-reads there)."""
+    t: dict[str, DataFrame] = {}
+    for phase in PHASES:
+        for name, build in phase:
+            if name == "line_facts" and stage is _lazy:
+                continue  # lazily, Model.facts is the join itself
+            t[name] = stage(name, build(src, t))
+    return model_from_stages(t)
