@@ -106,8 +106,8 @@ _RELS = (
 _parts = []
 for fact, cte, col, dim, key in _RELS:
     _parts.append(
-        f"SELECT '{fact}.{col} resolves' AS \"check\", n = 0 AS passed, printf('%d unresolved', n) AS detail "
-        f"FROM (SELECT count(*) AS n FROM {cte} f WHERE f.{col} IS NOT NULL "
+        f"SELECT '{fact}.{col} resolves' AS \"check\", n = 0 AS passed, printf('%d unresolved keys', n) AS detail "
+        f"FROM (SELECT count(DISTINCT f.{col}) AS n FROM {cte} f WHERE f.{col} IS NOT NULL "
         f"AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{key} = f.{col}))")
 _parts.append(
     "SELECT 'dim_date is contiguous' AS \"check\", "

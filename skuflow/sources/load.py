@@ -20,7 +20,8 @@ from skuflow.sources.tpch import PHASES, model_from_stages, read_sources
 
 # Stages that are fact-sized: cluster rows by date inside each file so Parquet
 # row-group statistics can skip date ranges.
-_DATE_SORT = {"orders": "order_date", "lines": "ship_date", "line_facts": "order_date"}
+_DATE_SORT = {"orders": "order_date", "lines": "ship_date", "line_facts": "order_date",
+              "purchase_orders": "order_date"}
 
 
 def model_path(spark: SparkSession, sf_dir: str) -> str:

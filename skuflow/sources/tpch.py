@@ -243,7 +243,8 @@ PHASES = (
      ("orders", lambda src, t: _orders(src)),
      ("lines", lambda src, t: _lines(src))),
     (("pair_units", lambda src, t: _pair_units(t["lines"])),
-     ("line_facts", lambda src, t: join_line_facts(_order_lines(t["lines"]), t["orders"]))),
+     ("line_facts", lambda src, t: join_line_facts(_order_lines(t["lines"]), t["orders"])),
+     ("purchase_orders", lambda src, t: _purchase_orders(t["lines"]))),
     (("suppliers", lambda src, t: _suppliers(src, t["pair_units"])),
      ("products", lambda src, t: _products(src, t["pair_units"], t["orders"], t["warehouses"]))),
     (("inventory", lambda src, t: _inventory(t["products"], t["warehouses"], t["orders"])),),
@@ -252,7 +253,8 @@ PHASES = (
 
 def model_from_stages(t: dict[str, DataFrame]) -> Model:
     return Model(warehouses=t["warehouses"], suppliers=t["suppliers"], products=t["products"],
-                 inventory=t["inventory"], purchase_orders=_purchase_orders(t["lines"]),
+                 inventory=t["inventory"],
+                 purchase_orders=t["purchase_orders"] if "purchase_orders" in t else _purchase_orders(t["lines"]),
                  orders=t["orders"], order_lines=_order_lines(t["lines"]), line_facts=t.get("line_facts"))
 
 
@@ -262,7 +264,7 @@ def bind_frames(src: dict[str, DataFrame], stage: Stage = _lazy) -> Model:
     t: dict[str, DataFrame] = {}
     for phase in PHASES:
         for name, build in phase:
-            if name == "line_facts" and stage is _lazy:
-                continue  # lazily, Model.facts is the join itself
+            if name in ("line_facts", "purchase_orders") and stage is _lazy:
+                continue  # lazily these are plain projections / joins of other stages
             t[name] = stage(name, build(src, t))
     return model_from_stages(t)
