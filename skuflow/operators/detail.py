@@ -31,7 +31,7 @@ def line_facts(m: Model, statuses: tuple[str, ...] | None = ("Delivered",)) -> D
 
 def sales_cents(m: Model, statuses: tuple[str, ...] | None = ("Delivered",)) -> DataFrame:
     """sales_detail with money in integer cents (internal form)."""
-    p = m.products.select("product_id", "sku", "category", "unit_cost_cents", "supplier_id")
+    p = m.products.select("product_id", "sku", "category", "supplier_id")
     w = m.warehouses.select("warehouse_id", F.col("name").alias("warehouse_name"),
                             F.col("region").alias("warehouse_region"))
     return (

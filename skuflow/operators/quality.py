@@ -66,14 +66,21 @@ def _stack(agg: DataFrame, labels: list[str], prefix: str, detail_fmt: str) -> D
 
 
 def pk_checks(m: Model) -> DataFrame:
-    """Q1: primary / unique keys (duplicates and NULL keys both fail)."""
+    """Q1: primary / unique keys (duplicates and NULL keys both fail).
+
+    One pipeline per key: rows are counted per key value (partial
+    aggregation), then the per-key counts are summarised - NULL keys form
+    their own group, so no second pass or join is needed.
+    """
     parts = []
     for table, keys in PRIMARY_KEYS:
-        df = m.table(table)
-        dups = df.groupBy(*keys).count().filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("d"))
-        nulls = df.agg(F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).alias("z"))
+        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        per_key = m.table(table).groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+        summary = per_key.agg(
+            F.count_if(~any_null & (F.col("c") > 1)).alias("d"),
+            F.coalesce(F.sum(F.when(any_null, F.col("c"))), F.lit(0).cast("long")).alias("z"))
         label = f"{table}({', '.join(keys)}) is unique"
-        parts.append(_rows(dups.join(nulls), F.lit(label), (F.col("d") == 0) & (F.col("z") == 0),
+        parts.append(_rows(summary, F.lit(label), (F.col("d") == 0) & (F.col("z") == 0),
                            F.format_string("%d duplicate keys, %d null keys", F.col("d"), F.col("z"))))
     return reduce(DataFrame.unionByName, parts)
 
@@ -271,8 +278,8 @@ def month_basket_corr(m: Model, limit: float = 0.05) -> DataFrame:
 def revenue_reconcile(m: Model) -> DataFrame:
     """Q22: warehouse report revenue equals raw line revenue, in exact cents."""
     report = warehouse_totals(m).agg(F.sum("revenue_cents").alias("r"))
-    raw = m.order_lines.agg(money_sum(F.col("quantity") * F.col("price_cents")).alias("t"))
-    return _rows(report.join(raw), F.lit("warehouse revenue reconciles with order lines"),
+    raw = m.order_lines.agg(money_sum(F.col("quantity") * F.col("price_cents"))).scalar()
+    return _rows(report.withColumn("t", raw), F.lit("warehouse revenue reconciles with order lines"),
                  F.col("r") == F.col("t"),
                  F.format_string("report %s, lines %s", F.col("r").cast("string"), F.col("t").cast("string")))
 
@@ -281,8 +288,8 @@ def dead_reconcile(m: Model) -> DataFrame:
     """Q23: dead-stock units in the report equal the recount from base tables."""
     report = dead_stock_value(m).agg(F.sum("total_units_tied_up").alias("r"))
     raw = _positions(m).filter(F.col("quantity_on_hand") >= F.col("safety_stock") * 4) \
-                       .agg(F.sum("quantity_on_hand").cast("long").alias("t"))
-    return _rows(report.join(raw), F.lit("dead-stock units reconcile with inventory"),
+                       .agg(F.sum("quantity_on_hand").cast("long")).scalar()
+    return _rows(report.withColumn("t", raw), F.lit("dead-stock units reconcile with inventory"),
                  F.col("r") == F.col("t"), F.format_string("report %d, inventory %d", F.col("r"), F.col("t")))
 
 

@@ -204,8 +204,6 @@ def family_frame(m: Model, family: str, keys: set[str]) -> DataFrame:
     """Fact rows of ``family`` with only the dimension attributes the context needs."""
     if family in ("sales", "sales_all"):
         f = m.facts if family == "sales_all" else m.facts.filter(F.col("status") == "Delivered")
-        cost = m.products.select("product_id", "unit_cost_cents")
-        f = f.join(cost, "product_id")
         cols = [F.col("*"), (F.col("quantity") * F.col("price_cents")).alias("rev_c"),
                 (F.col("quantity").cast("long") * F.col("unit_cost_cents")).alias("cogs_c")]
         if _need(keys, "date"):

@@ -132,8 +132,7 @@ def dim_warehouse(m: Model) -> DataFrame:
 
 def fact_sales(m: Model) -> DataFrame:
     """Delivered order lines with additive measures and a date key."""
-    p = m.products.select("product_id", "unit_cost_cents")
-    f = line_facts(m).join(p, "product_id")
+    f = line_facts(m)   # carries the unit cost: no line-level product join
     rev = F.col("line_revenue_cents")
     cogs = F.col("quantity").cast("long") * F.col("unit_cost_cents")
     return f.select(

@@ -11,11 +11,17 @@ from skuflow.sources.schemas import LOAD_ORDER, MODEL_SCHEMAS
 
 
 LINE_FACT_COLUMNS = ("order_line_id", "order_id", "product_id", "quantity", "price_cents", "order_date",
-                     "warehouse_id", "customer_id", "status")
+                     "warehouse_id", "customer_id", "status", "unit_cost_cents")
 
 
-def join_line_facts(order_lines: DataFrame, orders: DataFrame) -> DataFrame:
-    return order_lines.join(orders, "order_id").select(*LINE_FACT_COLUMNS)
+def join_line_facts(order_lines: DataFrame, orders: DataFrame, product_cost: DataFrame) -> DataFrame:
+    """Lines with their order header and the product's unit cost (the sales fact grain).
+
+    ``product_cost`` is (product_id, unit_cost_cents); it is a left join so a
+    line never disappears because of its product.
+    """
+    return (order_lines.join(orders, "order_id").join(product_cost, "product_id", "left")
+            .select(*LINE_FACT_COLUMNS))
 
 
 @dataclass(frozen=True)
@@ -39,10 +45,11 @@ class Model:
 
     @property
     def facts(self) -> DataFrame:
-        """order_lines joined to orders (inner): the sales fact at line grain."""
+        """order_lines joined to orders (inner) with unit cost: the sales fact at line grain."""
         if self.line_facts is not None:
             return self.line_facts
-        return join_line_facts(self.order_lines, self.orders)
+        return join_line_facts(self.order_lines, self.orders,
+                               self.products.select("product_id", "unit_cost_cents"))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in LOAD_ORDER}

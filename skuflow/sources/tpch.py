@@ -122,6 +122,16 @@ def _lines(src: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def _unit_cost_cents():
+    return F.round(F.col("p_retailprice") * COST_PER_LIST_DOLLAR_CENTS).cast("long")
+
+
+def _part_cost(src: dict[str, DataFrame]) -> DataFrame:
+    """(product_id, unit_cost_cents) straight from the part table (same expression as products)."""
+    return src["part"].select(F.col("p_partkey").cast("long").alias("product_id"),
+                              _unit_cost_cents().alias("unit_cost_cents"))
+
+
 def _order_lines(lines: DataFrame) -> DataFrame:
     return lines.select(
         F.col("line_id").alias("order_line_id"), "order_id", "product_id", "quantity", "price_cents")
@@ -194,7 +204,7 @@ def _products(src: dict[str, DataFrame], pair_units: DataFrame, orders: DataFram
             F.concat(F.upper(F.substring("p_type", 1, 3)), F.lit("-"),
                      F.lpad((F.col("product_id") + 1).cast("string"), 5, "0")).alias("sku"),
             F.col("p_type").alias("category"),
-            F.round(F.col("p_retailprice") * COST_PER_LIST_DOLLAR_CENTS).cast("long").alias("unit_cost_cents"),
+            _unit_cost_cents().alias("unit_cost_cents"),
             F.round(F.col("p_retailprice") * 100).cast("long").alias("unit_price_cents"),
             "supplier_id",
             safety.alias("safety_stock"),
@@ -243,7 +253,7 @@ PHASES = (
      ("orders", lambda src, t: _orders(src)),
      ("lines", lambda src, t: _lines(src))),
     (("pair_units", lambda src, t: _pair_units(t["lines"])),
-     ("line_facts", lambda src, t: join_line_facts(_order_lines(t["lines"]), t["orders"])),
+     ("line_facts", lambda src, t: join_line_facts(_order_lines(t["lines"]), t["orders"], _part_cost(src))),
      ("purchase_orders", lambda src, t: _purchase_orders(t["lines"]))),
     (("suppliers", lambda src, t: _suppliers(src, t["pair_units"])),
      ("products", lambda src, t: _products(src, t["pair_units"], t["orders"], t["warehouses"]))),
