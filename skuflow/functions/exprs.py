@@ -8,8 +8,6 @@ the denominator is zero.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,15 +106,14 @@ def to_date_col(c: Column) -> Column:
     return F.to_date(c)
 
 
-def scalar_row(one_row: DataFrame) -> Callable[[str], Column]:
-    """Fields of a one-row aggregate as lazy scalars.
+def scalar_row(one_row: DataFrame) -> Column:
+    """A one-row aggregate as ONE struct-valued scalar subquery.
 
-    All fields come from ONE scalar subquery returning a struct, so the
-    aggregate runs once however many of its fields a plan uses (separate
-    ``.scalar()`` calls would each re-run it).
+    Attach it once as a column (``df.withColumn("s", scalar_row(agg))``) and
+    read fields with ``F.col("s.field")``: every occurrence of a subquery
+    expression in a plan is executed separately, so it must appear once.
     """
-    sub = one_row.select(F.struct(*one_row.columns).alias("r")).scalar()
-    return sub.getField
+    return one_row.select(F.struct(*one_row.columns).alias("r")).scalar()
 
 
 def sort_bounded(df: DataFrame, *cols) -> DataFrame:

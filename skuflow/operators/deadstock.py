@@ -23,7 +23,7 @@ PROBLEM_STATUSES = ("Dead", "Slow-Moving")
 def dead_stock_cents(m: Model, velocity_window_days: int = 90, slow_days: int = 180,
                      dead_ratio: float = 2, overstock_ratio: float = 4) -> DataFrame:
     facts = line_facts(m)
-    snapshot = facts.agg(F.max("order_date")).scalar()
+    snapshot = m.scalar("max_delivered_date")
     velocity = (
         facts.filter(F.col("order_date") >= F.date_sub(snapshot, velocity_window_days))
         .groupBy("warehouse_id", "product_id")

@@ -38,9 +38,8 @@ def stock_thresholds(m: Model, safety_factor: float = SAFETY_STOCK_FACTOR,
     lead_time_demand = units / period_days / warehouses * lead_time;
     safety = max(ceil(ltd * factor), min); reorder = max(ceil(ltd + safety), safety + 1).
     """
-    span = m.orders.agg(F.max("order_date").alias("hi"), F.min("order_date").alias("lo"))
-    period_days = span.select(F.greatest(F.datediff("hi", "lo"), F.lit(1))).scalar()
-    n_wh = m.warehouses.agg(F.count(F.lit(1))).scalar()
+    period_days = F.greatest(F.datediff(m.scalar("max_order_date"), m.scalar("min_order_date")), F.lit(1))
+    n_wh = m.scalar("warehouse_count")
     lead = m.suppliers.select("supplier_id", F.col("avg_lead_time_days").alias("lead_time_days"))
     base = _units_per_product(m).join(lead, "supplier_id", "left")
     daily = F.col("units_sold").cast("double") / period_days / n_wh

@@ -150,7 +150,7 @@ def reorder_recommendations(m: Model, lookback_days: int = 30, limit: int = 50)
     "Today" is the latest order date of any status (a scalar subquery); the
     window includes today - N and demand is divided by N.
     """
-    today = m.orders.agg(F.max("order_date")).scalar()
+    today = m.scalar("max_order_date")
     recent = (
         m.facts.filter(F.col("order_date") >= F.date_sub(today, lookback_days))
         .groupBy("warehouse_id", "product_id")

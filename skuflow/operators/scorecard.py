@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import EXACT, pearson, round_half_even, scalar_row
+from skuflow.functions.exprs import EXACT, pearson, round_half_even
 from skuflow.sources.model import Model
 
 # Fixed values of the scorecard (weights, tier cut-offs, audit bands).
@@ -52,8 +52,9 @@ def supplier_stats(m: Model, min_delivered_pos: int = 5) -> DataFrame:
 def supplier_scorecard(m: Model, min_delivered_pos: int = 5) -> DataFrame:
     st = supplier_stats(m, min_delivered_pos)
     worst = st.agg(F.max("avg_late").alias("a"), F.max("delay_std").alias("s"))
-    w_ = scalar_row(worst)
-    worst_avg, worst_std = w_("a"), w_("s")
+    # one scalar subquery, attached once as a column and then referenced
+    st = st.withColumn("_worst", worst.select(F.struct("a", "s")).scalar())
+    worst_avg, worst_std = F.col("_worst.a"), F.col("_worst.s")
     one = F.lit(1.0)
     on_time = round_half_even((one - F.col("late_pos").cast("double") / F.col("delivered_pos").cast("double"))
                               * F.lit(100.0), 2)

@@ -19,8 +19,7 @@ from skuflow.sources.model import Model
 
 
 def inventory_turnover(m: Model, days_per_year: int = 365) -> DataFrame:
-    bounds = line_facts(m).agg(F.max("order_date").alias("mx"), F.min("order_date").alias("mn"))
-    period_days = bounds.select(F.greatest(F.datediff("mx", "mn"), F.lit(1))).scalar()
+    period_days = F.greatest(F.datediff(m.scalar("max_delivered_date"), m.scalar("min_delivered_date")), F.lit(1))
     cogs = product_sales(m).groupBy("category").agg(F.sum("cogs_cents").alias("cogs_cents"))
     p = m.products.select("product_id", "category", "unit_cost_cents")
     value = (m.inventory.join(p, "product_id").groupBy("category")

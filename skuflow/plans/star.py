@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import date_key, dollars, round_half_even, scalar_row
+from skuflow.functions.exprs import date_key, dollars, round_half_even
 from skuflow.operators.abc import classify_cents
 from skuflow.operators.detail import line_facts
 from skuflow.operators.scorecard import supplier_scorecard
@@ -89,11 +89,8 @@ def dim_date_between(spark: SparkSession, start, end) -> DataFrame:
 def dim_date(m: Model) -> DataFrame:
     """D1 over the model: 1 Jan of the first year to 31 Dec of the last year of
     any order or purchase-order date."""
-    span = (m.orders.select("order_date").unionByName(m.purchase_orders.select("order_date"))
-            .agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")))
-    b = scalar_row(span.select(F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("lo"),
-                               F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("hi")))
-    lo, hi = b("lo"), b("hi")
+    lo = F.make_date(F.year(m.scalar("min_any_date")), F.lit(1), F.lit(1))
+    hi = F.make_date(F.year(m.scalar("max_any_date")), F.lit(12), F.lit(31))
     return dim_date_between(m.spark, lo, hi)
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import money_sum, round_half_even, scalar_row, sort_bounded
+from skuflow.functions.exprs import money_sum, round_half_even, sort_bounded
 from skuflow.plans.measures import BOUNDED_KEYS, DIM_OF_KEY, family_frame
 from skuflow.sources.model import Model
 
@@ -32,11 +32,9 @@ def monthly_revenue_spine(m: Model, by: list[str] | tuple[str, ...] = ()) -> Dat
     monthly = (daily.withColumn("month_start", F.trunc("order_date", "MM"))
                .groupBy(*by, "month_start")
                .agg(F.sum("day_c").alias("rev_c"), F.count(F.lit(1)).alias("sales_days")))
-    span = monthly.agg(F.min("month_start").alias("lo"), F.max("month_start").alias("hi"))
-    # Calendar-year span so that year-to-date starts in January.
-    b = scalar_row(span.select(F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("lo"),
-                               F.make_date(F.year("hi"), F.lit(12), F.lit(1)).alias("hi")))
-    lo, hi = b("lo"), b("hi")
+    # Calendar-year span of the Delivered sales so that year-to-date starts in January.
+    lo = F.make_date(F.year(m.scalar("min_delivered_date")), F.lit(1), F.lit(1))
+    hi = F.make_date(F.year(m.scalar("max_delivered_date")), F.lit(12), F.lit(1))
     contexts = monthly.select(*by).distinct() if by else m.spark.range(1).select()
     spine = contexts.select(*by, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
     return spine.join(monthly, [*by, "month_start"], "left")

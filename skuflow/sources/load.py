@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from skuflow.session import ensure_checkpoint_dir
-from skuflow.sources.model import Model
+from skuflow.sources.model import Model, record_stats
 from skuflow.sources.tpch import PHASES, model_from_stages, read_sources
 
 # Stages that are fact-sized: cluster rows by date inside each file so Parquet
@@ -49,4 +50,5 @@ def load_model(spark: SparkSession, sf_dir: str, path: str | None = None) -> Mod
             futures = {name: pool.submit(stage, name, df) for name, df in plans.items()}
             for name, fut in futures.items():
                 staged[name] = fut.result()
-    return model_from_stages(staged)
+    model = model_from_stages(staged)
+    return replace(model, stats=record_stats(model))

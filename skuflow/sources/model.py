@@ -24,6 +24,39 @@ def join_line_facts(order_lines: DataFrame, orders: DataFrame, product_cost: Dat
             .select(*LINE_FACT_COLUMNS))
 
 
+def _delivered_dates(m: "Model") -> DataFrame:
+    return m.facts.filter(F.col("status") == "Delivered").select("order_date")
+
+
+def _any_dates(m: "Model") -> DataFrame:
+    return m.orders.select("order_date").unionByName(m.purchase_orders.select("order_date"))
+
+
+# name -> scalar subquery builder (used when no recorded value exists)
+SCALARS = {
+    "max_order_date": lambda m: m.orders.agg(F.max("order_date")).scalar(),
+    "min_order_date": lambda m: m.orders.agg(F.min("order_date")).scalar(),
+    "max_delivered_date": lambda m: _delivered_dates(m).agg(F.max("order_date")).scalar(),
+    "min_delivered_date": lambda m: _delivered_dates(m).agg(F.min("order_date")).scalar(),
+    "max_any_date": lambda m: _any_dates(m).agg(F.max("order_date")).scalar(),
+    "min_any_date": lambda m: _any_dates(m).agg(F.min("order_date")).scalar(),
+    "warehouse_count": lambda m: m.warehouses.agg(F.count(F.lit(1))).scalar(),
+}
+
+
+def record_stats(m: "Model") -> dict:
+    """Compute every entry of SCALARS with one small job per table."""
+    o = m.orders.agg(F.max("order_date").alias("mx"), F.min("order_date").alias("mn")).first()
+    d = _delivered_dates(m).agg(F.max("order_date").alias("mx"), F.min("order_date").alias("mn")).first()
+    p = m.purchase_orders.agg(F.max("order_date").alias("mx"), F.min("order_date").alias("mn")).first()
+    w = m.warehouses.count()
+    dates = [x for x in (o["mx"], p["mx"]) if x is not None]
+    lows = [x for x in (o["mn"], p["mn"]) if x is not None]
+    return {"max_order_date": o["mx"], "min_order_date": o["mn"], "max_delivered_date": d["mx"],
+            "min_delivered_date": d["mn"], "max_any_date": max(dates) if dates else None,
+            "min_any_date": min(lows) if lows else None, "warehouse_count": w}
+
+
 @dataclass(frozen=True)
 class Model:
     """Operational tables.  Nothing here is materialised unless asked."""
@@ -38,6 +71,16 @@ class Model:
     # Lines with their order header (date, warehouse, customer, status).  The
     # loader stages this join once; lazily it is the join itself.
     line_facts: DataFrame | None = None
+    # Scalar facts recorded by the loader (dates as ``datetime.date``); operators
+    # use them as literals so date filters reach the Parquet scan.
+    stats: dict | None = None
+
+    def scalar(self, name: str):
+        """A model-wide scalar as a Column: a literal when the loader recorded it,
+        otherwise a scalar subquery (evaluated on the executors)."""
+        if self.stats and name in self.stats:
+            return F.lit(self.stats[name])
+        return SCALARS[name](self)
 
     @property
     def spark(self) -> SparkSession:
@@ -62,7 +105,7 @@ class Model:
         t.update(frames)
         if "order_lines" not in frames and "orders" not in frames and "line_facts" not in frames:
             t["line_facts"] = self.line_facts
-        return Model(**t)
+        return Model(**t)   # recorded stats may no longer hold for replaced tables
 
     def register_views(self, prefix: str = "") -> None:
         """S3: expose the model to ``spark.sql`` as temp views."""
