@@ -19,6 +19,7 @@ from skuflow.operators.abc import classify_cents
 from skuflow.operators.detail import line_facts
 from skuflow.operators.scorecard import supplier_scorecard
 from skuflow.sources.model import Model
+from skuflow.session import ensure_checkpoint_dir
 from skuflow.sources.schemas import HIDDEN_COLUMNS
 
 # Fixed values of the date dimension: fiscal year starts in July; weekend = Sat, Sun.
@@ -173,6 +174,26 @@ def build_star(m: Model) -> Star:
                 fact_inventory=fact_inventory(m), fact_purchase_orders=fact_purchase_orders(m))
 
 
+def freeze_dimensions(star: Star) -> Star:
+    """Compute each dimension once (reliable checkpoint under spark.checkpoint.dir).
+
+    The enriched dimensions (ABC class, risk tier) come from whole analyses;
+    a validation reads every dimension several times, and Spark cannot prove
+    the enrichment joins are one-to-one, so without this each read would redo
+    the analysis.  Dimensions are dimension-sized; facts stay lazy.
+    """
+    ensure_checkpoint_dir(star.fact_sales.sparkSession)
+    t = star.tables()
+    for name in ("dim_date", "dim_product", "dim_supplier", "dim_warehouse"):
+        t[name] = t[name].checkpoint(eager=True)
+    return Star(**t)
+
+
+def validated_checks(m: Model) -> DataFrame:
+    """Q14-Q17 over the model's star schema."""
+    return star_checks(build_star(m))
+
+
 def _check(spark: SparkSession, name: str, passed: F.Column | bool, detail: F.Column | str,
            source: DataFrame | None = None) -> DataFrame:
     """One-row (check, passed, detail) frame; ``source`` is an aggregate producing the columns."""
@@ -199,8 +220,12 @@ def key_resolution(star: Star) -> DataFrame:
                  for r in RELATIONSHIPS if r[0] == fact]
         fact_keys.append(t[fact].select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
                          .filter(F.col("k").isNotNull()).distinct())
-    dim_keys = [t[dim].select(F.lit(rel_name[r]).alias("check"), F.col(key).cast("long").alias("k"))
-                for r in RELATIONSHIPS for (_, _, dim, key) in [r]]
+    # each dimension is read once; its key is tagged for every relation that uses it
+    dim_keys = []
+    for dim in dict.fromkeys(r[2] for r in RELATIONSHIPS):
+        tags = [F.struct(F.lit(rel_name[r]).alias("check"), F.col(r[3]).cast("long").alias("k"))
+                for r in RELATIONSHIPS if r[2] == dim]
+        dim_keys.append(t[dim].select(F.explode(F.array(*tags)).alias("p")).select("p.*"))
     orphans = (reduce(DataFrame.unionByName, fact_keys)
                .join(reduce(DataFrame.unionByName, dim_keys), ["check", "k"], "left_anti")
                .groupBy("check").agg(F.count(F.lit(1)).alias("n")))
@@ -257,6 +282,7 @@ def write_star(star: Star, path: str, validate: bool = True) -> dict[str, int]:
     Returns the row/column audit computed from the written files.
     """
     if validate:
+        star = freeze_dimensions(star)
         assert_valid(star_checks(star))
     audit = {}
     for name, df in star.tables().items():

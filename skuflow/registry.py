@@ -70,8 +70,8 @@ def queries() -> dict[str, QueryFn]:
         "fact_sales": _on_model(star.fact_sales),
         "fact_inventory": _on_model(star.fact_inventory),
         "fact_purchase_orders": _on_model(star.fact_purchase_orders),
-        "star_checks": _on_model(lambda m: star.star_checks(star.build_star(m))),
-        "star_verdict": _on_model(lambda m: star.verdict(star.star_checks(star.build_star(m)))),
+        "star_checks": _on_model(star.validated_checks),
+        "star_verdict": _on_model(lambda m: star.verdict(star.validated_checks(m))),
         **{name: _on_model(measures.measure_view, name=name) for name in measures.MEASURE_VIEWS},
         "class_a_share_by_category": _on_model(measures.class_a_share, by=["category"]),
         "class_a_share_by_warehouse": _on_model(measures.class_a_share, by=["warehouse_name"]),
