@@ -44,7 +44,7 @@ def load_model(spark: SparkSession, sf_dir: str, path: str | None = None) -> Mod
     staged: dict[str, DataFrame] = {}
     # Stages of one phase are independent: submit their jobs concurrently so
     # small stages overlap instead of queueing behind each other.
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=max(len(p) for p in PHASES)) as pool:
         for phase in PHASES:
             plans = {name: build(src, staged) for name, build in phase}
             futures = {name: pool.submit(stage, name, df) for name, df in plans.items()}

@@ -149,9 +149,14 @@ def _purchase_orders(lines: DataFrame) -> DataFrame:
     )
 
 
-def _pair_units(lines: DataFrame) -> DataFrame:
-    """Units per (part, supplier) once; product and supplier attributes roll up from it."""
-    return lines.groupBy("product_id", "supplier_id").agg(F.sum("quantity").cast("long").alias("units"))
+def _pair_units(src: dict[str, DataFrame]) -> DataFrame:
+    """Units per (part, supplier) once; product and supplier attributes roll up from it.
+
+    Aggregates the raw lineitem directly (partial aggregation, no line ids
+    needed), so it does not wait for the line stage."""
+    return (src["lineitem"].groupBy(F.col("l_partkey").cast("long").alias("product_id"),
+                                    F.col("l_suppkey").cast("long").alias("supplier_id"))
+            .agg(F.sum(F.col("l_quantity").cast("int")).cast("long").alias("units")))
 
 
 def _suppliers(src: dict[str, DataFrame], pair_units: DataFrame) -> DataFrame:
@@ -250,11 +255,11 @@ def _inventory(products: DataFrame, warehouses: DataFrame, orders: DataFrame) ->
 PHASES = (
     (("warehouses", lambda src, t: _warehouses(src)),
      ("orders", lambda src, t: _orders(src)),
-     ("lines", lambda src, t: _lines(src))),
-    (("pair_units", lambda src, t: _pair_units(t["lines"])),
-     ("line_facts", lambda src, t: join_line_facts(_order_lines(t["lines"]), t["orders"], _part_cost(src))),
-     ("purchase_orders", lambda src, t: _purchase_orders(t["lines"]))),
-    (("suppliers", lambda src, t: _suppliers(src, t["pair_units"])),
+     ("lines", lambda src, t: _lines(src)),
+     ("pair_units", lambda src, t: _pair_units(src))),
+    (("line_facts", lambda src, t: join_line_facts(_order_lines(t["lines"]), t["orders"], _part_cost(src))),
+     ("purchase_orders", lambda src, t: _purchase_orders(t["lines"])),
+     ("suppliers", lambda src, t: _suppliers(src, t["pair_units"])),
      ("products", lambda src, t: _products(src, t["pair_units"], t["orders"], t["warehouses"]))),
     (("inventory", lambda src, t: _inventory(t["products"], t["warehouses"], t["orders"])),),
 )
