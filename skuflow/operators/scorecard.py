@@ -98,3 +98,11 @@ def scorecard_audit(m: Model, min_delivered_pos: int = 5) -> DataFrame:
         label = F.when(F.col("correlation") > cut, F.lit(text)).otherwise(label)
     return sc.agg(r.alias("correlation"), F.count(F.lit(1)).alias("suppliers_scored")) \
              .withColumn("interpretation", label)
+
+
+def risk_tier_counts(m: Model, min_delivered_pos: int = 5) -> DataFrame:
+    """Number of scored suppliers per risk tier (value counts)."""
+    from skuflow.functions.exprs import sort_bounded
+    counts = supplier_scorecard(m, min_delivered_pos).groupBy("risk_tier").agg(
+        F.count(F.lit(1)).alias("suppliers"))
+    return sort_bounded(counts, F.desc("suppliers"), "risk_tier")   # at most three tiers

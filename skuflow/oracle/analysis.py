@@ -195,3 +195,7 @@ SELECT category, count(*) AS problem_positions, {dollars('sum(vc)')} AS capital_
 FROM q_dead WHERE stock_status IN ('Dead', 'Slow-Moving')
 GROUP BY category ORDER BY capital_tied_up DESC, category
 """, _dead(90))
+
+SQL["risk_tier_counts"] = with_binding("""
+SELECT risk_tier, count(*) AS suppliers FROM q_card GROUP BY risk_tier ORDER BY suppliers DESC, risk_tier
+""", _SCORE)

@@ -165,3 +165,10 @@ SELECT 'risk_tier labels valid' AS "check", n = 0 AS passed, printf('%d invalid'
 FROM (SELECT count_if(NOT coalesce(risk_tier IN ('Preferred', 'Monitor', 'High Risk', 'Insufficient Data'),
                                    false)) AS n FROM q_dim_supplier)
 """, _ABC + "," + _SCORE + "," + _DIM_PRODUCT + "," + _DIM_SUPPLIER)
+
+_GEN_PARTS = ["dq_row_counts", "dq_fk", "dq_check", "dq_dates_window", "dq_on_time_share", "dq_stockout_share",
+              "dq_dead_share", "dq_top20_share"]
+SQL["dq_generation_report"] = " UNION ALL ".join(f"SELECT * FROM ({SQL[k]})" for k in _GEN_PARTS)
+SQL["dq_generation_verdict"] = (
+    "SELECT bool_and(passed) AS all_passed, count_if(NOT passed) AS failed_checks, count(*) AS checks "
+    f"FROM ({SQL['dq_generation_report']})")

@@ -128,3 +128,10 @@ SQL["star_checks"] = with_binding(_CHECKS, STAR_CTES)
 SQL["star_verdict"] = with_binding(
     f"SELECT bool_and(passed) AS all_passed, count_if(NOT passed) AS failed_checks, count(*) AS checks "
     f"FROM ({_CHECKS})", STAR_CTES)
+
+SQL["dim_date_gaps"] = with_binding("""
+SELECT date, gap_days FROM (
+    SELECT date, CAST(date_diff('day', lag(date) OVER (ORDER BY date), date) AS INTEGER) AS gap_days
+    FROM q_dim_date)
+WHERE gap_days IS NOT NULL AND gap_days <> 1
+""", _DIM_DATE)

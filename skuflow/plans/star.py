@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import date_key, dollars, round_half_even
@@ -261,6 +261,17 @@ def star_checks(star: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
+def date_gaps(dim: DataFrame) -> DataFrame:
+    """Dates whose gap to the previous date is not one day (empty when contiguous).
+
+    The window is ordered over the date dimension itself - one row per
+    calendar day, bounded by the calendar span, not by the facts.
+    """
+    w = Window.orderBy("date")
+    return (dim.select("date", F.datediff("date", F.lag("date").over(w)).alias("gap_days"))
+            .filter(F.col("gap_days").isNotNull() & (F.col("gap_days") != 1)))
+
+
 def verdict(checks: DataFrame) -> DataFrame:
     """Q18: overall verdict row (all checks passed?)."""
     return checks.agg(F.every("passed").alias("all_passed"),

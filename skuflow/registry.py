@@ -40,6 +40,12 @@ def _row_counts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_count_checks(m, quality.expected_counts_from_sources(m, src))
 
 
+def _generation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = bind(spark, sf_dir)
+    src = read_sources(spark, sf_dir)
+    return quality.generation_report(m, quality.expected_counts_from_sources(m, src))
+
+
 def _labels(m):
     return quality.label_checks(star.dim_product(m), star.dim_supplier(m))
 
@@ -72,6 +78,10 @@ def queries() -> dict[str, QueryFn]:
         "fact_purchase_orders": _on_model(star.fact_purchase_orders),
         "star_checks": _on_model(star.validated_checks),
         "star_verdict": _on_model(lambda m: star.verdict(star.validated_checks(m))),
+        "dim_date_gaps": _on_model(lambda m: star.date_gaps(star.dim_date(m))),
+        "risk_tier_counts": _on_model(scorecard.risk_tier_counts),
+        "dq_generation_report": _generation_report,
+        "dq_generation_verdict": lambda spark, sf_dir: quality.verdict(_generation_report(spark, sf_dir)),
         **{name: _on_model(measures.measure_view, name=name) for name in measures.MEASURE_VIEWS},
         "class_a_share_by_category": _on_model(measures.class_a_share, by=["category"]),
         "class_a_share_by_warehouse": _on_model(measures.class_a_share, by=["warehouse_name"]),

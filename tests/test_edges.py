@@ -133,3 +133,10 @@ def test_time_intelligence_missing_month_and_first_year(spark):
     assert jan24["revenue_yoy_arrow"] == "▲ 20.0%"
     # trailing 3 months of 2023-03: revenue 40.00 over 2 days with sales
     assert rows["2023-03"]["revenue_3m_avg"] == 20.0
+
+
+def test_date_gap_detected(spark):
+    d = star.dim_date_between(spark, D(2024, 2, 27), D(2024, 3, 3)).filter(F.col("date") != D(2024, 2, 29))
+    gaps = [(r["date"], r["gap_days"]) for r in star.date_gaps(d).collect()]
+    assert gaps == [(D(2024, 3, 1), 2)]
+    assert star.date_gaps(star.dim_date_between(spark, D(2024, 2, 27), D(2024, 3, 3))).count() == 0
