@@ -36,6 +36,7 @@ SUPPLIER_KEYS = ("supplier_id", "supplier_name", "supplier_region", "risk_tier")
 # D8 relationships: which dimensions each family can filter through.
 FAMILY_DIMS = {
     "lines": ("product", "warehouse", "date"),
+    "lines_product": ("product", "warehouse", "date"),
     "sales": ("product", "warehouse", "date"),
     "orders": ("product", "warehouse", "date"),
     "inventory": ("product", "warehouse"),
@@ -106,7 +107,10 @@ _HIDDEN = [
                                                     _c("value_c").cast(EXACT))), ""),
     _m("_positions", "inventory", lambda: F.count(F.lit(1)), ""),
     _m("_orders_all", "lines", lambda: F.count(F.lit(1)), ""),
-    _m("_a_rev_c", "lines", lambda: _dsum("a_rev_c"), ""),
+    # Class A revenue: Delivered revenue aggregated to (context, product) first,
+    # then classified - the product-level ABC table never meets line rows.
+    _m("_a_rev_c", "lines_product",
+       lambda: F.sum(F.when(_c("abc_class") == "A", _c("rev_c"))), ""),
 ]
 
 MEASURES: dict[str, Measure] = {m.name: m for m in _HIDDEN + [
@@ -162,7 +166,7 @@ MEASURES: dict[str, Measure] = {m.name: m for m in _HIDDEN + [
 ]}
 
 # Aggregates that read the ABC class of the sold product.
-NEEDS_ABC = {"_a_rev_c"}
+NEEDS_ABC: set[str] = set()
 
 PUBLIC_MEASURES = tuple(n for n in MEASURES if not n.startswith("_"))
 
@@ -245,6 +249,26 @@ def family_frame(m: Model, family: str, keys: set[str]) -> DataFrame:
     raise ValueError(f"unknown family {family}")
 
 
+def lines_by_product(m: Model, by: list[str]) -> DataFrame:
+    """Delivered revenue per (non-product context keys, product), classified afterwards.
+
+    Partial aggregation shrinks the lines to one row per product and context
+    before the product dimension (with the ABC class) is joined, so a hot SKU
+    never makes a skewed line-level join.
+    """
+    non_product = [k for k in by if DIM_OF_KEY[k] != "product"]
+    f = m.facts.filter(F.col("status") == "Delivered")
+    if _need(set(by), "date"):
+        f = f.select("*", *_date_attrs(F.col("order_date")))
+    group = [k for k in non_product if DIM_OF_KEY[k] == "date"]
+    if _need(set(by), "warehouse"):
+        group.append("warehouse_id")
+    g = f.groupBy(*group, "product_id").agg(money_sum(F.col("quantity") * F.col("price_cents")).alias("rev_c"))
+    if _need(set(by), "warehouse"):
+        g = g.join(_warehouse_dim(m), "warehouse_id")
+    return g.join(_product_dim(m, set(by) | {"abc_class"}), "product_id")
+
+
 def lines_order_grain(m: Model, by: list[str], need_abc: bool) -> DataFrame:
     """All-status lines aggregated to (context keys, order, status).
 
@@ -303,6 +327,8 @@ def evaluate(m: Model, measures: list[str] | tuple[str, ...], by: list[str] | tu
         need_abc = any(x.name in NEEDS_ABC for x in ms_list)
         if fam == "lines":
             f = lines_order_grain(m, by, need_abc)
+        elif fam == "lines_product":
+            f = lines_by_product(m, by)
         else:
             f = family_frame(m, fam, keys | ({"abc_class"} if need_abc else set()))
         aggs = [ms.agg().alias(ms.name) for ms in ms_list]
