@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 2_000_000
+MAX_RANGES = 1024
 SAMPLE_PER_RANGE = 64
 
 _BOUNDS: dict[int, tuple[DataFrame, int]] = {}
@@ -72,7 +73,10 @@ def running_totals(df: DataFrame, keys: list[tuple[str, bool]], value: str, *,
     (descending revenue, ascending id); it must be unique per row.
     """
     order = [F.col(n).desc() if d else F.col(n).asc() for n, d in keys]
-    k = max(1, math.ceil(row_bound / rows_per_range))
+    # k ranges of about rows_per_range rows, at most MAX_RANGES: beyond that the
+    # ranges grow instead (a range's running window spills through Spark's
+    # external row buffer), keeping the range-assignment expression small.
+    k = min(MAX_RANGES, max(1, math.ceil(row_bound / rows_per_range)))
     if k == 1:
         w = Window.partitionBy(F.lit(0)).orderBy(*order)
         out = (df.withColumn(rank_col, F.row_number().over(w).cast("long"))
