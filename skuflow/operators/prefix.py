@@ -21,6 +21,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skuflow.session import ensure_checkpoint_dir
+
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 1024
 SAMPLE_PER_RANGE = 64
@@ -90,6 +92,7 @@ def running_totals(df: DataFrame, keys: list[tuple[str, bool]], value: str, *,
 
     # Many ranges: freeze the input (reliable checkpoint, survives executor loss),
     # sample boundaries, then work range by range.
+    ensure_checkpoint_dir(df.sparkSession)
     base = df.checkpoint(eager=True)
     n = base.count()
     fraction = min(1.0, SAMPLE_PER_RANGE * k / max(n, 1))
