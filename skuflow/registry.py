@@ -131,6 +131,24 @@ def queries() -> dict[str, QueryFn]:
     }
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; Spark's count_if is BIGINT.  Rewrite
+    ``count_if(x)`` as ``count(CASE WHEN (x) THEN 1 END)`` (same NULL rule, BIGINT)."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = _bigint_counts(sql[j + len(key):k - 1])
+        out.append(sql[i:j] + f"count(CASE WHEN ({inner}) THEN 1 END)")
+        i = k
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(q_sql.SQL)
@@ -146,4 +164,5 @@ def oracle_sql() -> dict[str, str]:
     out["class_a_share_by_warehouse"] = m_sql.class_a_share_sql(["warehouse_name"], False)
     out["revenue_time_intelligence"] = m_sql.time_intelligence_sql([])
     out["revenue_time_intelligence_by_warehouse"] = m_sql.time_intelligence_sql(["warehouse_name"])
+    out = {k: _bigint_counts(v) for k, v in out.items()}
     return out

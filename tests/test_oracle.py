@@ -43,6 +43,19 @@ def test_entry_smoke(spark):
     assert df.count() == 5
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_same_column_types(spark, con, key):
+    sdf = E.queries()[key](spark, SF001)
+    mine = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+            for f in sdf.schema.fields}
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()}
+    assert mine == theirs
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(spark, con, key):
     sdf = E.queries()[key](spark, SF001)
