@@ -72,3 +72,15 @@ def test_money_label(spark):
     df = spark.createDataFrame([(1234567.0,), (4321.0,), (900.0,), (None,)], "x double")
     got = [r[0] for r in df.select(money_label(F.col("x"))).collect()]
     assert got == ["$1.2M", "$4.3K", "$900", None]
+
+
+def test_sql_over_registered_views(spark, model):
+    """S3: the model as temp views; SQL text gives the same answer as the DataFrame operator."""
+    model.register_views(prefix="m_")
+    sql = spark.sql("""
+        SELECT p.category, count(*) AS dead_stock_positions, sum(i.quantity_on_hand) AS total_units_tied_up
+        FROM m_inventory i JOIN m_products p ON p.product_id = i.product_id
+        WHERE i.quantity_on_hand >= p.safety_stock * 4
+        GROUP BY p.category""")
+    df = questions.dead_stock_value(model).select("category", "dead_stock_positions", "total_units_tied_up")
+    assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, df.collect()))
