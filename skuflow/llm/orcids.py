@@ -56,27 +56,40 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = tokens.END_
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", BLOOM_FPP).orc(path))
 
 
+def _file_starts(rows: DataFrame) -> DataFrame:
+    """Ids before each file: one row per file, so the running sum is small however many documents there are."""
+    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("__total"))
+    return totals.select(F.col("part").alias("__part"),
+                         (F.sum("__total").over(Window.orderBy("part")) - F.col("__total")).alias("__before"))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Documents of the files: doc_id, start (ids of all documents before it), n_tokens, ids."""
     rows = spark.read.schema(FILE_SCHEMA).orc(path)
-    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("__total"))
-    # One row per file: the running sum over files is small however many documents there are.
-    before = totals.select(F.col("part").alias("__part"), (F.sum("__total").over(Window.orderBy("part")) - F.col("__total")).alias("__before"))
+    before = _file_starts(rows)
     return (rows.join(before, rows["part"] == before["__part"])
             .select("doc_id", (F.col("__before") + F.col("part_start")).alias("start"), "n_tokens", "ids"))
 
 
-def checksums(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and the crc32 of each document's ids as little-endian unsigned 32-bit integers."""
-    small_batches(rows.sparkSession, 256)
+def digest(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens and the crc32 of each document's ids as little-endian unsigned 32-bit integers.
+
+    The ids are digested where they are read; only a short row per document meets the file starts.
+    """
+    small_batches(spark, 256)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(3)
             values, at = np.asarray(lists.values).astype("<u4"), np.asarray(lists.offsets)
             crc = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"])
+                [*batch.columns[:3], pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64())],
+                ["doc_id", "part", "part_start", "n_tokens", "ids_crc32"])
 
-    return rows.select("doc_id", "start", "ids").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    files = spark.read.schema(FILE_SCHEMA).orc(path)
+    rows = files.select("doc_id", "part", "part_start", "ids").mapInArrow(
+        run, "doc_id bigint, part bigint, part_start bigint, n_tokens bigint, ids_crc32 bigint")
+    before = _file_starts(files)
+    return (rows.join(before, rows["part"] == before["__part"])
+            .select("doc_id", (F.col("__before") + F.col("part_start")).alias("start"), "n_tokens", "ids_crc32"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import orcids, packing, tokens
+from skuflow.llm import decontam, orcids, packing, tokens
 from skuflow.llm.common import scratch_dir
 
 
@@ -16,10 +16,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
 def op9_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/token-ids-{uuid.uuid4().hex}"
     orcids.write(_table(spark, sf_dir, "documents"), path, tokens.vocabulary())
-    return orcids.checksums(orcids.read(spark, path))
+    return orcids.digest(spark, path)
 
 
 def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +36,40 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_winnowing": op1_winnowing,
     "op9_orc_token_ids": op9_orc_token_ids,
     "op10_cost_packing": op10_cost_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP1_SQL = r"""
+WITH dw AS (
+  SELECT doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+bw AS (
+  SELECT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bwin AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS m, list_slice(w, i, i + least(13, len(w)) - 1) AS g
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM bw WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT m FROM bwin),
+dwin AS (
+  SELECT doc_id, m, i, list_slice(w, i, i + m - 1) AS g
+  FROM (SELECT doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM dw, lens WHERE len(w) >= m)),
+hit AS (SELECT d.doc_id, d.i, d.m, b.item_id FROM dwin d JOIN bwin b ON d.m = b.m AND d.g = b.g),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(generate_series(i, i + m - 1)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS names
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_winnowing": _OP1_SQL,
+}
