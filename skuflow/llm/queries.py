@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import decontam, orcids, packing, tokens
+from skuflow.llm import decontam, neardup, orcids, packing, tokens
 from skuflow.llm.common import scratch_dir
 
 
@@ -24,6 +24,10 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def op5_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def op9_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/token-ids-{uuid.uuid4().hex}"
     orcids.write(_table(spark, sf_dir, "documents"), path, tokens.vocabulary())
@@ -37,6 +41,7 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
+    "op5_minhash_bayes": op5_minhash_bayes,
     "op9_orc_token_ids": op9_orc_token_ids,
     "op10_cost_packing": op10_cost_packing,
 }
@@ -70,6 +75,27 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(4, len(w)) - 1), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_n FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * both_n >= 80 * (na.n + nb.n - both_n)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+root AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, root.component_id, d.doc_id = root.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN root USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_minhash_bayes": _OP5_SQL,
     "op1_winnowing": _OP1_SQL,
 }
