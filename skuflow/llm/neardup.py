@@ -5,10 +5,11 @@
 2. Signatures are cut into bands; classes that agree on a band share a bucket. At
    the threshold of 0.8, 32 bands of 4 miss a pair with probability 5e-8.
 3. A bucket of up to SMALL classes lists its pairs. A larger one compares all its
-   classes with a pivot, in PIVOT_ROUNDS rounds with another pivot each; classes
-   that are by then in one component need no further comparison. What is left -
-   classes of different components in one bucket - is compared in blocks of at most
-   about BLOCK classes a side, without listing the pairs.
+   classes with its least one; classes that are by then in one component need no
+   further comparison. What is left - classes of different components in one bucket -
+   is compared and verified in blocks of at most about BLOCK classes a side. A block
+   returns only the links that join components, and compares a pair only in the first
+   band that the two share, so pairs are never listed.
 4. Every comparison reads the signatures batch by batch: after n hashes with m
    agreements the similarity has a Beta(m + 1, n - m + 1) posterior, and a pair
    goes as soon as the chance of reaching the threshold is below ``miss``.
@@ -36,8 +37,8 @@ from skuflow.llm import words
 from skuflow.llm.common import small_batches, stage, text_blocks
 
 HASHES, ROWS_PER_BAND, BATCH = 128, 4, 16
-SMALL, BLOCK, PIVOT_ROUNDS = 8, 512, 3
-MISS = 1e-6
+SMALL, BLOCK = 8, 512
+MISS = 1e-5
 _rng = np.random.default_rng(99)
 _XOR = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _MUL = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -99,6 +100,15 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint32).reshape(-1, HASHES)
 
 
+def _band_keys(signs: np.ndarray) -> np.ndarray:
+    """The bucket key of each signature and band."""
+    parts = signs.astype(np.uint64).reshape(len(signs), -1, ROWS_PER_BAND)
+    key = np.broadcast_to(_BAND_SEED, parts.shape[:2]).copy()
+    for j in range(ROWS_PER_BAND):
+        key = words.mix(key * np.uint64(0xD1342543DE82EF95) + parts[:, :, j])
+    return key.view(np.int64)
+
+
 def _bands(classes: DataFrame) -> DataFrame:
     """One row per class and band: bucket key, class."""
 
@@ -107,16 +117,31 @@ def _bands(classes: DataFrame) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             ids = np.asarray(batch.column(0))
-            parts = _matrix(batch.column(1).to_pylist()).astype(np.uint64).reshape(len(ids), -1, ROWS_PER_BAND)
-            key = np.broadcast_to(_BAND_SEED, parts.shape[:2]).copy()
-            for j in range(ROWS_PER_BAND):
-                key = words.mix(key * np.uint64(0xD1342543DE82EF95) + parts[:, :, j])
+            key = _band_keys(_matrix(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(ids, key.shape[1]))], ["key", "cid"])
+                [pa.array(key.ravel()), pa.array(np.repeat(ids, key.shape[1]))], ["key", "cid"])
 
     return classes.select("cid", "signature").mapInArrow(run, "key bigint, cid bigint")
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """cid and text of the documents whose id is in ``ids``, written once.
+
+    The ids are few against the documents, so Spark may build a Bloom filter of
+    them and drop other documents in the scan, before the shuffle.
+    """
+    conf = docs.sparkSession.conf
+    conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1MB")
+    conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "64MB")
+    ids = stage(ids.distinct(), "needed").where(F.col("cid") >= F.lit(-(1 << 63)))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("cid"), F.col("text").cast("string").alias("text"))
+    texts = stage(texts.join(ids, "cid"), "texts")
+    if texts.groupBy("cid").count().where("count > 1").limit(1).count():      # a doc_id with several rows
+        texts = texts.distinct()
+    return texts
+
+
 def least_agreements(threshold: float, miss: float) -> dict[int, int]:
     """For each number of hashes read, the agreements below which a pair is given up.
 
@@ -161,12 +186,7 @@ def _prune(pairs: DataFrame, classes: DataFrame, least: dict[int, int]) -> DataF
 def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs whose whole shingle sets have 100 * intersection >= percent * union."""
     pairs = stage(pairs, "survivors")
-    needed = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    texts = (docs.select(F.col("doc_id").cast("bigint").alias("cid"), F.col("text").cast("string").alias("text"))
-             .join(needed, "cid", "left_semi"))
-    texts = stage(texts, "texts")
-    if texts.groupBy("cid").count().where("count > 1").limit(1).count():      # a doc_id with several rows
-        texts = texts.distinct()
+    texts = _texts(docs, pairs.select(F.col("a").alias("cid")).union(pairs.select("b")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,8 +230,9 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
-def _unlinked(members: DataFrame, classes: DataFrame, least: dict[int, int], block: int) -> DataFrame:
-    """Pairs of one bucket but different components that the signatures don't give up, block against block."""
+def _unlinked(members: DataFrame, classes: DataFrame, docs: DataFrame, least: dict[int, int], k: int, percent: int,
+              block: int = BLOCK) -> DataFrame:
+    """Verified links (a, b) that join different components of a bucket, found block against block."""
     per = members.groupBy("key", "root").agg(F.count("*").alias("c"))
     mixed = (per.groupBy("key").agg(F.count("*").alias("roots"), F.sum(F.when(F.col("c") <= block, F.col("c")).otherwise(0)).alias("few"))
              .where("roots > 1"))
@@ -229,22 +250,40 @@ def _unlinked(members: DataFrame, classes: DataFrame, least: dict[int, int], blo
              .union(against.where("not (tag1 = tag2 and own1 = own2 and i1 = i2)")
                     .select("key", "pair", "tag2", "own2", "i2", F.lit(1))))
     placed = members.join(per, ["key", "root"]).withColumn("i", F.pmod(F.xxhash64("cid"), F.col("n")).cast("int"))
-    rows = placed.join(sides, ["key", "tag", "own", "i"]).join(classes.select("cid", "signature"), "cid")
+    rows = (placed.join(sides, ["key", "tag", "own", "i"]).join(classes.select("cid", "signature"), "cid")
+            .join(_texts(docs, members.select("cid")), "cid"))
 
     def compare(frame):
         import pandas as pd
 
-        a, b = frame[frame.side == 0], frame[frame.side == 1]
-        b = a if b.empty else b
-        left, right = _matrix(a.signature), _matrix(b.signature)
+        frame = frame.sort_values(["side", "cid"], kind="stable")
+        sides_, ids, roots = frame.side.to_numpy(), frame.cid.to_numpy(), frame.root.to_numpy().copy()
+        signs = _matrix(frame.signature)
+        bands = _band_keys(signs)
+        own = (bands == frame.key.iat[0]).argmax(1)[0]              # the band of this bucket
+        sets: list[np.ndarray] = []
+        for _, _, data, offsets in text_blocks(pa.array(frame.text, pa.string())):
+            sets += shingle_sets(data, offsets, k)
+        other = np.flatnonzero(sides_ == 1) if sides_.any() else np.arange(len(ids))
         found: list[tuple[int, int]] = []
-        for i in range(len(a)):
-            alive = np.flatnonzero(b.root.to_numpy() != a.root.iat[i])
-            alive = alive[_survive(np.broadcast_to(left[i], (len(alive), HASHES)), right[alive], least)]
-            found += [(a.cid.iat[i], other) for other in b.cid.to_numpy()[alive].tolist()]
-        return pd.DataFrame([(min(p), max(p)) for p in found], columns=["a", "b"], dtype="int64")
-
-    return (rows.select("key", "pair", "cid", "root", "side", "signature").groupBy("key", "pair")
+        for i in np.flatnonzero(sides_ == 0):
+            j = other[roots[other] != roots[i]]
+            if own:
+                j = j[~(bands[j, :own] == bands[i, :own]).any(1)]   # pairs that share an earlier band are compared there
+            j = j[_survive(np.broadcast_to(signs[i], (len(j), HASHES)), signs[j], least)]
+            if not len(j) or not len(sets[i]):
+                continue
+            sizes = np.array([len(sets[m]) for m in j])
+            flat = np.concatenate([sets[m] for m in j])
+            at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
+            both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+            for m in j[100 * both >= percent * (len(sets[i]) + sizes - both)]:
+                if roots[m] != roots[i]:
+                    found.append((min(ids[i], ids[m]), max(ids[i], ids[m])))
+                    roots[roots == roots[m]] = roots[i]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return (rows.select("key", "pair", "cid", "root", "side", "signature", "text").groupBy("key", "pair")
             .applyInPandas(compare, "a bigint, b bigint").distinct())
 
 
@@ -269,24 +308,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     links = stage(_verify(_prune(few.union(star).distinct(), classes, least), docs, shingle, percent), "links")
 
     roots = components(links)
-    for turn in range(1, PIVOT_ROUNDS + 1):
-        named_members = (large.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-                         .withColumn("root", F.coalesce("root", "cid")))
-        mixed = named_members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-        open_ = stage(named_members.join(mixed, "key", "left_semi"), "members")
-        if open_.isEmpty():
-            break
-        if turn == PIVOT_ROUNDS:
-            pairs = _unlinked(open_, classes, least, BLOCK)
-        else:
-            pick = open_.groupBy("key").agg(F.min_by(F.struct("cid", "root"), F.xxhash64("root", "cid", F.lit(turn))).alias("p"))
-            pairs = (open_.join(pick, "key").where("root != p.root")
-                     .select(F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")).distinct())
-            pairs = _prune(pairs, classes, least)
-        more = stage(_verify(pairs, docs, shingle, percent), "links")
-        if not more.isEmpty():
-            links = links.union(more)
-            roots = components(links)
+    placed = (large.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid")))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    open_ = stage(placed.join(mixed, "key", "left_semi"), "members")
+    if not open_.isEmpty():
+        more = stage(_unlinked(open_, classes, docs, least, shingle, percent), "links")
+        roots = components(links.union(more))
 
     root_of = classes.select("k1", "k2", "n_shingles", "cid").join(roots, roots["node"] == F.col("cid"), "left").select(
         "k1", "k2", "n_shingles", F.coalesce("root", "cid").alias("component_id"))
