@@ -1,20 +1,65 @@
-"""The corpus pipeline: stages applied one after another, each written and read again."""
+"""The corpus pipeline: language ID, near-duplicates, decontamination, pseudonyms, packing.
+
+Each stage works on all that its predecessor kept and is written as Parquet and read
+again. Every stage but the last returns the columns of ``documents``. doc_id names a
+document; a null doc_id names a document of its own kind, so such rows are kept or
+dropped together where a stage decides by id (near-duplicates always keep them).
+Rows of an empty table stay none.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skuflow.llm import decontam, langid, neardup, packing, pii, tokens
+from skuflow.llm.common import drop_ids, stage
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a language: no letter, or no language with half of the decoded score."""
+    found = langid.identify(docs)
+    rejected = stage(found.where((F.col("lang_pred") == langid.UNDETERMINED) | F.col("ambiguous")).select("doc_id"), "rejected")
+    return drop_ids(docs, rejected)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the least id of each group; a doc_id that has several rows keeps one."""
+    found = stage(neardup.near_duplicates(docs), "near-duplicates")
+    kept = drop_ids(docs, found.where(~F.col("kept")).select("doc_id"))
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.limit(1).count():
+        again = kept.join(repeated, "doc_id", "left_semi").select(*kept.columns)
+        kept = drop_ids(kept, repeated).union(again.dropDuplicates(["doc_id"]))
+    return kept
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of which a twentieth or more of the words are benchmark passages."""
+    found = decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bad = stage(found.where(decontam.contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id"), "contaminated")
+    return drop_ids(docs, bad)
+
 
-from skuflow.llm import packing, tokens
-from skuflow.llm.common import stage
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in the texts; no document goes."""
+    return pii.pseudonymise_table(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cost-balanced packing of the kept documents; the last stage returns pieces."""
+    """Packs all remaining documents; returns pieces."""
     return packing.pack(docs, tokens.vocabulary())
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("pseudonyms", pseudonyms),
+    ("packing", pack),
+]
 
+#: A fitted classifier and a tokenizer are not expressible in SQL; tests/llm compare with a plain version.
 ORACLE_SQL = None
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import decontam, neardup, orcids, packing, tokens
+from skuflow.llm import decontam, langid, neardup, orcids, packing, pii, quality_fm, tokens
 from skuflow.llm.common import scratch_dir
 
 
@@ -24,10 +24,22 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise_documents(_table(spark, sf_dir, "documents"))
+
+
+def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op6_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/token-ids-{uuid.uuid4().hex}"
     orcids.write(_table(spark, sf_dir, "documents"), path, tokens.vocabulary())
@@ -41,7 +53,10 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
+    "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
+    "op4_factorisation_machine": op4_factorisation_machine,
     "op5_minhash_bayes": op5_minhash_bayes,
+    "op6_ecoc_language": op6_ecoc_language,
     "op9_orc_token_ids": op9_orc_token_ids,
     "op10_cost_packing": op10_cost_packing,
 }
