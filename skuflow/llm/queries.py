@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import decontam, langid, neardup, orcids, packing, pii, quality_fm, tokens
+from skuflow.llm import decontam, langid, neardup, orcids, outliers, packing, pii, quality_fm, tokens, urllist
 from skuflow.llm.common import scratch_dir
 
 
@@ -40,6 +40,37 @@ def op6_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_mcd_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(_table(spark, sf_dir, "documents"))
+
+
+def _number(column, first: int, n: int):
+    """A number from hex digits of an md5, the same in Spark and in the SQL."""
+    return F.conv(F.substring(F.md5(column.cast("binary")), first, n), 16, 10).cast("bigint")
+
+
+def url_entries(pages: DataFrame) -> DataFrame:
+    """A dated list derived from the pages' hosts and their parent domains: adds, removes and second adds."""
+    hosts = pages.select(urllist.host(F.col("url")).alias("h")).where("h is not null").distinct()
+    parents = hosts.select(F.regexp_replace("h", r"^[^.]+\.", "").alias("h"))
+    names = hosts.union(parents).distinct().withColumn("kind", _number(F.col("h"), 1, 4) % 4).where("kind < 2")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (_number(F.col("h"), 5, 4) % 200).cast("int"))
+    held = (_number(F.col("h"), 9, 4) % 90 + 10).cast("int")
+    rows = names.select(F.col("h").alias("pattern"), F.when(F.col("kind") == 0, "spam").otherwise("adult").alias("list"), F.explode(F.array(
+        F.struct(F.lit("add").alias("action"), day.alias("day")),
+        F.struct(F.lit("remove").alias("action"), F.date_add(day, held).alias("day")),
+        F.struct(F.lit("add").alias("action"), F.date_add(day, held * 2).alias("day")))).alias("e"))
+    return rows.select("pattern", "list", "e.action", "e.day")
+
+
+def op8_temporal_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 37 % 366).cast("int"))
+    captures = pages.select(F.col("page_id").alias("id"), "url", day.alias("day"))
+    found = urllist.judge(captures, url_entries(pages))
+    return found.select(F.col("id").alias("page_id"), "host", F.col("day").alias("fetched"), "blocked", "pattern", "list", "valid_from", "valid_to")
+
+
 def op9_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/token-ids-{uuid.uuid4().hex}"
     orcids.write(_table(spark, sf_dir, "documents"), path, tokens.vocabulary())
@@ -57,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_factorisation_machine": op4_factorisation_machine,
     "op5_minhash_bayes": op5_minhash_bayes,
     "op6_ecoc_language": op6_ecoc_language,
+    "op7_mcd_rules": op7_mcd_rules,
+    "op8_temporal_urls": op8_temporal_urls,
     "op9_orc_token_ids": op9_orc_token_ids,
     "op10_cost_packing": op10_cost_packing,
 }
@@ -110,7 +143,32 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, root.component_
 FROM documents d LEFT JOIN n USING (doc_id) JOIN root USING (doc_id)
 """
 
+_OP8_SQL = r"""
+WITH p AS (
+  SELECT page_id, CAST(DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS DATE) AS fetched,
+         nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.$', ''), '') AS host
+  FROM pages),
+hosts AS (SELECT DISTINCT host AS h FROM p WHERE host IS NOT NULL),
+names AS (SELECT h FROM hosts UNION SELECT regexp_replace(h, '^[^.]+\.', '') FROM hosts),
+listed AS (
+  SELECT h, CAST('0x' || substr(md5(h), 1, 4) AS BIGINT) % 4 AS kind,
+         DATE '2024-01-01' + CAST(CAST('0x' || substr(md5(h), 5, 4) AS BIGINT) % 200 AS INTEGER) AS d,
+         CAST(CAST('0x' || substr(md5(h), 9, 4) AS BIGINT) % 90 + 10 AS INTEGER) AS held
+  FROM names),
+valid AS (
+  SELECT h AS pattern, CASE kind WHEN 0 THEN 'spam' ELSE 'adult' END AS list, CAST(d AS DATE) AS valid_from, CAST(d + held AS DATE) AS valid_to
+  FROM listed WHERE kind < 2
+  UNION ALL
+  SELECT h, CASE kind WHEN 0 THEN 'spam' ELSE 'adult' END, CAST(d + 2 * held AS DATE), NULL FROM listed WHERE kind < 2),
+held AS (
+  SELECT page_id, v.*, row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC, list, valid_from DESC) AS k
+  FROM p JOIN valid v ON (host = pattern OR ends_with(host, '.' || pattern)) AND valid_from <= fetched AND (valid_to IS NULL OR fetched < valid_to))
+SELECT p.page_id, p.host, p.fetched, pattern IS NOT NULL AS blocked, pattern, list, valid_from, valid_to
+FROM p LEFT JOIN held ON held.page_id = p.page_id AND k = 1
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op8_temporal_urls": _OP8_SQL,
     "op5_minhash_bayes": _OP5_SQL,
     "op1_winnowing": _OP1_SQL,
 }
