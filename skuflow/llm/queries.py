@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import decontam, langid, neardup, orcids, outliers, packing, pii, quality_fm, tokens, urllist
+from skuflow.llm import decontam, langid, neardup, orcids, outliers, packing, pii, quality_fm, suffixes, tokens, urllist
 from skuflow.llm.common import scratch_dir
 
 
@@ -28,6 +28,12 @@ def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", F.aggregate("spans", F.lit(0).cast("bigint"), lambda t, s: t + s["end"] - s["first"]).alias("n_removed"),
+                        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -85,6 +91,7 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
     "op2_feistel_pseudonyms": op2_feistel_pseudonyms,
+    "op3_two_stage_suffixes": op3_two_stage_suffixes,
     "op4_factorisation_machine": op4_factorisation_machine,
     "op5_minhash_bayes": op5_minhash_bayes,
     "op6_ecoc_language": op6_ecoc_language,
