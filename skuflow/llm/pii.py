@@ -42,7 +42,7 @@ _PATTERN = re.compile(
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))"
     r"|(?P<phone>\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]))"
-    r"|(?P<card>(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-]))"
+    r"|(?P<card>(?<![\d.-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}(?P<gap2>[ -])\d{6}(?P=gap2)\d{4,5})(?![\d-]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<sep>[./])\d{1,2}(?P=sep)\d{4})(?![\d-]))", re.ASCII)
 
@@ -211,12 +211,14 @@ def pseudonymise(text: str | None, permute: Permutation) -> tuple[str | None, li
     """The text with pseudonyms, and (kind, start, end) of each in the new text."""
     if not text:
         return text, []
-    out, found, last, size = [], [], 0, 0
-    for m in _PATTERN.finditer(text):
+    out, found, last, size, at = [], [], 0, 0, 0
+    while m := _PATTERN.search(text, at):
         kind = next(k for k in KINDS if m.group(k) is not None)
         made = _MAKERS[kind](m.group(), permute)
-        if made is None:
+        if made is None:                              # not valid: another value may begin within it
+            at = m.start() + 1
             continue
+        at = m.end()
         out += [text[last:m.start()], made]
         size += m.start() - last
         found.append((kind, size, size + len(made)))
