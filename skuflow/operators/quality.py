@@ -168,7 +168,7 @@ def date_window_check(m: Model, start: str = DEFAULT_ORDER_WINDOW[0], end: str =
     """Q9: every order date inside [start, end]."""
     a = m.orders.agg(F.count_if(~F.col("order_date").between(F.lit(start).cast("date"),
                                                              F.lit(end).cast("date"))).alias("n"))
-    return _rows(a, F.lit("order_date within simulation window"), F.col("n") == 0,
+    return _rows(a, F.lit("order_date within dates of the orders"), F.col("n") == 0,
                  F.format_string("%d outside", F.col("n")))
 
 

@@ -22,7 +22,7 @@ b_orders AS (
     JOIN nation n ON n.n_nationkey = c.c_nationkey
 ),
 b_li AS (
-    SELECT l_orderkey * 1000 + row_number() OVER (
+    SELECT l_orderkey * 1048576 + row_number() OVER (
                PARTITION BY l_orderkey
                ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS line_id,
            l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS supplier_id,
@@ -88,7 +88,7 @@ b_bounds AS (
 ),
 b_products_base AS (
     SELECT CAST(p.p_partkey AS BIGINT) AS product_id,
-           upper(substr(p.p_type, 1, 3)) || '-' || lpad(CAST(p.p_partkey + 1 AS VARCHAR), 5, '0') AS sku,
+           upper(substr(p.p_type, 1, 3)) || '-' || lpad(CAST(p.p_partkey + 1 AS VARCHAR), CAST(greatest(5, length(CAST(p.p_partkey + 1 AS VARCHAR))) AS INTEGER), '0') AS sku,
            p.p_type AS category,
            CAST(round(p.p_retailprice * 73) AS BIGINT) AS unit_cost_cents,
            CAST(round(p.p_retailprice * 100) AS BIGINT) AS unit_price_cents,

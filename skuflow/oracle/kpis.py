@@ -71,31 +71,30 @@ def _usd0(x: str) -> str:
 
 
 SQL["query_headlines"] = f"""
-SELECT * FROM (SELECT 1 AS question, 'Which warehouse performs best?' AS title,
-       printf('Top performer by revenue: %s (%s, %s%% return rate).', warehouse_name,
+SELECT * FROM (SELECT 1 AS question, 'Warehouse with the highest revenue' AS title,
+       printf('%s leads with %s of revenue; %s%% of its orders came back.', warehouse_name,
               {_usd0('total_revenue')}, CAST(return_rate_pct AS VARCHAR)) AS headline
 FROM ({Q['warehouse_performance']}) ORDER BY total_revenue DESC, warehouse_id LIMIT 1)
 UNION ALL
-SELECT * FROM (SELECT 2, 'Which products generate the most revenue?',
-       printf('Top SKU: %s (%s) — %s from %d units sold.', sku, category, {_usd0('total_revenue')}, units_sold)
+SELECT * FROM (SELECT 2, 'Best-selling product',
+       printf('%s in %s earned %s on %d units.', sku, category, {_usd0('total_revenue')}, units_sold)
 FROM ({Q['top_revenue_products']}) ORDER BY total_revenue DESC, product_id LIMIT 1)
 UNION ALL
-SELECT 3, 'Which SKUs are at risk of stockout?',
-       printf('Showing the %d worst product-warehouse positions currently below reorder point '
-              || '(out of the full at-risk population).', count(*))
+SELECT 3, 'Positions under their reorder point',
+       printf('%d positions are listed, the most urgent first.', count(*))
 FROM ({Q['stockout_risk']})
 UNION ALL
-SELECT * FROM (SELECT 4, 'Which suppliers are unreliable?',
-       printf('Least reliable: %s — %s%% late across %d purchase orders.', supplier_name,
+SELECT * FROM (SELECT 4, 'Supplier with the most late deliveries',
+       printf('%s delivered %s%% of its orders late, of %d in all.', supplier_name,
               CAST(late_delivery_rate_pct AS VARCHAR), total_purchase_orders)
 FROM ({Q['supplier_reliability']}) ORDER BY late_delivery_rate_pct DESC NULLS LAST, supplier_id LIMIT 1)
 UNION ALL
-SELECT 5, 'How much inventory value is tied up in dead stock?',
-       printf('Total dead stock value across all categories: %s.', {_usd0('sum(dead_stock_value)')})
+SELECT 5, 'Money bound in dead stock',
+       printf('Unsold stock adds up to %s.', {_usd0('sum(dead_stock_value)')})
 FROM ({Q['dead_stock_value']})
 UNION ALL
-SELECT * FROM (SELECT 6, 'Which products should be reordered?',
-       printf('%d products shown need reordering; largest recommendation: %d units of %s.',
+SELECT * FROM (SELECT 6, 'Largest reorder',
+       printf('Of %d listed reorders the largest is %d units of %s.',
               count(*) OVER (), recommended_order_quantity, sku)
 FROM ({Q['reorder_recommendations']}) ORDER BY recommended_order_quantity DESC, product_id, warehouse_name LIMIT 1)
 """

@@ -87,7 +87,7 @@ SQL["dq_row_counts"] = with_binding(_union([
     for t, src in (("warehouses", "region"), ("suppliers", "supplier"), ("products", "part"),
                    ("orders", "orders"))]))
 SQL["dq_dates_window"] = with_binding(
-    f"SELECT 'order_date within simulation window' AS \"check\", n = 0 AS passed, "
+    f"SELECT 'order_date within dates of the orders' AS \"check\", n = 0 AS passed, "
     f"printf('%d outside', n) AS detail FROM (SELECT count_if(NOT (order_date BETWEEN DATE "
     f"'{DEFAULT_ORDER_WINDOW[0]}' AND DATE '{DEFAULT_ORDER_WINDOW[1]}')) AS n FROM b_orders)")
 

@@ -84,7 +84,7 @@ def pareto_curve(m: Model, points: int = PARETO_POINTS) -> DataFrame:
                     round_half_even((F.col("rank") * 100).cast("double") / F.col("n_classified").cast("double"), 2)
                     .alias("sku_pct"),
                     round_half_even(F.lit(100.0) * share, 2).alias("cum_revenue_pct"))
-            .transform(lambda d: sort_bounded(d, "rank")))  # about `points` rows
+            .orderBy("rank"))
 
 
 def pareto_crossing(m: Model, thresholds=PARETO_THRESHOLDS) -> DataFrame:
@@ -114,8 +114,7 @@ def stock_health_mix(m: Model) -> DataFrame:
 def dashboard_top_products(m: Model, n: int = 10) -> DataFrame:
     """B7 top products by Delivered revenue (the ABC ranking's head)."""
     return (abc.classify_abc(m).filter(F.col("rank") <= n)
-            .select("rank", "sku", "category", "units_sold", "total_revenue")
-            .transform(lambda d: sort_bounded(d, "rank")))
+            .select("rank", "sku", "category", "units_sold", "total_revenue").orderBy("rank"))
 
 
 def dashboard_bottom_suppliers(m: Model, n: int = 15) -> DataFrame:

@@ -45,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     ``spark.checkpoint.dir`` names a shared folder on a cluster and is used as
     is.  Only when it is unset (local tests) is a private scratch folder
-    created.
+    created; elsewhere the call fails, since executors could not read each
+    other's local folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="skuflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -9,6 +9,7 @@ is idempotent.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skuflow.session import ensure_checkpoint_dir
 from skuflow.sources.model import Model, record_stats
-from skuflow.sources.tpch import PHASES, model_from_stages, read_sources
+from skuflow.sources.tpch import PHASES, model_from_stages, read_sources, source_version
 
 # Stages that are fact-sized: cluster rows by date inside each file so Parquet
 # row-group statistics can skip date ranges.
@@ -27,7 +28,8 @@ _DATE_SORT = {"orders": "order_date", "lines": "ship_date", "line_facts": "order
 
 def model_path(spark: SparkSession, sf_dir: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    slug = re.sub(r"[^A-Za-z0-9._-]+", "_", sf_dir.strip("/")) or "model"
+    mark = hashlib.sha256(f"{sf_dir}\n{source_version(spark, sf_dir)}".encode()).hexdigest()[:24]
+    slug = re.sub(r"[^A-Za-z0-9._-]+", "_", sf_dir.strip("/"))[-60:] + "-" + mark
     return f"{base}/skuflow-model/{slug}"
 
 

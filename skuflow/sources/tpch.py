@@ -53,6 +53,15 @@ def _lazy(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+def source_version(spark: SparkSession, sf_dir: str) -> str:
+    """Size, file count and times of the source tables, so that rewritten files are noticed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    total = fs.getContentSummary(path)
+    times = sorted((s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(path))
+    return f"{total.getLength()}/{total.getFileCount()}/{times}"
+
+
 def bind(spark: SparkSession, sf_dir: str, cache: bool = True, materialize: bool | None = None) -> Model:
     """The model over ``sf_dir``, shared by every query of the same application.
 
@@ -63,7 +72,7 @@ def bind(spark: SparkSession, sf_dir: str, cache: bool = True, materialize: bool
     """
     if materialize is None:
         materialize = os.environ.get("SKUFLOW_LAZY_MODEL", "0") != "1"
-    key = (spark.sparkContext.applicationId, sf_dir, materialize)
+    key = (spark.sparkContext.applicationId, sf_dir, source_version(spark, sf_dir), materialize)
     if cache and key in _BOUND:
         return _BOUND[key]
     if materialize:
@@ -103,13 +112,17 @@ def _orders(src: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+#: Room for line numbers in a line id; an order of 2^20 lines or more would run into the next one's ids.
+LINES_PER_ORDER = 1 << 20
+
+
 def _lines(src: dict[str, DataFrame]) -> DataFrame:
     """One row per lineitem with a stable line id.  The window's partitions are
     single orders (a handful of rows), so it never concentrates data."""
     w_line = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     return src["lineitem"].select(
-        (F.col("l_orderkey") * 1000 + F.row_number().over(w_line)).cast("long").alias("line_id"),
+        (F.col("l_orderkey") * LINES_PER_ORDER + F.row_number().over(w_line)).cast("long").alias("line_id"),
         F.col("l_orderkey").cast("long").alias("order_id"),
         F.col("l_partkey").cast("long").alias("product_id"),
         F.col("l_suppkey").cast("long").alias("supplier_id"),
@@ -206,7 +219,7 @@ def _products(src: dict[str, DataFrame], pair_units: DataFrame, orders: DataFram
         .select(
             "product_id",
             F.concat(F.upper(F.substring("p_type", 1, 3)), F.lit("-"),
-                     F.lpad((F.col("product_id") + 1).cast("string"), 5, "0")).alias("sku"),
+                     F.expr("lpad(cast(product_id + 1 AS STRING), greatest(5, length(cast(product_id + 1 AS STRING))), '0')")).alias("sku"),
             F.col("p_type").alias("category"),
             _unit_cost_cents().alias("unit_cost_cents"),
             F.round(F.col("p_retailprice") * 100).cast("long").alias("unit_price_cents"),
