@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import EXACT, dollars, exact, money_sum, pct, sort_bounded
-from skuflow.operators.prefix import ROWS_PER_RANGE, row_bound, running_totals
+from skuflow.operators.prefix import running_totals
 from skuflow.sources.model import Model
 
 _SCALE = 10 ** 6
@@ -41,13 +41,18 @@ def _threshold(t: float) -> F.Column:
     return F.lit(int(round(t * _SCALE))).cast(EXACT)
 
 
-def classify_cents(m: Model, a_threshold: float = 0.80, b_threshold: float = 0.95,
-                   rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def _ranked(m: Model) -> DataFrame:
+    """Products by revenue with running and total revenue, ranked once per model."""
+    if "ranked" not in m.memo:
+        m.memo["ranked"] = running_totals(
+            product_sales(m), [("revenue_cents", True), ("product_id", False)], "revenue_cents",
+            cum_col="cum_cents", total_col="total_cents", count_col="n_classified")
+    return m.memo["ranked"]
+
+
+def classify_cents(m: Model, a_threshold: float = 0.80, b_threshold: float = 0.95) -> DataFrame:
     """ABC rows with exact cent columns (internal form used by the star schema too)."""
-    ranked = running_totals(product_sales(m), [("revenue_cents", True), ("product_id", False)],
-                            "revenue_cents", row_bound=_product_bound(m), rank_col="rank",
-                            cum_col="cum_cents", total_col="total_cents", count_col="n_classified",
-                            rows_per_range=rows_per_range)
+    ranked = _ranked(m)
     scaled_cum = F.col("cum_cents") * F.lit(_SCALE).cast(EXACT)
     return ranked.withColumn(
         "abc_class",
@@ -57,18 +62,9 @@ def classify_cents(m: Model, a_threshold: float = 0.80, b_threshold: float = 0.9
     )
 
 
-def _product_bound(m: Model) -> int:
-    """Upper bound on classified products: the product dimension's row count.
-
-    Counting the dimension avoids aggregating the facts just to size the plan.
-    """
-    return row_bound(m.products)
-
-
-def classify_abc(m: Model, a_threshold: float = 0.80, b_threshold: float = 0.95,
-                 rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def classify_abc(m: Model, a_threshold: float = 0.80, b_threshold: float = 0.95) -> DataFrame:
     """C7 ``abc_classification``: one row per product with Delivered sales."""
-    c = classify_cents(m, a_threshold, b_threshold, rows_per_range)
+    c = classify_cents(m, a_threshold, b_threshold)
     return c.select(
         "product_id", "sku", "category",
         dollars(F.col("revenue_cents")).alias("total_revenue"),

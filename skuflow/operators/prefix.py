@@ -1,124 +1,55 @@
 """Exact global running sums and row numbers without a single-task window.
 
 ``Window.orderBy`` with no ``partitionBy`` moves every row into one task.  Here
-the ordered input is cut into ``k`` contiguous key ranges whose boundaries are
-taken from a bounded sample and frozen into the plan as literals, so any
-recomputation (lost executor, second branch of the plan) assigns every row to
-the same range.  Per-range counts and sums (``k`` rows) give each range its
-offset; the running sum inside a range is an ordinary partitioned window.
-Sums are exact on integer/decimal inputs, so the result does not depend on how
-the ranges are cut.
-
-The caller gives an upper bound on the row count (for example the size of the
-product dimension), which fixes ``k`` without scanning the data; a single
-range is used while the bound is at most ``rows_per_range``.
+``repartitionByRange`` cuts the ordered input into contiguous key ranges, whose
+number follows the data (AQE joins small neighbours), and the range of each row
+is written with it into a reliable checkpoint, so a recomputation after a lost
+executor cannot cut differently.  Per-range counts and sums (one row per range)
+give each range its offset; the running sum inside a range is an ordinary
+partitioned window.  Sums are exact on integer/decimal inputs, so the result does
+not depend on how the ranges are cut.  Every size takes this one path.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.session import ensure_checkpoint_dir
 
-ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 1024
-SAMPLE_PER_RANGE = 64
-
-_BOUNDS: dict[int, tuple[DataFrame, int]] = {}
-
-
-def row_bound(df: DataFrame) -> int:
-    """Row count of a (dimension) DataFrame, computed once per DataFrame object.
-
-    Used as the upper bound that sizes ``running_totals``; for a Parquet-backed
-    dimension it is answered from file metadata.
-    """
-    hit = _BOUNDS.get(id(df))
-    if hit is None or hit[0] is not df:
-        hit = (df, df.count())
-        _BOUNDS[id(df)] = hit
-    return hit[1]
-
-
-def _after(keys: list[tuple[str, bool]], bound: tuple) -> Column:
-    """True when a row sorts at or after ``bound`` in the (col, descending) key order."""
-    cond = F.lit(True)  # all key parts equal -> at the boundary -> "after"
-    for (name, desc), value in reversed(list(zip(keys, bound))):
-        c = F.col(name)
-        strictly = (c < F.lit(value)) if desc else (c > F.lit(value))
-        cond = strictly | ((c == F.lit(value)) & cond)
-    return cond
-
-
-def _bucket_expr(keys: list[tuple[str, bool]], bounds: list[tuple], lo: int, hi: int) -> Column:
-    """Index of the range holding the row, as a balanced search over sorted bounds."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(_after(keys, bounds[mid - 1]), _bucket_expr(keys, bounds, mid, hi)) \
-            .otherwise(_bucket_expr(keys, bounds, lo, mid - 1))
-
 
 def running_totals(df: DataFrame, keys: list[tuple[str, bool]], value: str, *,
-                   row_bound: int, rank_col: str = "rank", cum_col: str = "cum_value",
+                   rank_col: str = "rank", cum_col: str = "cum_value",
                    total_col: str | None = None, count_col: str | None = None,
-                   rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                   ranges: int | None = None) -> DataFrame:
     """Add a 1-based ``rank_col`` and inclusive running sum ``cum_col`` of ``value``.
 
     ``total_col`` / ``count_col`` optionally carry the grand total of ``value``
     and the row count on every row (no second pass over the input).
 
     ``keys`` is the total order, e.g. ``[("revenue", True), ("product_id", False)]``
-    (descending revenue, ascending id); it must be unique per row.
+    (descending revenue, ascending id); it must be unique per row.  ``ranges``
+    fixes the number of key ranges; by default Spark chooses it from the data.
     """
     order = [F.col(n).desc() if d else F.col(n).asc() for n, d in keys]
-    # k ranges of about rows_per_range rows, at most MAX_RANGES: beyond that the
-    # ranges grow instead (a range's running window spills through Spark's
-    # external row buffer), keeping the range-assignment expression small.
-    k = min(MAX_RANGES, max(1, math.ceil(row_bound / rows_per_range)))
-    if k == 1:
-        w = Window.partitionBy(F.lit(0)).orderBy(*order)
-        out = (df.withColumn(rank_col, F.row_number().over(w).cast("long"))
-                 .withColumn(cum_col, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))))
-        whole = Window.partitionBy(F.lit(0))
-        if total_col:
-            out = out.withColumn(total_col, F.sum(value).over(whole))
-        if count_col:
-            out = out.withColumn(count_col, F.count(F.lit(1)).over(whole))
-        return out
-
-    # Many ranges: freeze the input (reliable checkpoint, survives executor loss),
-    # sample boundaries, then work range by range.
     ensure_checkpoint_dir(df.sparkSession)
-    base = df.checkpoint(eager=True)
-    n = base.count()
-    fraction = min(1.0, SAMPLE_PER_RANGE * k / max(n, 1))
-    names = [n_ for n_, _ in keys]
-    sample = [tuple(r) for r in base.select(*names).sample(False, fraction, seed=17)
-              .orderBy(*order).collect()]
-    if len(sample) < k:
-        k = max(1, len(sample))
-    bounds = [sample[(i * len(sample)) // k] for i in range(1, k)] if k > 1 else []
-    bounds = list(dict.fromkeys(bounds))  # sorted already; drop repeats
-    with_range = base.withColumn("_range", _bucket_expr(keys, bounds, 0, len(bounds)))
-    per_range = with_range.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"),
-                                                 F.sum(value).alias("_s"))
-    # k rows: a single ordered window over them is bounded by construction.
-    wr = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    cut = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    placed = cut.withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+
+    per_range = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
+    # one row per range: windows over them are bounded by the number of partitions
     every = Window.partitionBy(F.lit(0))
+    before = every.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
         "_range",
-        F.coalesce(F.sum("_n").over(wr), F.lit(0)).alias("_n_before"),
-        F.coalesce(F.sum("_s").over(wr), F.lit(0)).alias("_s_before"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
+        F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s_before"),
         F.sum("_s").over(every).alias("_s_all"),
         F.sum("_n").over(every).alias("_n_all"),
     )
     w = Window.partitionBy("_range").orderBy(*order)
     out = (
-        with_range.join(F.broadcast(offsets), "_range")
+        placed.join(F.broadcast(offsets), "_range")
         .withColumn(rank_col, (F.row_number().over(w) + F.col("_n_before")).cast("long"))
         .withColumn(cum_col, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))
                     + F.col("_s_before"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import sort_bounded
 
-from skuflow.operators.prefix import row_bound, running_totals
+from skuflow.operators.prefix import running_totals
 from skuflow.sources.model import Model
 
 # Fixed values of the threshold formula.
@@ -65,8 +65,7 @@ def demand_percentile(m: Model) -> DataFrame:
     """
     units = _units_per_product(m)
     per_value = units.groupBy("units_sold").agg(F.count(F.lit(1)).alias("ties"))
-    bound = row_bound(m.products)
-    ranked = running_totals(per_value, [("units_sold", False)], "ties", row_bound=bound,
+    ranked = running_totals(per_value, [("units_sold", False)], "ties",
                             cum_col="cum", total_col="n")
     pct = ((F.lit(2) * (F.col("cum") - F.col("ties")) + F.col("ties") + 1).cast("double")
            / (F.lit(2) * F.col("n")).cast("double"))
@@ -92,10 +91,13 @@ def order_mix_profile(m: Model) -> DataFrame:
     every = Window.partitionBy(F.lit(0))  # one row per status value
     shares = status.select(F.concat(F.lit("status_share:"), F.col("status")).alias("metric"),
                            (F.col("n").cast("double") / F.sum("n").over(every).cast("double")).alias("value"))
-    lines = m.order_lines.join(m.products.select("product_id", "unit_price_cents"), "product_id")
-    agg = lines.agg(F.count(F.lit(1)).alias("lines"), F.countDistinct("order_id").alias("orders"),
-                    F.sum("quantity").alias("units"),
-                    F.count_if(F.col("price_cents") < F.col("unit_price_cents")).alias("below"))
+    # lines at one price of a product are counted before the lookup, so a hot product is a few rows in the join
+    prices = m.order_lines.groupBy("product_id", "price_cents").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("q"))
+    known = m.products.select("product_id", "unit_price_cents")
+    agg = prices.join(known, "product_id").agg(
+        F.sum("n").alias("lines"), F.sum("q").alias("units"),
+        F.sum(F.when(F.col("price_cents") < F.col("unit_price_cents"), F.col("n")).otherwise(0)).alias("below"))
+    agg = agg.withColumn("orders", m.order_lines.agg(F.countDistinct("order_id")).scalar())
     other = agg.select(F.expr(
         "stack(3, 'lines_per_order', CAST(lines AS DOUBLE) / CAST(orders AS DOUBLE), "
         "'units_per_line', CAST(units AS DOUBLE) / CAST(lines AS DOUBLE), "

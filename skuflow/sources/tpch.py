@@ -26,7 +26,6 @@ STATUS_OF_ORDERSTATUS = {"F": "Delivered", "P": "Returned", "O": "Cancelled"}
 LEAD_TIME_BASE, LEAD_TIME_STEP, LEAD_TIME_CYCLE = 60, 20, 14
 COST_PER_LIST_DOLLAR_CENTS = 73     # cost_cents = round(73 * retail price)
 CAPACITY_PER_WAREHOUSE = 100000
-MAX_WAREHOUSES = 10000              # the warehouse dimension is exploded per product
 
 
 def read_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -236,12 +235,8 @@ def _products(src: dict[str, DataFrame], pair_units: DataFrame, orders: DataFram
 
 
 def _inventory(products: DataFrame, warehouses: DataFrame, orders: DataFrame) -> DataFrame:
-    """Every (warehouse, product) position.  The warehouse dimension is tiny and
-    its size is checked, so positions are generated per product row (no join)."""
-    wh_ids = [r[0] for r in warehouses.select("warehouse_id").orderBy("warehouse_id")
-              .limit(MAX_WAREHOUSES + 1).collect()]
-    if len(wh_ids) > MAX_WAREHOUSES:
-        raise ValueError(f"more than {MAX_WAREHOUSES} warehouses; positions must be joined, not exploded")
+    """Every (warehouse, product) position: the warehouse ids, one array, explode on each product row."""
+    wh_ids = warehouses.agg(F.collect_list("warehouse_id")).scalar()
     max_order_date = orders.agg(F.max("order_date")).scalar()
     wid, pid = F.col("warehouse_id"), F.col("product_id")
     bucket = (pid * 37 + wid * 53 + (pid % 7) * 11) % 100
@@ -252,7 +247,7 @@ def _inventory(products: DataFrame, warehouses: DataFrame, orders: DataFrame) ->
     )
     return (
         products.select("product_id", "reorder_point", "safety_stock")
-        .withColumn("warehouse_id", F.explode(F.array(*[F.lit(int(w)).cast("long") for w in wh_ids])))
+        .withColumn("warehouse_id", F.explode(wh_ids))
         .withColumn("bkt", bucket)
         .select(
             "warehouse_id", "product_id",

@@ -11,7 +11,7 @@ def test_ranges_match_single_window(spark):
         F.col("id").alias("pid"),
         ((F.col("id") * 7919) % 613).cast("decimal(38,0)").alias("rev"))   # many ties in rev
     keys = [("rev", True), ("pid", False)]
-    fast = running_totals(df, keys, "rev", row_bound=5000, rows_per_range=700,
+    fast = running_totals(df, keys, "rev", ranges=8,
                           total_col="tot", count_col="n")
     w = Window.orderBy(F.desc("rev"), "pid")
     ref = df.select("pid", F.row_number().over(w).alias("rank"),
