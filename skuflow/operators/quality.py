@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import money_sum, pearson, round_half_even
-from skuflow.operators.prefix import row_bound, running_totals
+from skuflow.operators.prefix import running_totals
 from skuflow.operators.questions import dead_stock_value, warehouse_totals
 from skuflow.sources.model import Model
 from skuflow.sources.schemas import MODEL_SCHEMAS, ORDER_STATUSES
@@ -120,27 +120,19 @@ def _orphans(m: Model, child: str, col: str, parent: str, key: str) -> DataFrame
 def fk_checks(m: Model) -> DataFrame:
     """Q5: the eight foreign keys.
 
-    Each child table is scanned once: its foreign-key columns are exploded
-    into (relation, key) pairs and counted per key (partial aggregation), then
-    one anti-join of those key sets against the tagged parent keys; orphan
-    rows are the summed counts.  The join sees distinct keys, not child rows.
+    Per relation the child's key column is counted per key (partial aggregation)
+    and anti-joined with the one parent it references; orphan rows are the summed
+    counts.  The join sees distinct keys, not child rows.
     """
-    label = {fk: f"{fk[0]}.{fk[1]} references {fk[2]}" for fk in FOREIGN_KEYS}
-    child_keys = []
-    for child in dict.fromkeys(fk[0] for fk in FOREIGN_KEYS):
-        pairs = [F.struct(F.lit(label[fk]).alias("check"), F.col(fk[1]).cast("long").alias("k"))
-                 for fk in FOREIGN_KEYS if fk[0] == child]
-        child_keys.append(m.table(child).select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-                          .filter(F.col("k").isNotNull()).groupBy("check", "k").agg(F.count(F.lit(1)).alias("rows")))
-    parent_keys = [m.table(fk[2]).select(F.lit(label[fk]).alias("check"), F.col(fk[3]).cast("long").alias("k"))
-                   for fk in FOREIGN_KEYS]
-    orphans = (reduce(DataFrame.unionByName, child_keys)
-               .join(reduce(DataFrame.unionByName, parent_keys), ["check", "k"], "left_anti")
-               .groupBy("check").agg(F.sum("rows").alias("n")))
-    names = m.spark.createDataFrame([(label[fk],) for fk in FOREIGN_KEYS], "check string")
-    n = F.coalesce(F.col("n"), F.lit(0).cast("long"))
-    return names.join(orphans, "check", "left").select(
-        "check", (n == 0).alias("passed"), F.format_string("%d orphans", n).alias("detail"))
+    parts = []
+    for child, col, parent, key in FOREIGN_KEYS:
+        rows = (m.table(child).filter(F.col(col).isNotNull())
+                .groupBy(F.col(col).cast("long").alias("k")).agg(F.count(F.lit(1)).alias("rows")))
+        known = m.table(parent).select(F.col(key).cast("long").alias("k"))
+        n = rows.join(known, "k", "left_anti").agg(F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("n"))
+        parts.append(_rows(n, F.lit(f"{child}.{col} references {parent}"), F.col("n") == 0,
+                           F.format_string("%d orphans", F.col("n"))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fk_violation_sample(m: Model, n: int = 10) -> DataFrame:
@@ -153,6 +145,13 @@ def fk_violation_sample(m: Model, n: int = 10) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def assert_references(m: Model, n: int = 10) -> None:
+    """Raise when a foreign key is broken, naming up to ``n`` orphan keys per relation."""
+    found = fk_violation_sample(m, n).collect()
+    if found:
+        raise ValueError("broken references: " + ", ".join(f"{r['relation']} = {r['key']}" for r in found))
+
+
 def row_count_checks(m: Model, expected: dict[str, int | Column] | None = None) -> DataFrame:
     """Q7: row count per table against an expectation (literal or scalar Column)."""
     parts = []
@@ -168,7 +167,7 @@ def date_window_check(m: Model, start: str = DEFAULT_ORDER_WINDOW[0], end: str =
     """Q9: every order date inside [start, end]."""
     a = m.orders.agg(F.count_if(~F.col("order_date").between(F.lit(start).cast("date"),
                                                              F.lit(end).cast("date"))).alias("n"))
-    return _rows(a, F.lit("order_date within dates of the orders"), F.col("n") == 0,
+    return _rows(a, F.lit("orders dated inside the expected window"), F.col("n") == 0,
                  F.format_string("%d outside", F.col("n")))
 
 
@@ -185,7 +184,7 @@ def on_time_share(m: Model) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
     share = F.lit(1.0) - F.col("late").cast("double") / F.nullif(F.col("n").cast("double"), F.lit(0.0))
     lo, hi = BANDS["on_time"]
-    return _share_row(a, "purchase_orders on-time share is in a realistic band", share, lo, hi)
+    return _share_row(a, "on-time share of delivered purchase orders within its band", share, lo, hi)
 
 
 def _positions(m: Model) -> DataFrame:
@@ -198,7 +197,7 @@ def stockout_share(m: Model) -> DataFrame:
     a = _positions(m).agg(F.count_if(F.col("quantity_on_hand") < F.col("reorder_point")).alias("k"),
                           F.count(F.lit(1)).alias("n"))
     lo, hi = BANDS["stockout"]
-    return _share_row(a, "stockout-risk share of inventory is in the intended band",
+    return _share_row(a, "share of positions under the reorder point within its band",
                       F.col("k").cast("double") / F.nullif(F.col("n").cast("double"), F.lit(0.0)), lo, hi)
 
 
@@ -207,7 +206,7 @@ def dead_share(m: Model) -> DataFrame:
     a = _positions(m).agg(F.count_if(F.col("quantity_on_hand") >= F.col("safety_stock") * 4).alias("k"),
                           F.count(F.lit(1)).alias("n"))
     lo, hi = BANDS["dead"]
-    return _share_row(a, "dead-stock share of inventory is in the intended band",
+    return _share_row(a, "share of dead positions within its band",
                       F.col("k").cast("double") / F.nullif(F.col("n").cast("double"), F.lit(0.0)), lo, hi)
 
 
@@ -215,14 +214,13 @@ def top20_share(m: Model) -> DataFrame:
     """Q13: revenue share of the top max(1, floor(0.2 n)) products, all statuses, >= 0.55."""
     per = m.order_lines.groupBy("product_id").agg(
         money_sum(F.col("quantity") * F.col("price_cents")).alias("rev"))
-    bound = row_bound(m.products)
-    ranked = running_totals(per, [("rev", True), ("product_id", False)], "rev", row_bound=bound,
+    ranked = running_totals(per, [("rev", True), ("product_id", False)], "rev",
                             total_col="total", count_col="n")
     cutoff = F.greatest(F.lit(1), F.floor(F.col("n") * 0.2))
     a = ranked.agg(F.sum(F.when(F.col("rank") <= cutoff, F.col("rev"))).alias("top"),
                    F.max("total").alias("total"))
     share = F.col("top").cast("double") / F.nullif(F.col("total").cast("double"), F.lit(0.0))
-    return _share_row(a, "top 20% of products drive a majority of revenue", share, BANDS["top20"], None)
+    return _share_row(a, "revenue share of the best fifth of products reaches its band", share, BANDS["top20"], None)
 
 
 def po_date_check(m: Model) -> DataFrame:

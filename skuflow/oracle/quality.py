@@ -87,7 +87,7 @@ SQL["dq_row_counts"] = with_binding(_union([
     for t, src in (("warehouses", "region"), ("suppliers", "supplier"), ("products", "part"),
                    ("orders", "orders"))]))
 SQL["dq_dates_window"] = with_binding(
-    f"SELECT 'order_date within dates of the orders' AS \"check\", n = 0 AS passed, "
+    f"SELECT 'orders dated inside the expected window' AS \"check\", n = 0 AS passed, "
     f"printf('%d outside', n) AS detail FROM (SELECT count_if(NOT (order_date BETWEEN DATE "
     f"'{DEFAULT_ORDER_WINDOW[0]}' AND DATE '{DEFAULT_ORDER_WINDOW[1]}')) AS n FROM b_orders)")
 
@@ -95,18 +95,18 @@ _ON_TIME = ("(SELECT CAST(1 AS DOUBLE) - CAST(count_if(actual_delivery_date > ex
             " / NULLIF(CAST(count(*) AS DOUBLE), 0) AS s FROM b_purchase_orders"
             " WHERE actual_delivery_date IS NOT NULL)")
 SQL["dq_on_time_share"] = with_binding(
-    _share("purchase_orders on-time share is in a realistic band", "s", None, *BANDS["on_time"])
+    _share("on-time share of delivered purchase orders within its band", "s", None, *BANDS["on_time"])
     + f" FROM {_ON_TIME}")
 _POS = "(SELECT i.quantity_on_hand, p.reorder_point, p.safety_stock FROM b_inventory i JOIN b_products p " \
        "ON p.product_id = i.product_id)"
 SQL["dq_stockout_share"] = with_binding(
-    _share("stockout-risk share of inventory is in the intended band", "k", "n", *BANDS["stockout"])
+    _share("share of positions under the reorder point within its band", "k", "n", *BANDS["stockout"])
     + f" FROM (SELECT count_if(quantity_on_hand < reorder_point) AS k, count(*) AS n FROM {_POS})")
 SQL["dq_dead_share"] = with_binding(
-    _share("dead-stock share of inventory is in the intended band", "k", "n", *BANDS["dead"])
+    _share("share of dead positions within its band", "k", "n", *BANDS["dead"])
     + f" FROM (SELECT count_if(quantity_on_hand >= safety_stock * 4) AS k, count(*) AS n FROM {_POS})")
 SQL["dq_top20_share"] = with_binding(
-    _share("top 20% of products drive a majority of revenue", "top", "total", BANDS["top20"])
+    _share("revenue share of the best fifth of products reaches its band", "top", "total", BANDS["top20"])
     + """ FROM (
     SELECT sum(CASE WHEN rnk <= greatest(1, (2 * n) // 10) THEN rev END) AS top, sum(rev) AS total
     FROM (SELECT rev, row_number() OVER (ORDER BY rev DESC, product_id) AS rnk, count(*) OVER () AS n

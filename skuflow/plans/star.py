@@ -256,7 +256,7 @@ def star_checks(star: Star) -> DataFrame:
                              F.format_string("%d rows, %d keys", F.col("rows"), F.col("keys")), u))
     leaked = [c for tbl, c in (("dim_product", HIDDEN_COLUMNS["products"]),
                                ("dim_supplier", HIDDEN_COLUMNS["suppliers"])) if c in t[tbl].columns]
-    checks.append(_check(spark, "no generation-artifact leakage", not leaked,
+    checks.append(_check(spark, "hidden columns are absent", not leaked,
                          ", ".join(leaked) if leaked else "none"))
     return reduce(DataFrame.unionByName, checks)
 

@@ -54,3 +54,12 @@ def load_model(spark: SparkSession, sf_dir: str, path: str | None = None) -> Mod
                 staged[name] = fut.result()
     model = model_from_stages(staged)
     return replace(model, stats=record_stats(model))
+
+
+def load_csv(spark: SparkSession, path: str, dollars: bool = True) -> Model:
+    """Read the CSV files of a model and stop on any broken reference."""
+    from skuflow.operators.quality import assert_references
+
+    model = Model.read_csv(spark, path, dollars)
+    assert_references(model)
+    return model

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.sources.schemas import LOAD_ORDER, MODEL_SCHEMAS
+from skuflow.sources.schemas import DOLLAR_COLUMNS, LOAD_ORDER, MODEL_SCHEMAS, dollar_schema
 
 
 LINE_FACT_COLUMNS = ("order_line_id", "order_id", "product_id", "quantity", "price_cents", "order_date",
@@ -74,6 +74,8 @@ class Model:
     # Scalar facts recorded by the loader (dates as ``datetime.date``); operators
     # use them as literals so date filters reach the Parquet scan.
     stats: dict | None = None
+    # Results that several operators of this model share (the revenue ranking), by name.
+    memo: dict = field(default_factory=dict, compare=False, repr=False)
 
     def scalar(self, name: str):
         """A model-wide scalar as a Column: a literal when the loader recorded it,
@@ -137,18 +139,23 @@ class Model:
         return Model(**frames)
 
     @staticmethod
-    def read_csv(spark: SparkSession, path: str) -> "Model":
+    def read_csv(spark: SparkSession, path: str, dollars: bool = False) -> "Model":
         """One headered CSV per table, read with the declared schema.
 
+        With ``dollars`` the money columns are decimal dollars under their plain
+        names (``DOLLAR_COLUMNS``), headers are compared, and cents are derived.
         ``FAILFAST`` turns a malformed row into an error instead of a NULL,
         the closest Spark gets to the reference's typed-insert rejection.
         """
         frames = {}
         for name in LOAD_ORDER:
-            frames[name] = (spark.read.schema(MODEL_SCHEMAS[name])
-                            .option("header", True).option("mode", "FAILFAST")
-                            .option("dateFormat", "yyyy-MM-dd")
-                            .csv(f"{path}/{name}.csv"))
+            schema = MODEL_SCHEMAS[name]
+            read = spark.read.schema(dollar_schema(schema) if dollars else schema)
+            frame = (read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", not dollars)
+                     .option("dateFormat", "yyyy-MM-dd").csv(f"{path}/{name}.csv"))
+            frames[name] = frame.select(*[
+                (F.col(DOLLAR_COLUMNS[f.name]) * 100).cast("long").alias(f.name)
+                if dollars and f.name in DOLLAR_COLUMNS else F.col(f.name) for f in schema.fields])
         return Model(**frames)
 
     def write_csv(self, path: str) -> None:

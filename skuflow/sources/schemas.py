@@ -42,6 +42,16 @@ MODEL_SCHEMAS = {
     "order_lines": ORDER_LINES,
 }
 
+# Names of the money columns where files hold dollars.
+DOLLAR_COLUMNS = {"unit_cost_cents": "unit_cost", "unit_price_cents": "unit_price", "price_cents": "unit_price_at_sale"}
+
+
+def dollar_schema(schema: T.StructType) -> T.StructType:
+    """``schema`` with its money columns as decimal dollars."""
+    return T.StructType([T.StructField(DOLLAR_COLUMNS[f.name], T.DecimalType(18, 2), f.nullable)
+                         if f.name in DOLLAR_COLUMNS else f for f in schema.fields])
+
+
 # Parents before children (the reference's load order).
 LOAD_ORDER = ("warehouses", "suppliers", "products", "inventory", "purchase_orders",
               "orders", "order_lines")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import money_label
-from skuflow.operators import questions
+from skuflow.operators import quality, questions
 from skuflow.plans import feeds, star
 from skuflow.sources import sinks
 from skuflow.sources.model import Model
@@ -30,6 +30,23 @@ def test_csv_round_trip_keeps_declared_schema(spark, model, tmp_path):
     assert a == b
 
 
+def test_dollar_csv_gives_the_same_model_and_rejects_orphans(spark, model, tmp_path):
+    from skuflow.sources.load import load_csv
+    from skuflow.sources.schemas import DOLLAR_COLUMNS
+    out = tmp_path / "dollars"
+    for name, df in model.tables().items():
+        cols = [(F.col(f.name).cast("decimal(18,2)") / 100).cast("decimal(18,2)").alias(DOLLAR_COLUMNS[f.name])
+                if f.name in DOLLAR_COLUMNS else F.col(f.name) for f in MODEL_SCHEMAS[name].fields]
+        df.select(*cols).write.option("header", True).csv(str(out / f"{name}.csv"))
+    back = load_csv(spark, str(out))
+    for c in (questions.warehouse_performance, questions.top_revenue_products, questions.dead_stock_value):
+        assert c(back).collect() == c(model).collect()
+    lost = model.products.orderBy("product_id").first()["product_id"]
+    broken = model.replace(products=model.products.where(F.col("product_id") != lost))
+    with pytest.raises(ValueError, match=f"inventory.product_id = {lost}"):
+        quality.assert_references(broken)
+
+
 def test_csv_failfast_rejects_bad_rows(spark, tmp_path):
     p = tmp_path / "bad"
     p.mkdir()
