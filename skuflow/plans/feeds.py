@@ -37,9 +37,12 @@ def feed_warehouse_matrix(m: Model) -> DataFrame:
     """Warehouse x category revenue with row, column and grand totals (CUBE)."""
     p = m.products.select("product_id", "category")
     w = m.warehouses.select("warehouse_id", F.col("name").alias("warehouse_name"))
-    f = line_facts(m).join(p, "product_id").join(w, "warehouse_id")
-    return (f.cube("warehouse_name", "category")
-            .agg(money_sum(F.col("line_revenue_cents")).alias("rev_c"), F.grouping_id().alias("grouping_level"))
+    # lines are summed per (warehouse, product), then per cell, before the cube makes four rows of each
+    cells = (line_facts(m).groupBy("warehouse_id", "product_id").agg(money_sum(F.col("line_revenue_cents")).alias("c"))
+             .join(p, "product_id").join(w, "warehouse_id")
+             .groupBy("warehouse_name", "category").agg(F.sum("c").alias("c")))
+    return (cells.cube("warehouse_name", "category")
+            .agg(F.sum("c").alias("rev_c"), F.grouping_id().alias("grouping_level"))
             .select("warehouse_name", "category", (F.col("rev_c").cast("double") / 100).alias("revenue"),
                     "grouping_level")
             .transform(lambda d: sort_bounded(d, "grouping_level", "warehouse_name", "category")))
