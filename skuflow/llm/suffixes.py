@@ -13,6 +13,10 @@ are the key: equal strings always lie in pieces of equal cores, at equal places.
    suffixes in two stages: suffixes smaller than their successors are sorted directly, the
    rest is induced from them by one scan over the buckets of first bytes. Neighbours in the
    suffix array whose common prefix has LENGTH bytes or more repeat.
+   A core with more than SPLIT_BYTES of differing pieces (a passage in very many texts, with
+   other surroundings in each) is dealt anew before that: its pieces are cut into runs of
+   GRAINS starts by their distance from the anchor, keyed by the longer core of such a run.
+   At a grain of one start the core is the whole string, so no task gets more of one core.
 4. The removed bytes are the union of repeated strings, cut out of each whole text.
 
 Defined cases: a null text counts as empty; a text shorter than LENGTH keeps everything;
@@ -37,16 +41,18 @@ LENGTH, GRAM = 200, 32
 BITMAP_BITS = 25
 #: Bytes of pieces that one suffix array holds (a core's pieces are never cut).
 SORT_BYTES = 1 << 18
+#: Bytes of differing pieces above which a core is dealt anew by runs of starts, first longer, then shorter.
+SPLIT_BYTES, GRAINS = 1 << 20, (12, 1)
 _PIECE = np.uint64(0x2545F4914F6CDD1D)
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray, length: int):
-    """Pieces of a block's texts: first start, number of starts, core hash, hash of all bytes."""
+    """Pieces of a block's texts: first start, number of starts, bytes from there to the anchor, core hash, hash of all bytes."""
     reach = length - GRAM                                   # places of a string's grams: 0 .. reach
     half = reach // 2
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, none
+        return none, none, none, none, none
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
     np.cumsum(words.BYTE[data] * words.powers("step", words._STEP, len(data) + 1)[:len(data)], out=total[1:])
@@ -65,7 +71,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int):
     fresh[1:] &= ~valid[:-1] | (anchor[1:] != anchor[:-1]) | (late[1:] != late[:-1])
     first = np.flatnonzero(fresh)
     if not len(first):
-        return none, none, none, none
+        return none, none, none, none, none
     ends = valid.copy()
     ends[:-1] &= ~valid[1:] | fresh[1:]
     last = np.flatnonzero(ends)
@@ -75,7 +81,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int):
     core = words.mix((total[b] - total[a]) * back[a] + side.astype(np.uint64))
     whole = (total[last + length] - total[first]) * back[first]
     whole = words.mix(whole * _PIECE + words.mix((at - first).astype(np.uint64) << np.uint64(20) | (last - first).astype(np.uint64)))
-    return first, last - first + 1, core, whole
+    return first, last - first + 1, at - first, core, whole
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -88,7 +94,7 @@ def _cores(rows: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in text_blocks(batch.column(0)):
-                _, _, core, whole = pieces(data, offsets, length)
+                _, _, _, core, whole = pieces(data, offsets, length)
                 yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64)), pa.array(whole.view(np.int64))], ["core", "whole"])
 
     return rows.select("text").mapInArrow(run, "core bigint, whole bigint")
@@ -118,22 +124,22 @@ def _candidates(rows: DataFrame, cores: DataFrame, length: int) -> DataFrame:
         repeated, mixed = shared.value
         for batch in batches:
             for lo, hi, data, offsets in text_blocks(batch.column(0)):
-                first, n, core, whole = pieces(data, offsets, length)
+                first, n, lead, core, whole = pieces(data, offsets, length)
                 if not len(first):
                     continue
                 keep = np.flatnonzero(_has(repeated, core))
-                first, n, core, whole = first[keep], n[keep], core[keep], whole[keep]
+                first, n, lead, core, whole = first[keep], n[keep], lead[keep], core[keep], whole[keep]
                 raw = data.tobytes()
                 text = np.searchsorted(offsets, first, side="right") - 1
                 digest = {i: hashlib.md5(raw[offsets[i]:offsets[i + 1]]).digest() for i in np.unique(text).tolist()}
                 differs = _has(mixed, core).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(core.view(np.int64)), pa.array(whole.view(np.int64)), pa.array([digest[i] for i in text.tolist()], pa.binary()),
-                     pa.array(first - offsets[text]), pa.array(n),
+                     pa.array(first - offsets[text]), pa.array(n), pa.array(lead),
                      pa.array([raw[s:s + m + length - 1] if d else None for s, m, d in zip(first.tolist(), n.tolist(), differs)], pa.binary())],
-                    ["core", "whole", "digest", "first", "n", "body"])
+                    ["core", "whole", "digest", "first", "n", "lead", "body"])
 
-    return rows.select("text").mapInArrow(run, "core bigint, whole bigint, digest binary, first bigint, n bigint, body binary")
+    return rows.select("text").mapInArrow(run, "core bigint, whole bigint, digest binary, first bigint, n bigint, lead bigint, body binary")
 
 
 def two_stage_order(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -244,7 +250,39 @@ def _sorted_ranges(mixed: DataFrame, length: int, sort_bytes: int) -> DataFrame:
     return mixed.select("core", "c", "digest", "first", "body").mapInArrow(run, "digest binary, first bigint, end bigint")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, sort_bytes: int = SORT_BYTES) -> DataFrame:
+def _split(pieces_: DataFrame, length: int, split_bytes: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Distinct pieces with no core above ``split_bytes``, and the ranges found equal on the way.
+
+    ``pieces_`` has core, c (occurrences), digest, first, lead (bytes to the anchor) and body.
+    Equal strings have equal distances to their anchors, so they meet in equal runs.
+    """
+    done, ranges = [], []
+    for grain in GRAINS:
+        large = stage(pieces_.groupBy("core").agg(F.sum(F.length("body")).alias("bytes")).where(F.col("bytes") > split_bytes).select("core"), "large-cores")
+        if large.isEmpty():
+            break
+        done.append(pieces_.join(large, "core", "left_anti"))
+        starts = F.length("body") - length + 1
+        runs = (pieces_.join(large, "core", "left_semi")
+                .withColumn("low", F.col("lead") - starts + 1)
+                .withColumn("run", F.explode(F.sequence(F.floor(F.col("low") / grain), F.floor(F.col("lead") / grain))))
+                .withColumn("far", F.least("lead", F.col("run") * grain + grain - 1))
+                .withColumn("near", F.greatest("low", F.col("run") * grain))
+                .withColumn("skip", F.col("lead") - F.col("far")))
+        common = F.substring("body", (F.col("lead") - F.col("run") * grain + 1).cast("int"), F.lit(length - grain + 1))
+        runs = stage(runs.select(
+            F.xxhash64("core", "run", common).alias("core"), "c", "digest", (F.col("first") + F.col("skip")).alias("first"), F.col("far").alias("lead"),
+            F.substring("body", (F.col("skip") + 1).cast("int"), (F.col("far") - F.col("near") + length).cast("int")).alias("body")), "runs")
+        one = stage(runs.groupBy("core", "body").agg(F.sum("c").alias("c"), F.min(F.struct("digest", "first")).alias("at"), F.min("lead").alias("lead")), "distinct-runs")
+        equal = runs.where("c = 1").join(one.where("c > 1").select("core", "body"), ["core", "body"])
+        ranges.append(equal.select("digest", "first", (F.col("first") + F.length("body")).alias("end")))
+        pieces_ = one.select("core", "c", "at.digest", "at.first", "lead", "body")
+    for other in done:
+        pieces_ = pieces_.union(other)
+    return pieces_, ranges
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, sort_bytes: int = SORT_BYTES, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Per document: doc_id, n_bytes, spans (removed byte ranges), kept (the remaining bytes)."""
     small_batches(docs.sparkSession)
     rows = _rows(docs)
@@ -254,11 +292,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, sort_bytes: int = SORT
     found = stage(_candidates(rows, cores, length).join(cores, "core"), "pieces")
     span = ("digest", "first", (F.col("first") + F.col("n") + length - 1).alias("end"))
     mixed = found.where("mixed")
-    one = stage(mixed.groupBy("core", "whole").agg(F.count("*").alias("c"), F.min(F.struct("digest", "first")).alias("at"), F.min("body").alias("body")), "distinct-pieces")
+    one = stage(mixed.groupBy("core", "whole").agg(F.count("*").alias("c"), F.min(F.struct("digest", "first")).alias("at"),
+                                               F.min("lead").alias("lead"), F.min("body").alias("body")), "distinct-pieces")
     copies = mixed.join(one.where("c > 1").select("core", "whole"), ["core", "whole"])
-    alone = one.select("core", "c", "at.digest", "at.first", "body").repartition("core").sortWithinPartitions("core", "digest", "first")
+    alone, equal = _split(one.select("core", "c", "at.digest", "at.first", "lead", "body"), length, split_bytes)
+    alone = alone.repartition("core").sortWithinPartitions("core", "digest", "first")
     ranges = (found.where("not mixed").select(*span).union(copies.select(*span))
-              .union(_sorted_ranges(alone, length, sort_bytes)).distinct())
+              .union(_sorted_ranges(alone, length, sort_bytes)))
+    for more in equal:
+        ranges = ranges.union(more)
+    ranges = ranges.distinct()
     ranges = ranges.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("first", "end"))).alias("ranges"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -300,3 +300,21 @@ def test_winnow_guarantee():
     grams = rng.integers(0, 50, 400, dtype=np.uint64)
     kept = words.winnow(grams, np.ones(400, bool), 9)
     assert all(any(i <= k < i + 9 and grams[k] == grams[i:i + 9].min() for k in kept) for i in range(392))
+
+
+@pytest.mark.parametrize("split_bytes", [500, 5000])
+def test_repeated_bytes_of_a_passage_in_most_texts(spark, split_bytes):
+    """Passages of 150, 195 and 260 bytes with other surroundings in every text, a run of equal bytes, and copies."""
+    rng = random.Random(8)
+    short, middle, full = (prose(rng, 120)[:n] for n in (150, 195, 260))
+    rows = [prose(rng, 30) + short + prose(rng, 25) + middle + prose(rng, rng.randint(0, 20)) + full + prose(rng, 10) for _ in range(40)]
+    rows += [r + "x" * rng.randint(0, 300) for r in rows[:6]] + [prose(rng, 12)[:40] + middle + "yy" * i for i in range(6)] + ["é" * 230, rows[9], None]
+    raw = [(r or "").encode() for r in rows]
+    seen = collections.Counter(b[i:i + 200] for b in raw for i in range(len(b) - 199))
+    got = by_id(suffixes.remove_repeats(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string"), 200, 2000, split_bytes))
+    for i, b in enumerate(raw):
+        gone = np.zeros(len(b), bool)
+        for s in range(len(b) - 199):
+            if seen[b[s:s + 200]] > 1:
+                gone[s:s + 200] = True
+        assert bytes(got[i]["kept"]) == bytes(x for x, g in zip(b, gone) if not g), i
