@@ -43,6 +43,8 @@ BITMAP_BITS = 25
 SORT_BYTES = 1 << 18
 #: Bytes of differing pieces above which a core is dealt anew by runs of starts, first longer, then shorter.
 SPLIT_BYTES, GRAINS = 1 << 20, (12, 1)
+#: Parts into which the occurrences of one piece are dealt.
+SALTS = 256
 _PIECE = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -250,6 +252,12 @@ def _sorted_ranges(mixed: DataFrame, length: int, sort_bytes: int) -> DataFrame:
     return mixed.select("core", "c", "digest", "first", "body").mapInArrow(run, "digest binary, first bigint, end bigint")
 
 
+def _occurrences(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key is in ``keys`` (distinct). One key may hold a third of all rows, so each is dealt by a salt as well."""
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("digest", "first"), F.lit(SALTS)))
+    return rows.join(rows.select(*keys.columns, "salt").distinct().join(keys, keys.columns), [*keys.columns, "salt"])
+
+
 def _split(pieces_: DataFrame, length: int, split_bytes: int) -> tuple[DataFrame, list[DataFrame]]:
     """Distinct pieces with no core above ``split_bytes``, and the ranges found equal on the way.
 
@@ -274,7 +282,7 @@ def _split(pieces_: DataFrame, length: int, split_bytes: int) -> tuple[DataFrame
             F.xxhash64("core", "run", common).alias("core"), "c", "digest", (F.col("first") + F.col("skip")).alias("first"), F.col("far").alias("lead"),
             F.substring("body", (F.col("skip") + 1).cast("int"), (F.col("far") - F.col("near") + length).cast("int")).alias("body")), "runs")
         one = stage(runs.groupBy("core", "body").agg(F.sum("c").alias("c"), F.min(F.struct("digest", "first")).alias("at"), F.min("lead").alias("lead")), "distinct-runs")
-        equal = runs.where("c = 1").join(one.where("c > 1").select("core", "body"), ["core", "body"])
+        equal = _occurrences(runs.where("c = 1"), one.where("c > 1").select("core", "body"))
         ranges.append(equal.select("digest", "first", (F.col("first") + F.length("body")).alias("end")))
         pieces_ = one.select("core", "c", "at.digest", "at.first", "lead", "body")
     for other in done:
@@ -294,7 +302,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, sort_bytes: int = SORT
     mixed = found.where("mixed")
     one = stage(mixed.groupBy("core", "whole").agg(F.count("*").alias("c"), F.min(F.struct("digest", "first")).alias("at"),
                                                F.min("lead").alias("lead"), F.min("body").alias("body")), "distinct-pieces")
-    copies = mixed.join(one.where("c > 1").select("core", "whole"), ["core", "whole"])
+    copies = _occurrences(mixed, one.where("c > 1").select("core", "whole"))
     alone, equal = _split(one.select("core", "c", "at.digest", "at.first", "lead", "body"), length, split_bytes)
     alone = alone.repartition("core").sortWithinPartitions("core", "digest", "first")
     ranges = (found.where("not mixed").select(*span).union(copies.select(*span))
