@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import os
 import random
 import re
 import zlib
@@ -311,7 +312,13 @@ def test_repeated_bytes_of_a_passage_in_most_texts(spark, split_bytes):
     rows += [r + "x" * rng.randint(0, 300) for r in rows[:6]] + [prose(rng, 12)[:40] + middle + "yy" * i for i in range(6)] + ["é" * 230, rows[9], None]
     raw = [(r or "").encode() for r in rows]
     seen = collections.Counter(b[i:i + 200] for b in raw for i in range(len(b) - 199))
+    def dealt():
+        folder = scratch_dir(spark).removeprefix("file://")
+        return sum(name.startswith("runs-") for name in os.listdir(folder)) if os.path.isdir(folder) else 0
+
+    before = dealt()
     got = by_id(suffixes.remove_repeats(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string"), 200, 2000, split_bytes))
+    assert dealt() > before                                             # cores were dealt anew
     for i, b in enumerate(raw):
         gone = np.zeros(len(b), bool)
         for s in range(len(b) - 199):
