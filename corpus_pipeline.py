@@ -1,10 +1,9 @@
 """The corpus pipeline: language ID, near-duplicates, decontamination, pseudonyms, packing.
 
 Each stage works on all that its predecessor kept and is written as Parquet and read
-again. Every stage but the last returns the columns of ``documents``. doc_id names a
-document; a null doc_id names a document of its own kind, so such rows are kept or
-dropped together where a stage decides by id (near-duplicates always keep them).
-Rows of an empty table stay none.
+again. Every stage but the last returns the columns of ``documents``. Each row is a
+document of its own, whatever its doc_id: a stage decides for rows, so rows with a null
+or repeated doc_id go only for what their own text is. Rows of an empty table stay none.
 """
 
 from __future__ import annotations
@@ -13,32 +12,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.llm import decontam, langid, neardup, packing, pii, tokens
-from skuflow.llm.common import drop_ids, stage
+from skuflow.llm.common import stage
+
+#: Column that names a row within one stage.
+ROW = "__row"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language: no letter, or no language with half of the decoded score."""
-    found = langid.identify(docs)
-    rejected = stage(found.where((F.col("lang_pred") == langid.UNDETERMINED) | F.col("ambiguous")).select("doc_id"), "rejected")
-    return drop_ids(docs, rejected)
+    return langid.with_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group; a doc_id that has several rows keeps one."""
-    found = stage(neardup.near_duplicates(docs), "near-duplicates")
-    kept = drop_ids(docs, found.where(~F.col("kept")).select("doc_id"))
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.limit(1).count():
-        again = kept.join(repeated, "doc_id", "left_semi").select(*kept.columns)
-        kept = drop_ids(kept, repeated).union(again.dropDuplicates(["doc_id"]))
-    return kept
+    """Keeps one row of each group: that with the least id (null last), of several the first one."""
+    rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = stage(neardup.near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text")), "near-duplicates")
+    found = found.select(F.col("doc_id").alias(ROW), F.col("component_id").alias("group")).join(rows.select(ROW, "doc_id"), ROW)
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("least"))
+    dropped = stage(found.join(first.select(f"least.{ROW}"), ROW, "left_anti").select(ROW), "dropped")
+    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of which a twentieth or more of the words are benchmark passages."""
-    found = decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = stage(found.where(decontam.contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id"), "contaminated")
-    return drop_ids(docs, bad)
+    """Drops documents of which a twentieth or more of the words are benchmark passages.
+
+    The verdict depends on the text alone, so a row is named by the SHA-256 of its text.
+    """
+    name = F.sha2(F.col("text").cast("binary"), 256)
+    found = decontam.decontaminate(docs.select(name.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bad = stage(found.where(decontam.contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias(ROW)).distinct(), "contaminated")
+    return docs.withColumn(ROW, name).join(bad, ROW, "left_anti").select(*docs.columns)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Helpers shared by the corpus operators: scratch tables, Arrow text blocks, row filters."""
+"""Helpers shared by the corpus operators: scratch tables, Arrow text blocks."""
 
 from __future__ import annotations
 
@@ -50,12 +50,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id (null included) is not in the one-column frame ``ids``."""
-    key = ids.select(F.col(ids.columns[0]).alias("__drop_id")).distinct()
-    return docs.join(key, docs["doc_id"].eqNullSafe(key["__drop_id"]), "left_anti")
-
-
 def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column into runs of rows: (first row, end row, UTF-8 bytes, offsets of the rows).
 

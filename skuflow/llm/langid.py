@@ -126,6 +126,20 @@ def train(docs: DataFrame, sample: int = SAMPLE):
     return languages.tolist(), *fit(x, label, len(languages))
 
 
+def _predict(model, column: pa.Array):
+    """Runs of rows of a text column: (first row, end row, languages, scores, whether a language was looked for)."""
+    for lo, hi, data, offsets in text_blocks(column):
+        known = _has_letter(data, offsets) if model else np.zeros(hi - lo, bool)
+        if model:
+            languages, code, w = model
+            best, score = decode(features(data, offsets), code, w)
+            names = np.where(known, np.array(languages, object)[best], UNDETERMINED)
+            score = np.where(known, score, 0.0)
+        else:
+            names, score = np.full(hi - lo, UNDETERMINED, object), np.zeros(hi - lo)
+        yield lo, hi, names, score, known
+
+
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, ambiguous."""
     spark = docs.sparkSession
@@ -133,20 +147,24 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     shared = spark.sparkContext.broadcast(train(docs, sample))       # one row of weights per n-gram bin: a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            for lo, hi, data, offsets in text_blocks(batch.column(1)):
-                known = _has_letter(data, offsets) if model else np.zeros(hi - lo, bool)
-                if model:
-                    languages, code, w = model
-                    best, score = decode(features(data, offsets), code, w)
-                    names = np.where(known, np.array(languages, object)[best], UNDETERMINED)
-                    score = np.where(known, score, 0.0)
-                else:
-                    names, score = np.full(hi - lo, UNDETERMINED, object), np.zeros(hi - lo)
+            for lo, hi, names, score, known in _predict(shared.value, batch.column(1)):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[lo:hi], pa.array(names, pa.string()), pa.array(score.astype(np.float64)), pa.array(known & (score < 0.5))],
                     ["doc_id", "lang_pred", "score", "ambiguous"])
 
     found = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, lang_pred string, score double, ambiguous boolean")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def with_language(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The table itself, all columns, without the rows whose text is undetermined or ambiguous."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, sample))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, _, score, known in _predict(shared.value, batch.column(at)):
+                yield batch.slice(lo, hi - lo).filter(pa.array(known & (score >= 0.5)))
+
+    return docs.mapInArrow(run, docs.schema)
