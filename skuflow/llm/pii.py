@@ -12,7 +12,8 @@ Card: first digit kept, the rest but the check digit permuted. Phone: country co
 separators kept. IP: each octet keeps its number of digits. Date: any day from 1900 to
 2099 in the same notation (day and month keep leading zeros as two digits). E-mail: the
 local part's letters and digits, class by class; the domain stays. Secret: digits,
-capitals and small letters (hex: hex digits), class by class.
+capitals and small letters (hex: hex digits of
+its case), class by class.
 
 Defined cases: a null text stays null, an empty one empty; repeated rows, null ids, ties
 and any further columns are passed through; an empty table gives no rows.
@@ -38,7 +39,7 @@ KINDS = ("email", "secret", "iban", "ip", "phone", "card", "ssn", "date")
 _DAY0, _DAYS = dt.date(1900, 1, 1), (dt.date(2099, 12, 31) - dt.date(1900, 1, 1)).days + 1
 _PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<secret>\bAKIA[A-Z0-9]{16}\b|(?<=password=)[^\s\"']{6,}|(?<=password: )[^\s\"']{6,}|\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{32,}\b)"
+    r"|(?P<secret>\bAKIA[A-Z0-9]{16}\b|(?<=password=)[^\s\"']{6,}|(?<=password: )[^\s\"']{6,}|\b(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}\b)"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))"
     r"|(?P<phone>\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]))"
@@ -115,6 +116,7 @@ def _classes(text: str, alphabets: tuple[str, ...], permute: Permutation, tweak:
 
 
 _D, _U, _L, _H = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
+_HEX = re.compile("[0-9A-F]{32,}"), re.compile("[0-9A-Fa-f]{32,}")
 
 
 def _email(value, permute):
@@ -125,7 +127,13 @@ def _email(value, permute):
 def _secret(value, permute):
     if value.startswith("AKIA") and len(value) == 20:
         return "AKIA" + _classes(value[4:], (_D + _U,), permute, "akia")
-    return _classes(value, (_H,) if re.fullmatch("[0-9a-f]+", value) else (_D, _L, _U), permute, "secret")
+    if re.fullmatch("[0-9a-f]+", value):
+        return _classes(value, (_H,), permute, "secret")
+    if _HEX[0].fullmatch(value):
+        return _classes(value, (_H.upper(),), permute, "upper secret")
+    if _HEX[1].fullmatch(value):                                         # both cases: each sign stays in its class
+        return _classes(value, (_D, "abcdef", "ABCDEF"), permute, "mixed secret")
+    return _classes(value, (_D, _L, _U), permute, "secret")
 
 
 def _iban(value, permute):
@@ -226,7 +234,7 @@ def pseudonymise(text: str | None, permute: Permutation) -> tuple[str | None, li
     return ("".join(out) + text[last:], found) if found else (text, [])
 
 
-_SIGNAL = re.compile("[0-9@]|password[=:]")
+_SIGNAL = re.compile("[0-9@]|password[=:]|AKIA")
 
 
 def _texts(column: pa.Array, permute: Permutation):
