@@ -9,7 +9,7 @@ ones, and check digits are made anew. The permutation moves every number: the ne
 P is used as P^-1(P(x) + 1), which has no fixed points.
 
 Card: first digit kept, the rest but the check digit permuted. Phone: country code and
-separators kept. IP: each octet keeps its number of digits. Date: any day from 1900 to
+separators kept; it ends where the country's numbers end or another valid value begins. IP: each octet keeps its number of digits. Date: any day from 1900 to
 2099 in the same notation (day and month keep leading zeros as two digits). E-mail: the
 local part's letters and digits, class by class; the domain stays. Secret: digits,
 capitals and small letters (hex: hex digits of
@@ -212,6 +212,42 @@ def _date(value, permute):
     return sign.join((f"{day.month:02d}", f"{day.day:02d}") if first else (f"{day.day:02d}", f"{day.month:02d}")) + f"{sign}{day.year}"
 
 
+#: Most digits of a national number, by country code; others have 15 with their code (E.164).
+_NATIONAL = {"1": 10, "7": 10, "30": 10, "31": 9, "32": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "52": 10, "55": 11,
+             "61": 9, "81": 10, "82": 10, "86": 11, "90": 10, "91": 10, "351": 9, "353": 9, "420": 9}
+
+
+def _phone_end(text: str, start: int, end: int, permute: Permutation) -> int:
+    """Where a number with a country code ends: not beyond the code's length, nor within another value that follows it."""
+    value = text[start:end]
+    if value[0] != "+":
+        return end
+    code = re.match(r"\+(\d{1,3})(?=[ .(-])|", value).group(1)
+    if code is None:                                                      # no sign after the code
+        code = next((c for c in _NATIONAL if value.startswith(c, 1)), value[1])
+    groups = list(re.finditer(r"\d+", value[1 + len(code):]))
+    first = start + 1 + len(code)
+    most = _NATIONAL.get(code, 15 - len(code)) + (code != "1" and groups[0].group()[0] == "0")
+    n, stop = 0, first
+    for group in groups:
+        if n >= 7 and (n + len(group.group()) > most or _other_value(text, first + group.start(), permute)):
+            return stop
+        n, stop = n + len(group.group()), first + group.end()
+    return end
+
+
+def _other_value(text: str, at: int, permute: Permutation) -> bool:
+    """Whether a valid value that is no telephone number begins here."""
+    m = _PATTERN.match(text, at)
+    if not m or m.group("phone"):
+        return False
+    return _MAKERS[_kind(m)](m.group(), permute) is not None
+
+
+def _kind(m: re.Match) -> str:
+    return next(k for k in KINDS if m.group(k) is not None)
+
+
 _MAKERS = dict(zip(KINDS, (_email, _secret, _iban, _ip, _phone, _card, _ssn, _date)))
 
 
@@ -221,16 +257,18 @@ def pseudonymise(text: str | None, permute: Permutation) -> tuple[str | None, li
         return text, []
     out, found, last, size, at = [], [], 0, 0, 0
     while m := _PATTERN.search(text, at):
-        kind = next(k for k in KINDS if m.group(k) is not None)
-        made = _MAKERS[kind](m.group(), permute)
+        kind, end = _kind(m), m.end()
+        if kind == "phone":
+            end = _phone_end(text, m.start(), end, permute)
+        made = _MAKERS[kind](text[m.start():end], permute)
         if made is None:                              # not valid: another value may begin within it
             at = m.start() + 1
             continue
-        at = m.end()
+        at = end
         out += [text[last:m.start()], made]
         size += m.start() - last
         found.append((kind, size, size + len(made)))
-        size, last = size + len(made), m.end()
+        size, last = size + len(made), end
     return ("".join(out) + text[last:], found) if found else (text, [])
 
 
