@@ -6,9 +6,10 @@ over hashed byte n-grams, predicts that bit. A text's margins are decoded by los
 the language whose codeword has the least summed logistic loss wins, and its share
 of exp(-loss) is the score. A text is ambiguous if no language has half of it.
 
-The classifiers are fitted on at most ``SAMPLE`` rows (the bound is a parameter; rows
-are taken in the order of a hash of their id), from text and non-null lang of rows
-that are not held out. lang, source and doc_id are no inputs of a prediction.
+The classifiers are fitted on at most ``SAMPLE`` rows (the bound is a parameter), dealt
+evenly to the languages: what a rare one has not is left to the others, and each of
+up to ``SAMPLE`` languages has a row. A language's rows are taken in the order of a hash
+of id and text, from text and non-null lang of rows that are not held out. lang, source and doc_id are no inputs of a prediction.
 
 Defined cases: a null text, or one without any letter, is ``und`` with score 0; so
 is every text if there are no rows to learn from; with one learned language every
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.llm import words
@@ -106,6 +107,17 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def quotas(counts: list[tuple[str, int]], sample: int) -> list[tuple[str, int, int]]:
+    """Of each language: its rows of the sample, and a bound on the 64-bit hash that more rows than these don't exceed."""
+    out, left = [], sample
+    for i, (lang, n) in enumerate(sorted(counts, key=lambda c: (c[1], c[0]))):
+        quota = min(n, left // (len(counts) - i))
+        share = 1.0 if n <= 4 * quota + 100 else (2 * quota + 30) / n
+        out.append((lang, quota, min(int(share * (1 << 64)), (1 << 64) - 1) - (1 << 63)))
+        left -= quota
+    return out
+
+
 def train(docs: DataFrame, sample: int = SAMPLE):
     """Languages, codewords and weights from at most ``sample`` rows; None without rows to learn from."""
     small_batches(docs.sparkSession, 256)
@@ -116,9 +128,17 @@ def train(docs: DataFrame, sample: int = SAMPLE):
                 x = features(data, offsets)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
 
-    rows = (docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-            .orderBy(F.xxhash64("doc_id"), "text").limit(sample).select(F.col("lang").cast("string").alias("lang"), "text")
-            .mapInArrow(run, "lang string, x binary").toArrow())
+    spark = docs.sparkSession
+    known = (docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+             .select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("h")))
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample).collect()
+    if not counts:
+        return None
+    taken = spark.createDataFrame(quotas([(r[0], r[1]) for r in counts], sample), "lang string, quota long, below long")
+    # about twice the quota passes the bound on the hash, so the ranking sees a bounded number of rows
+    some = known.join(F.broadcast(taken), "lang").where("h <= below").groupBy("lang", "quota", "h").agg(F.min("text").alias("text"))
+    some = some.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where("n <= quota")
+    rows = some.orderBy("h", "lang").select("lang", "text").mapInArrow(run, "lang string, x binary").toArrow()
     if rows.num_rows == 0:
         return None
     languages, label = np.unique(np.array(rows.column("lang").to_pylist()), return_inverse=True)
@@ -127,9 +147,9 @@ def train(docs: DataFrame, sample: int = SAMPLE):
 
 
 def _predict(model, column: pa.Array):
-    """Runs of rows of a text column: (first row, end row, languages, scores, whether a language was looked for)."""
+    """Runs of rows of a text column: (first row, end row, languages, scores, whether a letter is there)."""
     for lo, hi, data, offsets in text_blocks(column):
-        known = _has_letter(data, offsets) if model else np.zeros(hi - lo, bool)
+        known = _has_letter(data, offsets)
         if model:
             languages, code, w = model
             best, score = decode(features(data, offsets), code, w)
@@ -150,7 +170,7 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         for batch in batches:
             for lo, hi, names, score, known in _predict(shared.value, batch.column(1)):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:hi], pa.array(names, pa.string()), pa.array(score.astype(np.float64)), pa.array(known & (score < 0.5))],
+                    [batch.column(0)[lo:hi], pa.array(names, pa.string()), pa.array(score.astype(np.float64)), pa.array(known & (score < 0.5) & (shared.value is not None))],
                     ["doc_id", "lang_pred", "score", "ambiguous"])
 
     found = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, lang_pred string, score double, ambiguous boolean")
@@ -158,13 +178,13 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 
 def with_language(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The table itself, all columns, without the rows whose text is undetermined or ambiguous."""
+    """The table itself, all columns, without the rows whose text has no letter or is ambiguous; if nothing was learned, none is."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, sample))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, _, score, known in _predict(shared.value, batch.column(at)):
-                yield batch.slice(lo, hi - lo).filter(pa.array(known & (score >= 0.5)))
+                yield batch.slice(lo, hi - lo).filter(pa.array(known & ((score >= 0.5) | (shared.value is None))))
 
     return docs.mapInArrow(run, docs.schema)
