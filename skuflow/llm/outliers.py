@@ -74,10 +74,10 @@ def _distance(x: list[Column]) -> Column:
 
 
 def _with_factor(groups: DataFrame) -> DataFrame:
-    """The Cholesky factor l.. of the covariances c.. (a floor on the variances keeps it regular)."""
+    """The Cholesky factor l.. of the covariances c.. (a least variance given the preceding statistics keeps it regular)."""
     for i in range(1, 5):
         for j in range(1, i + 1):
-            rest = F.col(f"c{i}{j}") + (F.lit(FLOOR) if i == j else F.lit(0.0))
+            rest = F.col(f"c{i}{j}")
             for k in range(1, j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             groups = groups.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(FLOOR))) if i == j else rest / F.col(f"l{j}{j}"))
