@@ -73,3 +73,38 @@ def test_decontamination_goes_by_row(spark, rng, passage, sf_dir):
     got = corpus_pipeline.decontamination(spark, table(spark, clean + bad), sf_dir)
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert texts(got) == counted(clean)
+
+
+def test_run_equals_a_plain_version(spark, rng, passage, sf_dir):
+    """All stages in a row against plain Python, counted in token ids per doc_id."""
+    from test_llm_operators import near_brute, whole_ids
+
+    from skuflow.llm import pii
+
+    rows = [(i % 30, prose(rng, 40, ALPHABETS[lang]) + " a.b@example.com 97.51.17.173", lang) for i, lang in enumerate(["aa", "bb"] * 20)]
+    rows += [(None, prose(rng, 40, ALPHABETS[lang]), lang) for lang in ("aa", "bb", "aa")]
+    rows += [(None, rows[0][1], "aa"), (7, rows[4][1], "aa"), rows[9], (11, " ".join(rows[41][1].split()[:-1]), "bb")]
+    rows += [(None, "12 !?", None), (3, "", "aa"), (4, None, "bb"), (None, passage, "aa"), (5, prose(rng, 5) + " " + passage, "aa")]
+    table(spark, rows).write.parquet(f"{sf_dir}/documents.parquet")
+
+    left = sorted((r for r in rows if any(c.isalpha() for c in r[1] or "")), key=lambda r: (r[0] is None, r[0] or 0))
+    root = near_brute([t for _, t, _ in left], 5, 80)[1]
+    left = [r for i, r in enumerate(left) if root[i] == i]
+    words = passage.split()
+    windows = {tuple(words[i:i + 13]) for i in range(len(words) - 12)}
+
+    def contaminated(text):
+        own = text.split()
+        hit = {j for i in range(len(own) - 12) if tuple(own[i:i + 13]) in windows for j in range(i, i + 13)}
+        return bool(hit) and 20 * len(hit) >= len(own)
+
+    left = [r for r in left if not contaminated(r[1])]
+    permute = pii.Permutation(pii.KEY)
+    want = collections.defaultdict(collections.Counter)
+    for (i, _, _), ids in zip(left, whole_ids([pii.pseudonymise(t, permute)[0] for _, t, _ in left])):
+        want[i].update(ids)
+    got = collections.defaultdict(collections.Counter)
+    for piece in corpus_pipeline.run(spark, sf_dir).collect():
+        got[piece.doc_id].update(memoryview(bytes(piece.ids)).cast("I").tolist())
+    assert len(left) == 43
+    assert got == want
