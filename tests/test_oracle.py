@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from skuflow import registry
 from tests.conftest import SF001
 
 TABLES = "region nation customer supplier part orders lineitem".split()
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +35,7 @@ def _norm(v):
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(E.queries()) - set(E.oracle_sql()))
+    missing = sorted(set(registry.queries()) - set(registry.oracle_sql()))
     assert missing == []
 
 
@@ -49,19 +50,19 @@ SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "stri
 
 @pytest.mark.parametrize("key", KEYS)
 def test_same_column_types(spark, con, key):
-    sdf = E.queries()[key](spark, SF001)
+    sdf = registry.queries()[key](spark, SF001)
     mine = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
             for f in sdf.schema.fields}
-    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()}
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {registry.oracle_sql()[key]}").fetchall()}
     assert mine == theirs
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(spark, con, key):
-    sdf = E.queries()[key](spark, SF001)
+    sdf = registry.queries()[key](spark, SF001)
     cols = sorted(sdf.columns)
     got = sorted(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
-    cur = con.execute(E.oracle_sql()[key])
+    cur = con.execute(registry.oracle_sql()[key])
     dcols = [d[0] for d in cur.description]
     assert sorted(dcols) == cols
     want = sorted(tuple(_norm(dict(zip(dcols, r))[c]) for c in cols) for r in cur.fetchall())

@@ -2,15 +2,15 @@
 
 import pytest
 
-import __spark_entry__ as E
+from skuflow import registry
 from tests.conftest import SF001
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct")
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_no_python_udf_or_cartesian(spark, key):
-    plan = E.queries()[key](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    plan = registry.queries()[key](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
         assert bad not in plan, (key, bad)
 
