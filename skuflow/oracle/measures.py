@@ -218,3 +218,88 @@ def view_sql(families, measures, by) -> str:
             if need not in ctes:
                 ctes.append(need)
     return measures_sql(ctes, list(measures), list(by))
+
+
+_PERIOD_NAMES = {"day": "date_key", "month": "year_month", "quarter": "year, quarter", "year": "year", "fiscal_year": "fiscal_year"}
+
+
+def _spans_ctes(grain: str, by, year_start_month: int) -> str:
+    """Every span's days by a plain range join over the days with sales."""
+    keys = "".join(f"{k}, " for k in by)
+    same = " AND ".join([f"d.{k} IS NOT DISTINCT FROM s.{k}" for k in by] + ["d.order_date BETWEEN s.lo AND s.hi"])
+    moved = "CAST({0} - INTERVAL {1} MONTH AS DATE)"
+    span_rows = []
+    for name, months in (("py", 12), ("pm", 1)):
+        lo, hi = moved.format("lo_day", months), moved.format("hi_day", months)
+        span_rows.append(f"SELECT *, '{name}' AS span, {lo} AS lo, CASE WHEN hi_day = last_day(hi_day) AND day(lo_day) = 1 "
+                         f"THEN last_day({hi}) ELSE {hi} END AS hi FROM q_ctx")
+    turn = f"make_date(year(hi_day) - CASE WHEN month(hi_day) < {year_start_month} THEN 1 ELSE 0 END, {year_start_month}, 1)"
+    trailing = ("CASE WHEN hi_day = last_day(hi_day) THEN CAST(date_trunc('month', hi_day) - INTERVAL 2 MONTH AS DATE) "
+                "ELSE CAST(hi_day - INTERVAL 3 MONTH AS DATE) + 1 END")
+    span_rows += ["SELECT *, 'cur' AS span, lo_day AS lo, hi_day AS hi FROM q_ctx", f"SELECT *, 'ytd' AS span, {turn} AS lo, hi_day AS hi FROM q_ctx",
+                  f"SELECT *, 'r3' AS span, {trailing} AS lo, hi_day AS hi FROM q_ctx"]
+    contexts = f"(SELECT DISTINCT {', '.join(by)} FROM q_days_sold) CROSS JOIN " if by else ""
+    return _FAMILIES + f""",
+q_days_sold AS (SELECT {keys}order_date, sum(rev_c) AS day_c FROM q_sales GROUP BY {keys}order_date),
+q_calendar AS (SELECT {_PERIOD_NAMES[grain]}, min(date) AS lo_day, max(date) AS hi_day FROM q_dim_date GROUP BY {_PERIOD_NAMES[grain]}),
+q_ctx AS (SELECT * FROM {contexts}q_calendar),
+q_spans AS ({" UNION ALL ".join(span_rows)}),
+q_sums AS (
+    SELECT {"".join(f"s.{k}, " for k in by)}s.lo_day, s.span, sum(d.day_c) AS c, count(d.order_date) AS n
+    FROM q_spans s LEFT JOIN q_days_sold d ON {same} GROUP BY {"".join(f"s.{k}, " for k in by)}s.lo_day, s.span
+),
+q_wide AS (
+    SELECT {"".join(f"x.{k}, " for k in by)}{", ".join("x." + c for c in _PERIOD_NAMES[grain].split(", "))}, x.lo_day AS first_day,
+           {", ".join(f"max(CASE WHEN q.span = '{s}' THEN q.c END) AS {s}_c" for s in ("cur", "ytd", "py", "pm", "r3"))},
+           max(CASE WHEN q.span = 'r3' THEN q.n END) AS r3_n
+    FROM q_ctx x JOIN q_sums q ON q.lo_day = x.lo_day {"".join(f"AND q.{k} IS NOT DISTINCT FROM x.{k} " for k in by)}
+    GROUP BY ALL
+)"""
+
+
+def period_sql(grain: str, by, year_start_month: int = 1) -> str:
+    keys = "".join(f"{k}, " for k in by) + _PERIOD_NAMES[grain]
+
+    def change(prev: str) -> str:
+        return f"CAST(coalesce(cur_c, 0) - {prev} AS DOUBLE) / NULLIF(CAST({prev} AS DOUBLE), 0)"
+
+    label = "printf('%.1f%%', round_even(revenue_yoy_pct * 100, 1))"
+    return with_binding(f"""
+SELECT *, CASE WHEN revenue_yoy_pct IS NULL THEN '' WHEN revenue_yoy_pct > 0 THEN '▲ ' || {label}
+               WHEN revenue_yoy_pct < 0 THEN '▼ ' || {label} ELSE '– 0.0%' END AS revenue_yoy_arrow
+FROM (SELECT {keys}, first_day, CAST(cur_c AS DOUBLE) / 100 AS revenue, CAST(ytd_c AS DOUBLE) / 100 AS revenue_ytd,
+             CAST(py_c AS DOUBLE) / 100 AS revenue_py, {change('py_c')} AS revenue_yoy_pct,
+             CAST(pm_c AS DOUBLE) / 100 AS revenue_pm, {change('pm_c')} AS revenue_mom_pct,
+             CAST(r3_c AS DOUBLE) / 100 / NULLIF(CAST(r3_n AS DOUBLE), 0) AS revenue_3m_avg
+      FROM q_wide) t""", _spans_ctes(grain, by, year_start_month))
+
+
+FISCAL_YEAR_TO_DATE = with_binding("""
+SELECT year_month, first_day, CAST(cur_c AS DOUBLE) / 100 AS revenue, CAST(ytd_c AS DOUBLE) / 100 AS revenue_fytd FROM q_wide
+""", _spans_ctes("month", (), 7))
+
+
+def many_contexts_sql(contexts, measures) -> str:
+    keys = list(dict.fromkeys(k for c in contexts for k in c))
+    parts = []
+    for c in contexts:
+        group = f" GROUP BY {', '.join(c)}" if c else ""
+        sold = ", ".join(f"{sql} AS {name}" for name, sql in _AGGS["q_sales"])
+        every = ", ".join(f"{sql} AS {name}" for name, sql in _AGGS["q_lines_all"])
+        same = " AND ".join(f"a.{k} IS NOT DISTINCT FROM s.{k}" for k in c) or "true"
+        own = "".join(f"{k}, " for k in c)
+        parts.append(f"SELECT '{','.join(c)}' AS context, {', '.join(('a.' + k) if k in c else f'CAST(NULL AS VARCHAR) AS {k}' for k in keys)}, "
+                     f"s.* EXCLUDE ({', '.join(c) or 'one'}), a.returned_orders, a._orders_all, a.delivered_revenue "
+                     f"FROM (SELECT {own or '1 AS one, '}{every} FROM q_lines_all{group}) a "
+                     f"LEFT JOIN (SELECT {own or '1 AS one, '}{sold} FROM q_sales{group}) s ON {same}")
+    final = [f"{_DERIVED[n]} AS {n}" if n in _DERIVED else n for n in measures]
+    return with_binding(f"SELECT context, {', '.join(keys)}, {', '.join(final)} FROM ({' UNION ALL '.join(parts)}) p", _FAMILIES)
+
+
+def order_counts_sql(keys) -> str:
+    flags = ", ".join(f"CAST(grouping({k}) AS INTEGER) AS all_{k}" for k in keys)
+    return with_binding(f"""
+SELECT {', '.join(keys)}, {flags}, count(DISTINCT order_id) AS orders,
+       count(DISTINCT CASE WHEN status = 'Delivered' THEN order_id END) AS delivered_orders,
+       count(DISTINCT CASE WHEN status = 'Returned' THEN order_id END) AS returned_orders
+FROM q_lines_all GROUP BY CUBE ({', '.join(keys)})""", _FAMILIES)

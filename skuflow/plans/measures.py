@@ -99,7 +99,7 @@ def _dsum(c: str) -> Column:
 # order counts are plain conditional counts (no distinct aggregation).
 _HIDDEN = [
     _m("_rev_c", "lines", lambda: _dsum("rev_c"), ""),
-    _m("_margin_c", "lines", lambda: F.sum(F.when(_delivered(), _c("rev_c") - _c("cogs_c"))), ""),
+    _m("_margin_c", "lines", lambda: _dsum("margin_c"), ""),
     _m("_cogs_c", "lines", lambda: _dsum("cogs_c"), ""),
     _m("_lines", "lines", lambda: _dsum("n_lines"), ""),
     _m("_inv_c", "inventory", lambda: money_sum(_c("value_c")), ""),
@@ -165,9 +165,6 @@ MEASURES: dict[str, Measure] = {m.name: m for m in _HIDDEN + [
                         F.date_format(F.max("date"), "MMM yyyy")), "M37 Selected Period Label"),
 ]}
 
-# Aggregates that read the ABC class of the sold product.
-NEEDS_ABC: set[str] = set()
-
 PUBLIC_MEASURES = tuple(n for n in MEASURES if not n.startswith("_"))
 
 
@@ -204,6 +201,16 @@ def _need(keys: set[str], dim: str) -> bool:
     return any(DIM_OF_KEY.get(k) == dim for k in keys)
 
 
+def _related(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Fact rows with the attributes of their dimension row.
+
+    A row without one belongs to the dimension's blank member: all its attributes, the key
+    included, are NULL, so that every context adds up to the total.
+    """
+    known = dim.withColumnRenamed(key, "_key")
+    return fact.join(known, F.col(key) == F.col("_key"), "left").withColumn(key, F.col("_key")).drop("_key")
+
+
 def family_frame(m: Model, family: str, keys: set[str]) -> DataFrame:
     """Fact rows of ``family`` with only the dimension attributes the context needs."""
     if family in ("sales", "sales_all"):
@@ -214,18 +221,18 @@ def family_frame(m: Model, family: str, keys: set[str]) -> DataFrame:
             cols += _date_attrs(F.col("order_date"))
         f = f.select(*cols)
         if _need(keys, "product"):
-            f = f.join(_product_dim(m, keys), "product_id")
+            f = _related(f, _product_dim(m, keys), "product_id")
         if _need(keys, "warehouse"):
-            f = f.join(_warehouse_dim(m), "warehouse_id")
+            f = _related(f, _warehouse_dim(m), "warehouse_id")
         return f
     if family == "inventory":
         p = m.products.select("product_id", "unit_cost_cents", "reorder_point", "safety_stock")
-        f = m.inventory.join(p, "product_id").withColumn(
+        f = m.inventory.join(p, "product_id", "left").withColumn(
             "value_c", F.col("quantity_on_hand").cast("long") * F.col("unit_cost_cents"))
         if _need(keys, "product"):
-            f = f.join(_product_dim(m, keys), "product_id")
+            f = _related(f, _product_dim(m, keys), "product_id")
         if _need(keys, "warehouse"):
-            f = f.join(_warehouse_dim(m), "warehouse_id")
+            f = _related(f, _warehouse_dim(m), "warehouse_id")
         return f
     if family == "purchase_orders":
         delay = F.datediff("actual_delivery_date", "expected_delivery_date")
@@ -235,9 +242,9 @@ def family_frame(m: Model, family: str, keys: set[str]) -> DataFrame:
         if _need(keys, "date"):
             f = f.select("*", *_date_attrs(F.col("order_date")))
         if _need(keys, "supplier"):
-            f = f.join(_supplier_dim(m, keys), "supplier_id")
+            f = _related(f, _supplier_dim(m, keys), "supplier_id")
         if _need(keys, "product"):
-            f = f.join(_product_dim(m, keys), "product_id")
+            f = _related(f, _product_dim(m, keys), "product_id")
         return f
     if family == "supplier_dim":
         return _supplier_dim(m, keys | {"risk_tier"})
@@ -265,23 +272,20 @@ def lines_by_product(m: Model, by: list[str]) -> DataFrame:
         group.append("warehouse_id")
     g = f.groupBy(*group, "product_id").agg(money_sum(F.col("quantity") * F.col("price_cents")).alias("rev_c"))
     if _need(set(by), "warehouse"):
-        g = g.join(_warehouse_dim(m), "warehouse_id")
-    return g.join(_product_dim(m, set(by) | {"abc_class"}), "product_id")
+        g = _related(g, _warehouse_dim(m), "warehouse_id")
+    return _related(g, _product_dim(m, set(by) | {"abc_class"}), "product_id")
 
 
-def lines_order_grain(m: Model, by: list[str], need_abc: bool) -> DataFrame:
+def lines_order_grain(m: Model, by: list[str]) -> DataFrame:
     """All-status lines aggregated to (context keys, order, status).
 
-    Status is an order attribute, so Delivered-only and all-status measures
+    A line of unknown cost has revenue but no margin. Status is an order attribute, so Delivered-only and all-status measures
     are conditional aggregates over these rows, and order counts are counts
     of rows - one pass over the lines instead of one per status scope.
     """
-    attrs = set(by) | ({"abc_class"} if need_abc else set())
-    f = family_frame(m, "sales_all", attrs)
+    f = family_frame(m, "sales_all", set(by))
     aggs = [money_sum(F.col("rev_c")).alias("rev_c"), money_sum(F.col("cogs_c")).alias("cogs_c"),
-            F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("n_lines")]
-    if need_abc:
-        aggs.append(F.sum(F.when(F.col("abc_class") == "A", F.col("rev_c").cast(EXACT))).alias("a_rev_c"))
+            money_sum(F.col("rev_c") - F.col("cogs_c")).alias("margin_c"), F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("n_lines")]
     return f.groupBy(*by, "order_id", "status").agg(*aggs)
 
 
@@ -324,13 +328,12 @@ def evaluate(m: Model, measures: list[str] | tuple[str, ...], by: list[str] | tu
     agg_cols = [ms.name for ms in base]
     parts = []
     for fam, ms_list in families.items():
-        need_abc = any(x.name in NEEDS_ABC for x in ms_list)
         if fam == "lines":
-            f = lines_order_grain(m, by, need_abc)
+            f = lines_order_grain(m, by)
         elif fam == "lines_product":
             f = lines_by_product(m, by)
         else:
-            f = family_frame(m, fam, keys | ({"abc_class"} if need_abc else set()))
+            f = family_frame(m, fam, keys)
         aggs = [ms.agg().alias(ms.name) for ms in ms_list]
         g = f.groupBy(*by).agg(*aggs) if by else f.agg(*aggs)
         # the other families' columns are NULL in this part
@@ -360,7 +363,7 @@ _MEASURE_TYPES = {
     "_inv_c": "decimal(38,0)", "_dead_c": "decimal(38,0)", "_a_rev_c": "decimal(38,0)",
     "_lines": "bigint", "_positions": "bigint", "_orders_all": "bigint",
     "total_units_sold": "bigint", "order_count": "bigint", "returned_orders": "bigint",
-    "delivered_revenue": "double", "units_on_hand": "bigint", "_a_rev_c": "decimal(38,0)", "skus_below_reorder_point": "bigint",
+    "delivered_revenue": "double", "units_on_hand": "bigint", "skus_below_reorder_point": "bigint",
     "purchase_order_count": "bigint", "delivered_pos": "bigint", "late_pos": "bigint",
     "average_delay_days": "double", "high_risk_suppliers": "bigint", "class_a_sku_count": "bigint",
     "selected_period_label": "string",
@@ -379,8 +382,9 @@ def class_a_share(m: Model, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
     cur = evaluate(m, ["class_a_revenue", "total_revenue", "class_a_sku_count"], by) if all(
         DIM_OF_KEY.get(k) == "product" for k in by) else evaluate(m, ["class_a_revenue", "total_revenue"], by)
     den = evaluate(m, ["total_revenue"], other).withColumnRenamed("total_revenue", "_all_products_revenue")
-    if other:
-        cur = cur.join(den, other, "left")
+    if other:                                                             # a blank member meets its own total
+        same = [cur[k].eqNullSafe(den[k]) for k in other]
+        cur = cur.join(den, reduce(Column.__and__, same), "left").select(*[cur[c] for c in cur.columns], "_all_products_revenue")
     else:
         cur = cur.withColumn("_all_products_revenue", den.select("_all_products_revenue").scalar())
     return cur.withColumn("class_a_revenue_pct",

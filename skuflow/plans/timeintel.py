@@ -14,10 +14,10 @@ context; without context keys the partition is the month calendar itself
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import money_sum, round_half_even, sort_bounded
+from skuflow.functions.exprs import EXACT, money_sum, round_half_even, sort_bounded
 from skuflow.plans.measures import BOUNDED_KEYS, DIM_OF_KEY, family_frame
 from skuflow.sources.model import Model
 
@@ -40,6 +40,21 @@ def monthly_revenue_spine(m: Model, by: list[str] | tuple[str, ...] = ()) -> Dat
     return spine.join(monthly, [*by, "month_start"], "left")
 
 
+def change_pct(current: str, previous: str) -> Column:
+    """Relative change between two exact amounts; no sales now count as zero, none before give NULL."""
+    zero = F.lit(0).cast(EXACT)
+    return (F.coalesce(F.col(current), zero) - F.col(previous)).cast("double") / F.nullif(F.col(previous).cast("double"), F.lit(0.0))
+
+
+def yoy_arrow(change: str) -> Column:
+    """Direction and size of a change, empty where it is unknown."""
+    pct = F.format_string("%.1f%%", round_half_even(F.col(change) * 100, 1))
+    return (F.when(F.col(change).isNull(), F.lit(""))
+            .when(F.col(change) > 0, F.concat(F.lit("▲ "), pct))
+            .when(F.col(change) < 0, F.concat(F.lit("▼ "), pct))
+            .otherwise(F.lit("– 0.0%")))
+
+
 def revenue_time_intelligence(m: Model, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Per context and month: revenue, YTD, PY, YoY %, PM, MoM %, 3M average, YoY arrow."""
     by = [k for k in by if k not in ("year_month", "year", "month")]
@@ -56,31 +71,19 @@ def revenue_time_intelligence(m: Model, by: list[str] | tuple[str, ...] = ()) ->
         F.sum(cur).over(ytd_w).alias("ytd_c"), py.alias("py_c"), pm.alias("pm_c"),
         F.sum(cur).over(last3).alias("r3_c"), F.sum("sales_days").over(last3).alias("d3"),
     )
-    zero = F.lit(0).cast("decimal(38,0)")
-
-    def change(prev: str):
-        return ((F.coalesce(cur, zero) - F.col(prev)).cast("double")
-                / F.nullif(F.col(prev).cast("double"), F.lit(0.0)))
-
-    yoy = change("py_c")
-    yoy_pct = F.format_string("%.1f%%", round_half_even(F.col("revenue_yoy_pct") * 100, 1))
-    arrow = (F.when(F.col("revenue_yoy_pct").isNull(), F.lit(""))
-             .when(F.col("revenue_yoy_pct") > 0, F.concat(F.lit("▲ "), yoy_pct))
-             .when(F.col("revenue_yoy_pct") < 0, F.concat(F.lit("▼ "), yoy_pct))
-             .otherwise(F.lit("– 0.0%")))
     return (
         out.select(
             *by, "year_month",
             dollars(cur).alias("revenue"),
             dollars(F.col("ytd_c")).alias("revenue_ytd"),
             dollars(F.col("py_c")).alias("revenue_py"),
-            yoy.alias("revenue_yoy_pct"),
+            change_pct("rev_c", "py_c").alias("revenue_yoy_pct"),
             dollars(F.col("pm_c")).alias("revenue_pm"),
-            change("pm_c").alias("revenue_mom_pct"),
+            change_pct("rev_c", "pm_c").alias("revenue_mom_pct"),
             (F.col("r3_c").cast("double") / F.lit(100) / F.nullif(F.col("d3").cast("double"), F.lit(0.0)))
             .alias("revenue_3m_avg"),
         )
-        .withColumn("revenue_yoy_arrow", arrow)
+        .withColumn("revenue_yoy_arrow", yoy_arrow("revenue_yoy_pct"))
         .transform(lambda d: sort_bounded(d, *by, "year_month") if set(by) <= BOUNDED_KEYS
                    else d.orderBy(*by, "year_month"))
     )

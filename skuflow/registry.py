@@ -18,7 +18,8 @@ from skuflow.oracle import feeds as b_sql
 from skuflow.oracle import kpis as k_sql
 from skuflow.oracle import profile as r_sql
 from skuflow.oracle import quality as dq_sql
-from skuflow.plans import feeds, measures, star, timeintel
+from skuflow.oracle import loads as load_sql
+from skuflow.plans import contexts, feeds, loads, measures, periods, publish, star, timeintel
 from skuflow.oracle import questions as q_sql
 from skuflow.sources import sinks
 from skuflow.sources.tpch import bind, read_sources
@@ -26,6 +27,16 @@ from skuflow.sources.tpch import bind, read_sources
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+#: Time intelligence at other grains than the month: key -> grain, context.
+PERIOD_VIEWS = {
+    "time_intelligence_by_day": ("day", ()),
+    "time_intelligence_by_quarter": ("quarter", ()),
+    "time_intelligence_by_fiscal_year": ("fiscal_year", ()),
+    "time_intelligence_by_day_and_warehouse": ("day", ("warehouse_name",)),
+    "time_intelligence_by_quarter_and_category": ("quarter", ("category",)),
+}
+
+
 def _on_model(fn, **params) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(bind(spark, sf_dir), **params)
@@ -126,6 +137,13 @@ def queries() -> dict[str, QueryFn]:
         "stock_health_mix": _on_model(feeds.stock_health_mix),
         "dashboard_top_products": _on_model(feeds.dashboard_top_products),
         "dashboard_bottom_suppliers": _on_model(feeds.dashboard_bottom_suppliers),
+        **{name: _on_model(periods.period_measures, grain=grain, by=by) for name, (grain, by) in PERIOD_VIEWS.items()},
+        "line_measures_many_contexts": _on_model(contexts.standard_line_measures),
+        "order_counts_all_subtotals": _on_model(contexts.order_counts, keys=("warehouse_name", "category")),
+        "load_rejects": _on_model(loads.load_report),
+        "star_publication": _on_model(publish.publication_audit),
+        "star_publication_csv": _on_model(publish.publication_audit, fmt="csv"),
+        "fiscal_year_to_date": _on_model(periods.fiscal_year_to_date),
         "revenue_time_intelligence_by_warehouse": _on_model(timeintel.revenue_time_intelligence,
                                                             by=["warehouse_name"]),
     }
@@ -158,11 +176,17 @@ def oracle_sql() -> dict[str, str]:
     out.update(r_sql.SQL)
     out.update(k_sql.SQL)
     out.update(b_sql.SQL)
+    out.update(load_sql.SQL)
     for name, (families, by) in measures.MEASURE_VIEWS.items():
         out[name] = m_sql.view_sql(families, measures.view_measures(families), by)
     out["class_a_share_by_category"] = m_sql.class_a_share_sql(["category"], True)
     out["class_a_share_by_warehouse"] = m_sql.class_a_share_sql(["warehouse_name"], False)
     out["revenue_time_intelligence"] = m_sql.time_intelligence_sql([])
     out["revenue_time_intelligence_by_warehouse"] = m_sql.time_intelligence_sql(["warehouse_name"])
+    out["line_measures_many_contexts"] = m_sql.many_contexts_sql(contexts.STANDARD, contexts.LINE_MEASURES)
+    out["order_counts_all_subtotals"] = m_sql.order_counts_sql(("warehouse_name", "category"))
+    for name, (grain, by) in PERIOD_VIEWS.items():
+        out[name] = m_sql.period_sql(grain, by)
+    out["fiscal_year_to_date"] = m_sql.FISCAL_YEAR_TO_DATE
     out = {k: _bigint_counts(v) for k, v in out.items()}
     return out
