@@ -15,7 +15,8 @@ local part's letters and digits, class by class; the domain stays. Secret: digit
 capitals and small letters (hex: hex digits of
 its case), class by class.
 
-Defined cases: a null text stays null, an empty one empty; repeated rows, null ids, ties
+Defined cases: a null text stays null, an empty one empty; values and texts may have any length (values above
+BLOCK signs are permuted in blocks, and the search is linear in the text); repeated rows, null ids, ties
 and any further columns are passed through; an empty table gives no rows.
 """
 
@@ -37,8 +38,10 @@ KEY = b"not a secret: pass your own key"
 ROUNDS = 8
 KINDS = ("email", "secret", "iban", "ip", "phone", "card", "ssn", "date")
 _DAY0, _DAYS = dt.date(1900, 1, 1), (dt.date(2099, 12, 31) - dt.date(1900, 1, 1)).days + 1
+_EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: An e-mail is looked for once in each run of its signs, from the run's start, however long the run is.
 _PATTERN = re.compile(
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
+    r"(?<![A-Za-z0-9._%+-])[._%+-]*+(?P<email>" + _EMAIL + r")"
     r"|(?P<secret>\bAKIA[A-Z0-9]{16}\b|(?<=password=)[^\s\"']{6,}|(?<=password: )[^\s\"']{6,}|\b(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}\b)"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d))"
@@ -48,6 +51,11 @@ _PATTERN = re.compile(
     r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<sep>[./])\d{1,2}(?P=sep)\d{4})(?![\d-]))", re.ASCII)
 
 
+_REST = re.compile(f"(?P<email>{_EMAIL})", re.ASCII)
+#: Signs that are permuted as one number; longer values go block by block.
+BLOCK = 64
+
+
 class Permutation:
     """A keyed permutation of 0 .. n - 1 for each format (``tweak``)."""
 
@@ -98,7 +106,19 @@ def _refill(text: str, digits: str) -> str:
 
 
 def _classes(text: str, alphabets: tuple[str, ...], permute: Permutation, tweak: str) -> str:
-    """Signs of the alphabets permuted as one mixed-radix number; other signs stay."""
+    """Signs of the alphabets permuted, BLOCK signs as one mixed-radix number; other signs stay.
+
+    A later block's permutation depends on the blocks before it, so equal blocks of one value differ.
+    """
+    out, before = [], hashlib.blake2b(digest_size=16)
+    for i in range(0, max(len(text), 1), BLOCK):
+        block = text[i:i + BLOCK]
+        out.append(_block(block, alphabets, permute, f"{tweak}#{i}:{before.hexdigest()}" if i else tweak))
+        before.update(block.encode())
+    return "".join(out)
+
+
+def _block(text: str, alphabets: tuple[str, ...], permute: Permutation, tweak: str) -> str:
     used = [next((a for a in alphabets if c in a), "") for c in text]
     x, n = 0, 1
     for c, a in zip(text, used):
@@ -162,8 +182,16 @@ def _ip(value, permute):
     return ".".join(reversed(out))
 
 
+def _code(value: str) -> str:
+    """The country code with its plus; without a sign after it the one in the table, else one digit."""
+    if value[0] != "+":
+        return ""
+    signed = re.match(r"\+\d{1,3}(?=[ .(-])", value)
+    return signed.group() if signed else "+" + next((c for c in _NATIONAL if value.startswith(c, 1)), value[1])
+
+
 def _phone(value, permute):
-    code = re.match(r"\+\d{1,3}(?=[ .(-])|", value).group() or value[:2] * value.startswith("+")
+    code = _code(value)
     rest = value[len(code):]
     digits = re.sub(r"\D", "", rest)
     if not 6 <= len(digits) <= 14:
@@ -213,7 +241,7 @@ def _date(value, permute):
 
 
 #: Most digits of a national number, by country code; others have 15 with their code (E.164).
-_NATIONAL = {"1": 10, "7": 10, "30": 10, "31": 9, "32": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "52": 10, "55": 11,
+_NATIONAL = {"1": 10, "7": 10, "30": 10, "31": 9, "32": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "49": 11, "52": 10, "55": 11,
              "61": 9, "81": 10, "82": 10, "86": 11, "90": 10, "91": 10, "351": 9, "353": 9, "420": 9}
 
 
@@ -222,9 +250,7 @@ def _phone_end(text: str, start: int, end: int, permute: Permutation) -> int:
     value = text[start:end]
     if value[0] != "+":
         return end
-    code = re.match(r"\+(\d{1,3})(?=[ .(-])|", value).group(1)
-    if code is None:                                                      # no sign after the code
-        code = next((c for c in _NATIONAL if value.startswith(c, 1)), value[1])
+    code = _code(value)[1:]
     groups = list(re.finditer(r"\d+", value[1 + len(code):]))
     first = start + 1 + len(code)
     most = _NATIONAL.get(code, 15 - len(code)) + (code != "1" and groups[0].group()[0] == "0")
@@ -256,17 +282,19 @@ def pseudonymise(text: str | None, permute: Permutation) -> tuple[str | None, li
     if not text:
         return text, []
     out, found, last, size, at = [], [], 0, 0, 0
-    while m := _PATTERN.search(text, at):
-        kind, end = _kind(m), m.end()
+    # after a value an e-mail may begin within a run of its signs
+    while m := (at and at == last and _REST.match(text, at)) or _PATTERN.search(text, at):
+        kind = "email" if m.re is _REST else _kind(m)
+        start, end = m.span(kind)
         if kind == "phone":
-            end = _phone_end(text, m.start(), end, permute)
-        made = _MAKERS[kind](text[m.start():end], permute)
+            end = _phone_end(text, start, end, permute)
+        made = _MAKERS[kind](text[start:end], permute)
         if made is None:                              # not valid: another value may begin within it
-            at = m.start() + 1
+            at = start + 1
             continue
         at = end
-        out += [text[last:m.start()], made]
-        size += m.start() - last
+        out += [text[last:start], made]
+        size += start - last
         found.append((kind, size, size + len(made)))
         size, last = size + len(made), end
     return ("".join(out) + text[last:], found) if found else (text, [])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -45,3 +46,48 @@ def test_phone_ends_before_what_follows():
     for phone in ("+44 020 7946 0958", "+43 720 123 456 7890", "+1 826 555 408", "+182655540812"):       # never shortened
         made, found = pii.pseudonymise(phone, permute)
         assert found == [("phone", 0, len(phone))] and made != phone
+
+
+def test_long_values_are_replaced_in_blocks():
+    permute = pii.Permutation(b"k")
+    for kind, text, value in (("secret", "key={} end", "0a1b2c3d" * 1300), ("secret", "password={} end", "Zq8!" * 2500), ("email", "to {} end", "ab.cd9" * 1700 + "@example.com")):
+        made, found = pii.pseudonymise(text.format(value), permute)
+        (k, a, b), = found
+        assert k == kind and b - a == len(value) and made[:a] + value + made[b:] == text.format(value)
+        assert sum(x != y for x, y in zip(made[a:b], value)) > len(value) / 2
+        assert pii.pseudonymise(f"other {text.format(value)}", permute)[0].endswith(made[a:b] + " end")
+        changed = value[:-20] + ("0" if value[-20] != "0" else "1") + value[-19:]
+        assert pii.pseudonymise(text.format(changed), permute)[0] != made
+    blocks = pii._classes("5" * 640, ("0123456789",), permute, "t")
+    assert len({blocks[i:i + 64] for i in range(0, 640, 64)}) == 10
+
+
+def test_runs_without_spaces_take_linear_time():
+    permute = pii.Permutation(b"k")
+    for run in ("abcdEFGH1234+/", "a.b-c_d%", "x@", "9z", "a@b.", "password"):
+        text = run * (1_000_000 // len(run))
+        begun = time.process_time()
+        pii.pseudonymise(text, permute)
+        assert time.process_time() - begun < 5, run
+    run = "x" * 1_000_000
+    made, found = pii.pseudonymise(f"{run} j.doe@example.com {run}", permute)
+    assert [k for k, _, _ in found] == ["email"] and made.startswith(run) and made.endswith(run)
+
+
+def test_emails_after_other_signs():
+    permute = pii.Permutation(b"k")
+    alone = pii.pseudonymise("john@example.com", permute)[0]
+    for before in ("..", "%", "-", "<", "mailto:", "+1 826 555 4081 "):
+        made, found = pii.pseudonymise(f"{before}john@example.com.", permute)
+        assert found[-1][0] == "email" and made.endswith(alone + ".")
+    made, found = pii.pseudonymise("+44 20 7946 0958john@example.com", permute)
+    assert [k for k, _, _ in found] == ["phone", "email"] and made.endswith(alone)
+
+
+def test_phone_numbers_with_and_without_signs_are_linked():
+    permute = pii.Permutation(b"k")
+    for spaced, plain in (("+44 20 7946 0958", "+442079460958"), ("+49 30 12345678", "+493012345678"), ("+351 21 123 4567", "+351211234567"), ("+1 826-555-4081", "+18265554081")):
+        made = [pii.pseudonymise(x, permute)[0] for x in (spaced, plain)]
+        assert re.sub("[ -]", "", made[0]) == made[1] != plain, spaced
+        code = spaced.split(" ")[0]
+        assert all(x.startswith(code) for x in made)
