@@ -123,15 +123,16 @@ def _place(start: str):
 
 def _repeats(found: DataFrame, length: int) -> DataFrame:
     """Word ranges (doc_id, row, first, end) that repeat earlier ones."""
-    classes = found.groupBy("core", "whole").agg(F.min(_place("first")).alias("head"), F.count("*").alias("members"))
-    later = found.join(classes.where("members > 1"), ["core", "whole"]).where(_place("first") > F.col("head"))
+    # Written first: a join of two plain shuffles is one whose hot keys AQE can split.
+    classes = stage(found.groupBy("core", "whole").agg(F.min(_place("first")).alias("head"), F.count("*").alias("members")).where("members > 1").drop("members"), "classes")
+    later = found.join(classes, ["core", "whole"]).where(_place("first") > F.col("head"))
     later = later.select("doc_id", "row", "first", (F.col("first") + F.col("n") + length - 1).alias("end"))
     heads = (found.where("mixed").groupBy("core", "whole")
              .agg(F.min(F.struct(_place("first").alias("place"), "row")).alias("head"), F.first("lead").alias("lead"), F.first("windows").alias("windows")))
     extended = stage(heads.select("core", "lead", "head.place.doc_id", "head.row", F.col("head.place.start").alias("first"), F.posexplode("windows").alias("o", "hash"))
                      .select("core", (F.col("lead") - F.col("o")).alias("left"), "hash", "doc_id", "row", (F.col("first") + F.col("o")).alias("first")), "extensions")
     key = ["core", "left", "hash"]
-    earliest = extended.groupBy(*key).agg(F.min(_place("first")).alias("head"), F.count("*").alias("members")).where("members > 1")
+    earliest = stage(extended.groupBy(*key).agg(F.min(_place("first")).alias("head"), F.count("*").alias("members")).where("members > 1").drop("members"), "earliest")
     joined = extended.join(earliest, key).where(_place("first") > F.col("head"))
     return later.union(joined.select("doc_id", "row", "first", (F.col("first") + length).alias("end")))
 
