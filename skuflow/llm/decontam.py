@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.llm import words
-from skuflow.llm.common import small_batches, stage, text_blocks
+from skuflow.llm.common import release, small_batches, stage, text_blocks
 
 WINDOW, GRAM = 13, 5
 BITMAP_BITS = 24
@@ -94,6 +94,7 @@ def fingerprint(rows: DataFrame, window: int, gram: int, short: list[int], bitma
                     [pa.array(base + number + np.arange(hi - lo)), batch.column(0)[lo:hi], pa.array(np.diff(first)),
                      pa.ListArray.from_arrays(pa.array(places), seeds)], ["row", "id", "n_words", "seeds"])
                 number += hi - lo
+        release()
 
     kind = dict(rows.dtypes)["id"]
     return rows.select("id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"row bigint, id {kind}, n_words bigint, seeds array<{_SEED}>")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.llm import words
-from skuflow.llm.common import held_out, small_batches, text_blocks
+from skuflow.llm.common import held_out, release, small_batches, text_blocks
 
 SAMPLE, BINS, BITS, STEPS = 2000, 2048, 15, 80
 UNDETERMINED = "und"
@@ -186,5 +186,6 @@ def with_language(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         for batch in batches:
             for lo, hi, _, score, known in _predict(shared.value, batch.column(at)):
                 yield batch.slice(lo, hi - lo).filter(pa.array(known & ((score >= 0.5) | (shared.value is None))))
+        release()
 
     return docs.mapInArrow(run, docs.schema)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.llm import words
-from skuflow.llm.common import small_batches, stage, text_blocks
+from skuflow.llm.common import release, small_batches, stage, text_blocks
 
 HASHES, ROWS_PER_BAND, BATCH = 128, 4, 16
 SMALL, BLOCK = 8, 512
@@ -91,6 +91,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                     [batch.column(0)[lo:hi], pa.array(n), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)),
                      pa.array([raw[i:i + 4 * HASHES] for i in range(0, len(raw), 4 * HASHES)], pa.binary())],
                     ["doc_id", "n_shingles", "k1", "k2", "signature"])
+        release()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, signature binary")
@@ -206,6 +207,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
                     linked.append(i)
             at = pa.array(linked, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], ["a", "b"])
+        release()
 
     small_batches(docs.sparkSession, 256)
     both = (pairs.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.llm import tokens
-from skuflow.llm.common import small_batches, text_blocks
+from skuflow.llm.common import release, small_batches, text_blocks
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, sequence_tokens bigint, sequence_cost double, ids binary")
@@ -116,5 +116,6 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = SEQUENCE_TOKENS, line
                     base, held, size = base + n, [], 0
         if held:
             yield _pack(held, base, capacity, linear, quadratic)[0]
+        release()
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.llm.common import small_batches
+from skuflow.llm.common import release, small_batches
 
 #: For tests and the registered query only; a real run passes its secret key.
 KEY = b"not a secret: pass your own key"
@@ -338,5 +338,6 @@ def pseudonymise_table(docs: DataFrame, key: bytes = KEY) -> DataFrame:
             columns = list(batch.columns)
             columns[at] = pa.array([text for text, _ in _texts(columns[at], permute)], pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+        release()
 
     return docs.mapInArrow(run, docs.schema)
