@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 __all__ = [
     "EXACT", "exact", "money_sum", "dollars", "safe_div", "round_ratio",
     "round_half_even", "round_half_up", "date_key", "year_month", "pct",
-    "pearson", "money_label", "to_date_col", "scalar_row",
+    "pearson", "money_label", "money_axis_label", "to_date_col", "scalar_row",
 ]
 
 EXACT = "decimal(38,0)"
+# Fixed value: the fiscal year starts in July.
+FISCAL_START_MONTH = 7
 
 
 def exact(c: Column) -> Column:
@@ -81,24 +83,42 @@ def date_key(d: Column) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
+def fiscal_year(d: Column, start_month: int = FISCAL_START_MONTH) -> Column:
+    """The fiscal year a date lies in, named after the calendar year in which it ends."""
+    return F.year(d) if start_month == 1 else F.when(F.month(d) < start_month, F.year(d)).otherwise(F.year(d) + 1)
+
+
 def year_month(d: Column) -> Column:
     return F.date_format(d, "yyyy-MM")
 
 
 def pearson(x: Column, y: Column) -> Column:
-    """Pearson r that is NULL (not an error) when either side is constant."""
-    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+    """Pearson r of two integer columns; NULL (not an error) when either side is constant.
+
+    The moments are exact sums (x, y, xx, yy, xy as DECIMAL) and are divided once, at the end,
+    so the bits do not depend on how the rows are partitioned. Scale fractions to integers first
+    (r does not change). Pairs with a NULL are left out.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    ex, ey = F.when(both, x).cast("long").cast("decimal(19,0)"), F.when(both, y).cast("long").cast("decimal(19,0)")
+    n = F.count_if(both).cast(EXACT)
+    sx, sy = F.sum(ex).cast(EXACT), F.sum(ey).cast(EXACT)
+    sxx, syy, sxy = F.sum((ex * ex).cast(EXACT)), F.sum((ey * ey).cast(EXACT)), F.sum((ex * ey).cast(EXACT))
+    spread = F.sqrt((n * sxx - sx * sx).cast("double")) * F.sqrt((n * syy - sy * sy).cast("double"))
+    return (n * sxy - sx * sy).cast("double") / F.nullif(spread, F.lit(0.0))
 
 
 def money_label(x: Column) -> Column:
-    """Compact money label: $1.2M / $3.4K / $900."""
-    a = F.abs(x)
-    return (
-        F.when(x.isNull(), F.lit(None))
-        .when(a >= 1e6, F.format_string("$%.1fM", x / 1e6))
-        .when(a >= 1e3, F.format_string("$%.1fK", x / 1e3))
-        .otherwise(F.format_string("$%.0f", x))
-    )
+    """Money in a text: $1.2M from a million on, else whole dollars with separators ($4,321); half-even."""
+    return (F.when(F.abs(x) >= 1e6, F.format_string("$%,.1fM", round_half_even(x / F.lit(1e6), 1)))
+            .when(x.isNotNull(), F.format_string("$%,.0f", F.rint(x))))
+
+
+def money_axis_label(x: Column) -> Column:
+    """Money on an axis: $1.2M, $4K, $900; half-even."""
+    return (F.when(F.abs(x) >= 1e6, F.format_string("$%.1fM", round_half_even(x / F.lit(1e6), 1)))
+            .when(F.abs(x) >= 1e3, F.format_string("$%.0fK", F.rint(x / F.lit(1e3))))
+            .when(x.isNotNull(), F.format_string("$%.0f", F.rint(x))))
 
 
 def to_date_col(c: Column) -> Column:

@@ -27,8 +27,7 @@ def dead_stock_cents(m: Model, velocity_window_days: int = 90, slow_days: int =
     velocity = (
         facts.filter(F.col("order_date") >= F.date_sub(snapshot, velocity_window_days))
         .groupBy("warehouse_id", "product_id")
-        .agg(F.sum("quantity").alias("units_recent"),
-             F.sum("line_revenue_cents").alias("revenue_recent_cents"))
+        .agg(F.sum("quantity").alias("units_recent"))
     )
     units = F.coalesce(F.col("units_recent"), F.lit(0)).cast("long")
     daily = units.cast("double") / F.lit(float(velocity_window_days))
@@ -53,8 +52,9 @@ def dead_stock_cents(m: Model, velocity_window_days: int = 90, slow_days: int =
     return df.withColumn("stock_status", status)
 
 
-def dead_stock_detail(m: Model, velocity_window_days: int = 90) -> DataFrame:
-    d = dead_stock_cents(m, velocity_window_days)
+def dead_stock_detail(m: Model, velocity_window_days: int = 90, slow_days: int = 180, dead_ratio: float = 2,
+                      overstock_ratio: float = 4) -> DataFrame:
+    d = dead_stock_cents(m, velocity_window_days, slow_days, dead_ratio, overstock_ratio)
     return d.select(
         "warehouse_id", "warehouse_name", "product_id", "sku", "category", "quantity_on_hand",
         "safety_stock", "stock_ratio", dollars(F.col("unit_cost_cents")).alias("unit_cost"),
@@ -63,8 +63,9 @@ def dead_stock_detail(m: Model, velocity_window_days: int = 90) -> DataFrame:
     ).orderBy(F.desc("inventory_value"), "warehouse_id", "product_id")
 
 
-def dead_stock_summary(m: Model, velocity_window_days: int = 90) -> DataFrame:
-    d = dead_stock_cents(m, velocity_window_days)
+def dead_stock_summary(m: Model, velocity_window_days: int = 90, slow_days: int = 180, dead_ratio: float = 2,
+                       overstock_ratio: float = 4) -> DataFrame:
+    d = dead_stock_cents(m, velocity_window_days, slow_days, dead_ratio, overstock_ratio)
     g = d.groupBy("stock_status").agg(
         F.count(F.lit(1)).alias("positions"),
         F.sum("quantity_on_hand").alias("total_units"),
@@ -79,8 +80,9 @@ def dead_stock_summary(m: Model, velocity_window_days: int = 90) -> DataFrame:
     ).transform(lambda d: sort_bounded(d, F.desc("total_value"), "stock_status"))
 
 
-def dead_stock_by_category(m: Model, velocity_window_days: int = 90) -> DataFrame:
-    d = dead_stock_cents(m, velocity_window_days)
+def dead_stock_by_category(m: Model, velocity_window_days: int = 90, slow_days: int = 180, dead_ratio: float = 2,
+                           overstock_ratio: float = 4) -> DataFrame:
+    d = dead_stock_cents(m, velocity_window_days, slow_days, dead_ratio, overstock_ratio)
     return (
         d.filter(F.col("stock_status").isin(*PROBLEM_STATUSES))
         .groupBy("category")

@@ -59,3 +59,32 @@ def running_totals(df: DataFrame, keys: list[tuple[str, bool]], value: str, *,
     if count_col:
         out = out.withColumn(count_col, F.col("_n_all"))
     return out.drop("_range", "_n_before", "_s_before", "_s_all", "_n_all")
+
+
+def tied_ranks(df: DataFrame, value: str, tie_break: list[str], *, fewer_col: str = "fewer", ties_col: str = "ties",
+               count_col: str = "n", ranges: int | None = None) -> DataFrame:
+    """Add for every row how many rows have a lesser ``value``, how many an equal one, and how many rows there are.
+
+    Rows are cut into ranges by (value, ``tie_break``), so a value that half of all rows share is
+    spread over many ranges. Counts are made within a range; only the least and the largest value
+    of a range can go on in its neighbours, and their counts, at most two rows per range, are
+    added up apart. NULL is the least value.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = [F.col(value), *(F.col(c) for c in tie_break)]
+    cut = df.repartitionByRange(ranges, *keys) if ranges else df.repartitionByRange(*keys)
+    placed = cut.withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+    within = Window.partitionBy("_range").orderBy(F.col(value).asc_nulls_first())
+    placed = placed.withColumn("_less", F.rank().over(within) - 1).withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy("_range", value)))
+    place = F.struct(F.col(value).isNotNull().alias("known"), F.col(value).alias("v"))
+    per_range = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_lo"), F.max(place).alias("_hi"))
+    every = Window.partitionBy(F.lit(0))                                 # one row per range
+    offsets = per_range.select("_range", "_lo", "_hi", F.sum("_n").over(every).alias("_all"),
+                               F.coalesce(F.sum("_n").over(every.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    placed = placed.join(F.broadcast(offsets), "_range")
+    border = (placed.where((place == F.col("_lo")) | (place == F.col("_hi"))).groupBy("_range", F.col(value).alias("_value"))
+              .agg(F.count(F.lit(1)).alias("_c"), F.min(F.col("_before") + F.col("_less")).alias("_f"))
+              .groupBy("_value").agg(F.sum("_c").alias("_ties"), F.min("_f").alias("_fewer")))
+    out = placed.join(F.broadcast(border), F.col(value).eqNullSafe(F.col("_value")), "left")
+    return out.select(*df.columns, F.coalesce("_fewer", F.col("_before") + F.col("_less")).cast("long").alias(fewer_col),
+                      F.coalesce("_ties", "_same").cast("long").alias(ties_col), F.col("_all").cast("long").alias(count_col))

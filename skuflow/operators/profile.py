@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import sort_bounded
 
-from skuflow.operators.prefix import running_totals
+from skuflow.operators.prefix import tied_ranks
+from skuflow.operators.selection import exact_quantiles
 from skuflow.sources.model import Model
 
 # Fixed values of the threshold formula.
@@ -56,21 +57,22 @@ def stock_thresholds(m: Model, safety_factor: float = SAFETY_STOCK_FACTOR,
     )
 
 
-def demand_percentile(m: Model) -> DataFrame:
+def demand_percentile(m: Model, ranges: int | None = None) -> DataFrame:
     """Rank percentile of units sold, ties get the average rank.
 
-    pct = (rows with fewer units + (ties + 1) / 2) / n.  Computed on the
-    distinct unit values (a running count over them, see ``prefix``), then
-    joined back - no window over all products.
+    pct = (rows with fewer units + (ties + 1) / 2) / n, from ``prefix.tied_ranks``: a common
+    number of units (0 above all) is counted in many ranges and joined with nothing.
     """
-    units = _units_per_product(m)
-    per_value = units.groupBy("units_sold").agg(F.count(F.lit(1)).alias("ties"))
-    ranked = running_totals(per_value, [("units_sold", False)], "ties",
-                            cum_col="cum", total_col="n")
-    pct = ((F.lit(2) * (F.col("cum") - F.col("ties")) + F.col("ties") + 1).cast("double")
-           / (F.lit(2) * F.col("n")).cast("double"))
-    return units.join(ranked.select("units_sold", pct.alias("demand_percentile")), "units_sold") \
-                .select("product_id", "sku", "category", "units_sold", "demand_percentile")
+    ranked = tied_ranks(_units_per_product(m).select("product_id", "sku", "category", "units_sold"), "units_sold", ["product_id"], ranges=ranges)
+    pct = (F.lit(2) * F.col("fewer") + F.col("ties") + 1).cast("double") / (F.lit(2) * F.col("n")).cast("double")
+    return ranked.select("product_id", "sku", "category", "units_sold", pct.alias("demand_percentile"))
+
+
+def line_revenue_quantiles(m: Model, shares=(0.25, 0.5, 0.75, 0.9, 0.99)) -> DataFrame:
+    """Exact quantiles of the revenue of single order lines (all statuses), in cents and interpolated dollars."""
+    lines = m.order_lines.select((F.col("quantity") * F.col("price_cents")).alias("revenue_cents"))
+    q = exact_quantiles(lines, "revenue_cents", shares)
+    return q.select("share", F.col("lower").alias("lower_cents"), F.col("upper").alias("upper_cents"), (F.col("value") / 100).alias("revenue"))
 
 
 def seasonal_index(m: Model) -> DataFrame:

@@ -5,8 +5,9 @@ spread of the clipped lateness (early never offsets late).  Spread is the
 sample standard deviation computed from exact integer moments
 (n, sum x, sum x^2), so it is identical however the rows are partitioned.
 Severity and consistency are scaled against the worst supplier that passed
-the minimum-sample filter; that maximum is a scalar subquery (a distributed
-aggregate), not a window over all suppliers.
+the minimum-sample filter. The per-supplier moments are computed once per model
+(a checkpoint of one row per supplier), so the maximum and every later use read
+those rows and not the purchase orders again.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import EXACT, pearson, round_half_even
+from skuflow.session import ensure_checkpoint_dir
 from skuflow.sources.model import Model
 
 # Fixed values of the scorecard (weights, tier cut-offs, audit bands).
@@ -27,6 +29,15 @@ AUDIT_FLOOR = "Weak - methodology may need review"
 
 
 def supplier_stats(m: Model, min_delivered_pos: int = 5) -> DataFrame:
+    """Lateness of the suppliers with enough delivered purchase orders, computed once per model."""
+    key = f"supplier_stats:{min_delivered_pos}"
+    if key not in m.memo:
+        ensure_checkpoint_dir(m.spark)
+        m.memo[key] = _supplier_stats(m, min_delivered_pos).checkpoint(eager=True)
+    return m.memo[key]
+
+
+def _supplier_stats(m: Model, min_delivered_pos: int) -> DataFrame:
     po = m.purchase_orders.filter(F.col("actual_delivery_date").isNotNull())
     delay = F.datediff("actual_delivery_date", "expected_delivery_date")
     late_only = F.greatest(delay, F.lit(0)).cast("long")
@@ -36,20 +47,21 @@ def supplier_stats(m: Model, min_delivered_pos: int = 5) -> DataFrame:
         F.sum(late_only).alias("late_sum"),
         F.sum((late_only * late_only).cast(EXACT)).alias("late_sumsq"),
         F.max(late_only).alias("max_delay_days"),
-        F.sum("quantity").alias("total_units"),
     ).filter(F.col("delivered_pos") >= min_delivered_pos)
     n = F.col("delivered_pos")
     var_num = F.col("delivered_pos").cast(EXACT) * F.col("late_sumsq") \
         - F.col("late_sum").cast(EXACT) * F.col("late_sum").cast(EXACT)
     var_den = F.nullif((n * (n - 1)).cast(EXACT), F.lit(0).cast(EXACT))
     return agg.select(
-        "supplier_id", "delivered_pos", "late_pos", "max_delay_days", "total_units",
+        "supplier_id", "delivered_pos", "late_pos", "max_delay_days",
         (F.col("late_sum").cast("double") / n.cast("double")).alias("avg_late"),
         F.coalesce(F.sqrt(var_num.cast("double") / var_den.cast("double")), F.lit(0.0)).alias("delay_std"),
     )
 
 
-def supplier_scorecard(m: Model, min_delivered_pos: int = 5) -> DataFrame:
+def supplier_scorecard(m: Model, min_delivered_pos: int = 5, weights: tuple[float, float, float] = WEIGHTS,
+                       tiers: tuple[tuple[float, str], ...] = TIERS, floor: str = TIER_FLOOR) -> DataFrame:
+    """Weights are for on time, delay and consistency; a tier begins at its score, the rest is the floor."""
     st = supplier_stats(m, min_delivered_pos)
     worst = st.agg(F.max("avg_late").alias("a"), F.max("delay_std").alias("s"))
     # one scalar subquery, attached once as a column and then referenced
@@ -60,11 +72,11 @@ def supplier_scorecard(m: Model, min_delivered_pos: int = 5) -> DataFrame:
                               * F.lit(100.0), 2)
     delay_score = F.when(worst_avg > 0, F.lit(100.0) * (one - F.col("avg_late") / worst_avg)).otherwise(100.0)
     consistency = F.when(worst_std > 0, F.lit(100.0) * (one - F.col("delay_std") / worst_std)).otherwise(100.0)
-    w_on, w_delay, w_cons = WEIGHTS
+    w_on, w_delay, w_cons = weights
     composite = round_half_even(F.lit(w_on) * F.col("on_time_score") + F.lit(w_delay) * F.col("delay_raw")
                                 + F.lit(w_cons) * F.col("consistency_raw"), 2)
-    tier = F.lit(TIER_FLOOR)
-    for cut, label in reversed(TIERS):
+    tier = F.lit(floor)
+    for cut, label in sorted(tiers):
         tier = F.when(F.col("composite_score") >= cut, F.lit(label)).otherwise(tier)
     s = m.suppliers.select("supplier_id", F.col("name").alias("supplier_name"), "region",
                            "primary_category", "base_reliability_score")
@@ -89,12 +101,16 @@ def supplier_scorecard(m: Model, min_delivered_pos: int = 5) -> DataFrame:
     )
 
 
-def scorecard_audit(m: Model, min_delivered_pos: int = 5) -> DataFrame:
-    """Correlation of the composite score with the hidden generation seed (audit only)."""
-    sc = supplier_scorecard(m, min_delivered_pos)
-    r = round_half_even(pearson(F.col("composite_score"), F.col("base_reliability_score")), 3)
-    label = F.lit(AUDIT_FLOOR)
-    for cut, text in reversed(AUDIT_BANDS):
+def scorecard_audit(m: Model, min_delivered_pos: int = 5, bands: tuple[tuple[float, str], ...] = AUDIT_BANDS, floor: str = AUDIT_FLOOR,
+                    weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:
+    """Correlation of the composite score with the hidden generation seed (audit only).
+
+    Scores have two decimals and seeds are taken to nine, so both are whole numbers to the correlation.
+    """
+    sc = supplier_scorecard(m, min_delivered_pos, weights)
+    r = round_half_even(pearson(F.rint(F.col("composite_score") * 100), F.rint(F.col("base_reliability_score") * 1e9)), 3)
+    label = F.lit(floor)
+    for cut, text in sorted(bands):
         label = F.when(F.col("correlation") > cut, F.lit(text)).otherwise(label)
     return sc.agg(r.alias("correlation"), F.count(F.lit(1)).alias("suppliers_scored")) \
              .withColumn("interpretation", label)

@@ -5,6 +5,8 @@ from skuflow.oracle.analysis import SQL as A
 from skuflow.oracle.binding import with_binding
 from skuflow.oracle.questions import SQL as Q
 
+from skuflow.oracle.measures import _FAMILIES
+
 SQL: dict[str, str] = {}
 
 
@@ -132,3 +134,15 @@ UNION ALL SELECT * FROM (SELECT 'slowest_category', category FROM ({A['inventory
 UNION ALL SELECT * FROM (SELECT 'slowest_turnover', printf('%.2f', inventory_turnover) FROM ({A['inventory_turnover']})
           WHERE inventory_turnover IS NOT NULL ORDER BY inventory_turnover ASC, category DESC LIMIT 1)
 """
+
+_FACTS = f"""
+SELECT 'total_revenue' AS fact, CAST(sum(rev_c) AS DOUBLE) / 100 AS x FROM q_sales
+UNION ALL SELECT 'total_margin', CAST(sum(rev_c - cogs_c) AS DOUBLE) / 100 FROM q_sales
+UNION ALL SELECT 'inventory_value', CAST(sum(value_c) AS DOUBLE) / 100 FROM q_inv
+UNION ALL SELECT 'dead_stock_value', CAST(sum(CASE WHEN quantity_on_hand >= safety_stock * 4 THEN value_c END) AS DOUBLE) / 100 FROM q_inv
+UNION ALL SELECT 'average_order_value', CAST(sum(rev_c) AS DOUBLE) / 100 / NULLIF(CAST(count(DISTINCT order_id) AS DOUBLE), 0) FROM q_sales"""
+SQL["report_money_labels"] = with_binding(f"""
+SELECT fact, CASE WHEN abs(x) >= 1e6 THEN printf('$%,.1fM', round_even(x / 1e6, 1)) ELSE {_usd0('x')} END AS text_label,
+       CASE WHEN abs(x) >= 1e6 THEN printf('$%.1fM', round_even(x / 1e6, 1)) WHEN abs(x) >= 1e3 THEN printf('$%.0fK', round_even(x / 1e3, 0))
+            ELSE printf('$%.0f', round_even(x, 0)) END AS axis_label
+FROM ({_FACTS}) f""", _FAMILIES)

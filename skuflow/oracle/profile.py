@@ -67,3 +67,14 @@ SQL["row_counts"] = with_binding(" UNION ALL ".join(
     f"SELECT {i} AS load_order, '{t}' AS table_name, count(*) AS row_count FROM b_{t}"
     for i, t in enumerate(("warehouses", "suppliers", "products", "inventory", "purchase_orders", "orders",
                            "order_lines"))))
+
+SQL["line_revenue_quantiles"] = with_binding("""
+SELECT share, max(CASE WHEN k = floor(share * (n - 1)) THEN c END) AS lower_cents, max(CASE WHEN k = ceil(share * (n - 1)) THEN c END) AS upper_cents,
+       quantile_cont_value / 100 AS revenue
+FROM (SELECT CAST(s AS DOUBLE) AS share, n, k, c,
+             CASE CAST(s AS DOUBLE) WHEN 0.25 THEN q[1] WHEN 0.5 THEN q[2] WHEN 0.75 THEN q[3] WHEN 0.9 THEN q[4] ELSE q[5] END AS quantile_cont_value
+      FROM (SELECT CAST(quantity * price_cents AS BIGINT) AS c, row_number() OVER (ORDER BY quantity * price_cents) - 1 AS k, count(*) OVER () AS n
+            FROM b_order_lines),
+           (SELECT quantile_cont(CAST(quantity * price_cents AS DOUBLE), [0.25, 0.5, 0.75, 0.9, 0.99]) AS q FROM b_order_lines),
+           (SELECT unnest([0.25, 0.5, 0.75, 0.9, 0.99]) AS s))
+GROUP BY share, quantile_cont_value""")

@@ -22,7 +22,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import EXACT, date_key, money_sum
+from skuflow.functions.exprs import EXACT, date_key, fiscal_year, money_sum
 from skuflow.operators.abc import classify_cents
 from skuflow.operators.scorecard import supplier_scorecard
 from skuflow.sources.model import Model
@@ -169,9 +169,10 @@ PUBLIC_MEASURES = tuple(n for n in MEASURES if not n.startswith("_"))
 
 
 def _date_attrs(d: Column) -> list[Column]:
+    """Calendar attributes of a fact row; the fiscal year is that of ``dim_date``'s default."""
     return [date_key(d).alias("date_key"), F.year(d).alias("year"), F.quarter(d).alias("quarter"),
             F.month(d).alias("month"), F.date_format(d, "yyyy-MM").alias("year_month"),
-            F.when(F.month(d) < 7, F.year(d)).otherwise(F.year(d) + 1).alias("fiscal_year")]
+            fiscal_year(d).alias("fiscal_year")]
 
 
 def _product_dim(m: Model, keys: set[str]) -> DataFrame:

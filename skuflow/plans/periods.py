@@ -22,9 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import EXACT, dollars, money_sum
+from skuflow.functions.exprs import EXACT, FISCAL_START_MONTH, dollars, money_sum
 from skuflow.plans.measures import DATE_KEYS, DIM_OF_KEY, family_frame
-from skuflow.plans.star import FISCAL_START_MONTH, dim_date
+from skuflow.plans.star import dim_date
 from skuflow.plans.timeintel import change_pct, yoy_arrow
 from skuflow.sources.model import Model
 
@@ -33,11 +33,11 @@ GRAINS = {"day": ("date_key",), "month": ("year_month",), "quarter": ("year", "q
 SPANS = ("cur", "ytd", "py", "pm", "r3")
 
 
-def periods(m: Model, grain: str) -> DataFrame:
+def periods(m: Model, grain: str, fiscal_start_month: int = FISCAL_START_MONTH) -> DataFrame:
     """The calendar's periods of one grain: their names, first and last day."""
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {sorted(GRAINS)}")
-    return dim_date(m).groupBy(*GRAINS[grain]).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    return dim_date(m, fiscal_start_month).groupBy(*GRAINS[grain]).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
 
 
 def _moved(months: int) -> tuple[Column, Column]:
@@ -78,10 +78,12 @@ def span_sums(daily: DataFrame, spans: DataFrame, by: list[str], period: list[st
     return sums.select(*by, *period, *[F.when(F.col(f"{s}_n") > 0, F.col(f"{s}_c")).alias(f"{s}_c") for s in SPANS], F.col("r3_n"))
 
 
-def period_measures(m: Model, grain: str = "month", by: list[str] | tuple[str, ...] = (), year_start_month: int = 1) -> DataFrame:
+def period_measures(m: Model, grain: str = "month", by: list[str] | tuple[str, ...] = (), year_start_month: int = 1,
+                    fiscal_start_month: int = FISCAL_START_MONTH) -> DataFrame:
     """M1 and M12-M17, M36 of Delivered revenue for every period of ``grain`` and every context of ``by``.
 
-    ``year_start_month`` is where year to date begins (7: the fiscal year). Contexts are those
+    ``year_start_month`` is where year to date begins, ``fiscal_start_month`` where periods of the
+    grain fiscal_year do. Contexts are those
     with sales; every period of the calendar is returned for each, first_day naming it too.
     """
     by = list(by)
@@ -90,7 +92,7 @@ def period_measures(m: Model, grain: str = "month", by: list[str] | tuple[str, .
         raise ValueError(f"revenue by period cannot be split by {bad}")
     sold = family_frame(m, "sales", set(by))
     daily = sold.where("order_date IS NOT NULL").groupBy(*by, "order_date").agg(money_sum(F.col("rev_c")).alias("day_c"))
-    calendar = periods(m, grain)
+    calendar = periods(m, grain, fiscal_start_month)
     period = calendar.columns
     if by:                                                                # the calendar, a bounded array, goes to each context
         whole = calendar.agg(F.collect_list(F.struct(*period))).scalar()
@@ -104,7 +106,7 @@ def period_measures(m: Model, grain: str = "month", by: list[str] | tuple[str, .
     return out.withColumn("revenue_yoy_arrow", yoy_arrow("revenue_yoy_pct"))
 
 
-def fiscal_year_to_date(m: Model, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+def fiscal_year_to_date(m: Model, by: list[str] | tuple[str, ...] = (), fiscal_start_month: int = FISCAL_START_MONTH) -> DataFrame:
     """Revenue of each month and of the fiscal year up to its end."""
-    out = period_measures(m, "month", by, FISCAL_START_MONTH)
+    out = period_measures(m, "month", by, fiscal_start_month)
     return out.select(*by, "year_month", "first_day", "revenue", F.col("revenue_ytd").alias("revenue_fytd"))

@@ -2,8 +2,8 @@
 
 Facts keep the grain of their source (one row per line / position / PO) and
 carry only keys, flags and additive measures; dimension attributes are looked
-up at query time through the relationships in ``RELATIONSHIPS``.  Validation
-runs *before* anything is written (the reference writes first).
+up at query time through the relationships in ``RELATIONSHIPS``.  ``publish``
+writes the star and runs the checks on what it wrote.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import date_key, dollars, round_half_even
+from skuflow.functions.exprs import FISCAL_START_MONTH, date_key, dollars, fiscal_year, round_half_even
 from skuflow.operators.abc import classify_cents
 from skuflow.operators.detail import line_facts
 from skuflow.operators.scorecard import supplier_scorecard
@@ -22,8 +22,7 @@ from skuflow.sources.model import Model
 from skuflow.session import ensure_checkpoint_dir
 from skuflow.sources.schemas import HIDDEN_COLUMNS
 
-# Fixed values of the date dimension: fiscal year starts in July; weekend = Sat, Sun.
-FISCAL_START_MONTH = 7
+# Fixed values of the date dimension: weekend = Sat, Sun (the fiscal year starts in FISCAL_START_MONTH).
 WEEKEND_FROM_DAY = 5          # Monday = 0
 DEFAULT_ABC_CLASS = "C"
 DEFAULT_RISK_TIER = "Insufficient Data"
@@ -57,7 +56,7 @@ class Star:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
 
-def dim_date_between(spark: SparkSession, start, end) -> DataFrame:
+def dim_date_between(spark: SparkSession, start, end, fiscal_start_month: int = FISCAL_START_MONTH) -> DataFrame:
     """One row per calendar day from ``start`` to ``end`` inclusive.
 
     ``start``/``end`` are dates or date Columns (e.g. scalar subqueries).  The
@@ -81,18 +80,18 @@ def dim_date_between(spark: SparkSession, start, end) -> DataFrame:
             dow.alias("day_of_week"),
             F.date_format(d, "EEE").alias("day_name"),
             (dow >= WEEKEND_FROM_DAY).alias("is_weekend"),
-            F.when(F.month(d) < FISCAL_START_MONTH, F.year(d)).otherwise(F.year(d) + 1).alias("fiscal_year"),
+            fiscal_year(d, fiscal_start_month).alias("fiscal_year"),
             F.month(d).alias("month_sort"),
         )
     )
 
 
-def dim_date(m: Model) -> DataFrame:
+def dim_date(m: Model, fiscal_start_month: int = FISCAL_START_MONTH) -> DataFrame:
     """D1 over the model: 1 Jan of the first year to 31 Dec of the last year of
     any order or purchase-order date."""
     lo = F.make_date(F.year(m.scalar("min_any_date")), F.lit(1), F.lit(1))
     hi = F.make_date(F.year(m.scalar("max_any_date")), F.lit(12), F.lit(31))
-    return dim_date_between(m.spark, lo, hi)
+    return dim_date_between(m.spark, lo, hi, fiscal_start_month)
 
 
 def dim_product(m: Model) -> DataFrame:
@@ -189,9 +188,15 @@ def freeze_dimensions(star: Star) -> Star:
     return Star(**t)
 
 
+def key_tables(m: Model) -> dict[str, DataFrame]:
+    """The dimensions' keys as the operational tables have them, without any enrichment."""
+    return {"dim_date": dim_date(m).select("date", "date_key"), "dim_product": m.products.select("product_id"),
+            "dim_supplier": m.suppliers.select("supplier_id"), "dim_warehouse": m.warehouses.select("warehouse_id")}
+
+
 def validated_checks(m: Model) -> DataFrame:
-    """Q14-Q17 over the model's star schema."""
-    return star_checks(build_star(m))
+    """Q14-Q17 over the model's star schema; keys are compared with the base tables, so no analysis is run for them."""
+    return star_checks(build_star(m), key_tables(m))
 
 
 def _check(spark: SparkSession, name: str, passed: F.Column | bool, detail: F.Column | str,
@@ -203,7 +208,7 @@ def _check(spark: SparkSession, name: str, passed: F.Column | bool, detail: F.Co
     return base.select(F.lit(name).alias("check"), p.alias("passed"), d.alias("detail"))
 
 
-def key_resolution(star: Star) -> DataFrame:
+def key_resolution(star: Star, keys: dict[str, DataFrame] | None = None) -> DataFrame:
     """Q14: one row per relationship with the number of fact keys missing in the dimension.
 
     Each fact is scanned once: its foreign-key columns are exploded into
@@ -211,7 +216,7 @@ def key_resolution(star: Star) -> DataFrame:
     then one anti-join against the tagged dimension keys finds the orphans -
     the join sees key sets, not fact rows.
     """
-    t = star.tables()
+    t = star.tables() | (keys or {})
     spark = star.fact_sales.sparkSession
     rel_name = {rel: f"{rel[0]}.{rel[1]} resolves" for rel in RELATIONSHIPS}
     fact_keys = []
@@ -235,15 +240,17 @@ def key_resolution(star: Star) -> DataFrame:
                     F.format_string("%d unresolved keys", F.coalesce("n", F.lit(0))).alias("detail")))
 
 
-def star_checks(star: Star) -> DataFrame:
+def star_checks(star: Star, keys: dict[str, DataFrame] | None = None) -> DataFrame:
     """Q14-Q17: key resolution, date contiguity, key uniqueness, no hidden columns.
 
+    ``keys`` may give other tables of the dimensions' keys than the dimensions themselves.
     Every check is an aggregate (anti-join counts, distinct counts), so the
     union is computed on executors and only one row per check is produced.
     """
-    t = star.tables()
+    shown = star.tables()
+    t = shown | (keys or {})
     spark = star.fact_sales.sparkSession
-    checks = [key_resolution(star)]
+    checks = [key_resolution(star, keys)]
     span = t["dim_date"].agg(F.min("date").alias("lo"), F.max("date").alias("hi"),
                              F.countDistinct("date").alias("days"), F.count(F.lit(1)).alias("rows"))
     checks.append(_check(
@@ -255,7 +262,7 @@ def star_checks(star: Star) -> DataFrame:
         checks.append(_check(spark, f"{dim}.{key} is unique", F.col("rows") == F.col("keys"),
                              F.format_string("%d rows, %d keys", F.col("rows"), F.col("keys")), u))
     leaked = [c for tbl, c in (("dim_product", HIDDEN_COLUMNS["products"]),
-                               ("dim_supplier", HIDDEN_COLUMNS["suppliers"])) if c in t[tbl].columns]
+                               ("dim_supplier", HIDDEN_COLUMNS["suppliers"])) if c in shown[tbl].columns]
     checks.append(_check(spark, "hidden columns are absent", not leaked,
                          ", ".join(leaked) if leaked else "none"))
     return reduce(DataFrame.unionByName, checks)
@@ -285,24 +292,3 @@ def assert_valid(checks: DataFrame) -> None:
     if not row["all_passed"]:
         bad = [r["check"] for r in checks.filter(~F.col("passed")).select("check").collect()]
         raise RuntimeError(f"validation failed: {bad}")
-
-
-def write_star(star: Star, path: str, validate: bool = True) -> dict[str, int]:
-    """Validate, then write the seven tables; facts partitioned by month key.
-
-    Returns the row/column audit computed from the written files.
-    """
-    if validate:
-        star = freeze_dimensions(star)
-        assert_valid(star_checks(star))
-    audit = {}
-    for name, df in star.tables().items():
-        w = df
-        if name.startswith("fact_") and "date_key" in df.columns:
-            w = df.withColumn("year_month", (F.col("date_key") / 100).cast("int"))
-            w.write.mode("overwrite").partitionBy("year_month").parquet(f"{path}/{name}")
-        else:
-            w.write.mode("overwrite").parquet(f"{path}/{name}")
-        written = df.sparkSession.read.parquet(f"{path}/{name}")
-        audit[name] = written.count()
-    return audit

@@ -140,6 +140,8 @@ def queries() -> dict[str, QueryFn]:
         **{name: _on_model(periods.period_measures, grain=grain, by=by) for name, (grain, by) in PERIOD_VIEWS.items()},
         "line_measures_many_contexts": _on_model(contexts.standard_line_measures),
         "order_counts_all_subtotals": _on_model(contexts.order_counts, keys=("warehouse_name", "category")),
+        "report_money_labels": _on_model(kpis.report_money_labels),
+        "line_revenue_quantiles": _on_model(profile.line_revenue_quantiles),
         "load_rejects": _on_model(loads.load_report),
         "star_publication": _on_model(publish.publication_audit),
         "star_publication_csv": _on_model(publish.publication_audit, fmt="csv"),

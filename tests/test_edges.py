@@ -140,3 +140,39 @@ def test_date_gap_detected(spark):
     gaps = [(r["date"], r["gap_days"]) for r in star.date_gaps(d).collect()]
     assert gaps == [(D(2024, 3, 1), 2)]
     assert star.date_gaps(star.dim_date_between(spark, D(2024, 2, 27), D(2024, 3, 3))).count() == 0
+
+
+def test_thresholds_are_arguments(spark):
+    """Non-default weights, tiers, audit bands, slow days, ratios, fiscal start and quality bands."""
+    from skuflow.operators import quality
+    from skuflow.plans import periods
+
+    pos = [(100 * s + i, s, 1, D(2024, 1, 1), D(2024, 1, 10), D(2024, 1, 10) + dt.timedelta(s * (i % 2)), 5) for s in (1, 2, 3) for i in range(6)]
+    m = make_model(spark, warehouses=WAREHOUSES, suppliers=[supplier(s) for s in (1, 2, 3)], products=[product(1), product(2, ss=4)],
+                   inventory=[(1, 1, 20, D(2024, 1, 1)), (1, 2, 9, D(2024, 1, 1)), (2, 2, 4, D(2024, 1, 1))], purchase_orders=pos,
+                   orders=[(1, D(2024, 3, 5), 1, 7, "Delivered")], order_lines=[(1, 1, 2, 1, 200)])
+    only = {r["supplier_id"]: r for r in scorecard.supplier_scorecard(m, weights=(1.0, 0.0, 0.0), tiers=((50, "Good"), (90, "Best")), floor="Poor").collect()}
+    assert all(r["composite_score"] == r["on_time_score"] == 50.0 and r["risk_tier"] == "Good" for r in only.values())
+    worst = scorecard.supplier_scorecard(m, weights=(0.0, 1.0, 0.0), tiers=((60, "Fine"),), floor="Poor").collect()
+    assert [(r["supplier_id"], r["composite_score"], r["risk_tier"]) for r in worst] == [(3, 0.0, "Poor"), (2, 33.33, "Poor"), (1, 66.67, "Fine")]
+    assert scorecard.scorecard_audit(m, bands=((-2.0, "any"),), floor="none").first()["interpretation"] in ("any", "none")
+
+    status = lambda **k: {(r["warehouse_id"], r["product_id"]): r["stock_status"] for r in deadstock.dead_stock_detail(m, **k).collect()}
+    assert status() == {(1, 1): "Dead", (1, 2): "Slow-Moving", (2, 2): "Healthy"}
+    assert status(slow_days=10000) == {(1, 1): "Dead", (1, 2): "Healthy", (2, 2): "Healthy"}
+    assert status(slow_days=10000, overstock_ratio=2.2) == {(1, 1): "Dead", (1, 2): "Overstocked", (2, 2): "Healthy"}
+    assert status(dead_ratio=5) == {(1, 1): "Overstocked", (1, 2): "Slow-Moving", (2, 2): "Healthy"}
+    assert {r["stock_status"] for r in deadstock.dead_stock_summary(m, dead_ratio=1).collect()} == {"Dead", "Slow-Moving"}
+    assert deadstock.dead_stock_by_category(m, slow_days=10000).first()["problem_positions"] == 1
+
+    years = {r["date"]: r["fiscal_year"] for r in star.dim_date(m, 4).collect()}
+    assert (years[D(2024, 3, 31)], years[D(2024, 4, 1)]) == (2024, 2025)
+    assert {r["fiscal_year"] for r in star.dim_date(m, 1).collect()} == {2024}
+    spans = {(r["first_day"], r["last_day"]) for r in periods.periods(m, "fiscal_year", 4).collect()}
+    assert spans == {(D(2024, 1, 1), D(2024, 3, 31)), (D(2024, 4, 1), D(2024, 12, 31))}
+
+    assert not quality.on_time_share(m).first()["passed"] and quality.on_time_share(m, (0.4, 0.6)).first()["passed"]
+    assert quality.stockout_share(m, (0.0, 1.0)).first()["passed"] and not quality.dead_share(m, (0.9, 1.0)).first()["passed"]
+    assert not quality.top20_share(m, 1.5).first()["passed"]
+    report = {r["check"]: r["passed"] for r in quality.generation_report(m, bands={"on_time": (0.5, 0.5)}, window=("2024-01-01", "2024-12-31")).collect()}
+    assert report["on-time share of delivered purchase orders within its band"] and report["orders dated inside the expected window"]

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from skuflow.functions.exprs import money_label
+from skuflow.functions.exprs import money_axis_label, money_label
 from skuflow.operators import quality, questions
 from skuflow.plans import feeds, star
 from skuflow.sources import sinks
@@ -72,23 +72,50 @@ def test_row_counts_and_result_sink(spark, model, tmp_path):
     assert spark.read.option("header", True).csv(paths[0]).count() == 5
 
 
-def test_write_star_validates_then_writes(spark, model, tmp_path):
-    audit = star.write_star(star.build_star(model), str(tmp_path / "star"))
-    assert audit["dim_warehouse"] == 5 and audit["fact_inventory"] == 1000
-    assert audit["fact_sales"] == model.facts.filter(F.col("status") == "Delivered").count()
-
-
-def test_feed_payload_is_json(spark, model):
-    rows = sinks.feed_payload({"top": feeds.dashboard_top_products(model)}).collect()
-    assert rows[0]["feed"] == "top"
-    parsed = json.loads(rows[0]["json"])
-    assert len(parsed) == 10 and {"rank", "sku", "total_revenue"} <= set(parsed[0])
-
-
-def test_money_label(spark):
-    df = spark.createDataFrame([(1234567.0,), (4321.0,), (900.0,), (None,)], "x double")
-    got = [r[0] for r in df.select(money_label(F.col("x"))).collect()]
-    assert got == ["$1.2M", "$4.3K", "$900", None]
+FEEDS = {"below_reorder": (feeds.feed_below_reorder, ["quantity_on_hand", "product_id", "warehouse_id"]),
+         "top": (feeds.dashboard_top_products, ["rank"]), "mix": (feeds.stock_health_mix, ["display_order"])}
+
+
+@pytest.fixture
+def many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_feeds_are_ordered_over_several_files(spark, model, tmp_path, many_tasks):
+    given = {name: (make(model), order) for name, (make, order) in FEEDS.items()}
+    index = sinks.write_feeds(given, str(tmp_path)).collect()
+    for name, (df, order) in given.items():
+        files = sorted((r for r in index if r["feed"] == name), key=lambda r: r["begins"])
+        assert [r["file"] for r in files] == sorted(r["file"] for r in files)
+        lines = []
+        for r in files:
+            own = (tmp_path / name / r["file"]).read_text().splitlines()
+            assert len(own) == r["rows"] and len(lines) == r["begins"]
+            lines += own
+        wanted = [x.asDict() for x in df.orderBy(*order).collect()]
+        assert [json.loads(x) for x in lines] == [{k: v for k, v in w.items() if v is not None} for w in wanted]
+    assert sum(r["feed"] == "below_reorder" for r in index) > 1
+    plan = given["below_reorder"][0]._jdf.queryExecution().toString()
+    assert "collect_list" not in plan
+
+
+def test_payload_is_one_json_document(spark, model, tmp_path, many_tasks):
+    given = {name: (make(model), order) for name, (make, order) in FEEDS.items()} | {"none": (model.warehouses.limit(0), ["warehouse_id"])}
+    sinks.write_payload(given, str(tmp_path / "p"))
+    parts = sorted((tmp_path / "p").glob("part-*"))
+    got = json.loads("".join(p.read_text() for p in parts))
+    assert list(got) == list(given) and len(parts) > 1
+    for name, (df, order) in given.items():
+        assert got[name] == [json.loads(x) for x in df.orderBy(*order).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).toPandas().iloc[:, 0]]
+
+
+def test_money_labels(spark):
+    df = spark.createDataFrame([(1234567.0,), (4321.0,), (900.0,), (0.5,), (-2500000.0,), (-4321.0,), (1.5e9,), (None,)], "x double")
+    got = [tuple(r) for r in df.select(money_label(F.col("x")), money_axis_label(F.col("x"))).collect()]
+    assert got == [("$1.2M", "$1.2M"), ("$4,321", "$4K"), ("$900", "$900"), ("$0", "$0"), ("$-2.5M", "$-2.5M"), ("$-4,321", "$-4K"),
+                   ("$1,500.0M", "$1500.0M"), (None, None)]
 
 
 def test_sql_over_registered_views(spark, model):
