@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.functions.exprs import EXACT
+from skuflow.operators.abc import classify_cents
 from skuflow.plans.measures import BOUNDED_KEYS, DIM_OF_KEY, FAMILY_DIMS, MEASURES, family_frame
 from skuflow.sources.model import Model
 
@@ -42,7 +43,7 @@ def _sums() -> list[Column]:
     sold = F.col("status") == "Delivered"
     return [F.sum(F.when(sold, F.col("rev_c").cast(EXACT))).alias("_rev_c"), F.sum(F.when(sold, F.col("cogs_c").cast(EXACT))).alias("_cogs_c"),
             F.sum(F.when(sold, (F.col("rev_c") - F.col("cogs_c")).cast(EXACT))).alias("_margin_c"), F.sum(F.when(sold, F.col("quantity").cast("long"))).alias("total_units_sold"),
-            F.nullif(F.count_if(sold), F.lit(0).cast("long")).alias("_lines"), F.sum(F.when(sold & (F.col("abc_class") == "A"), F.col("rev_c").cast(EXACT))).alias("_a_rev_c")]
+            F.nullif(F.count_if(sold), F.lit(0).cast("long")).alias("_lines"), F.sum(F.when(sold & F.col("best"), F.col("rev_c").cast(EXACT))).alias("_a_rev_c")]
 
 
 def _counts(approximate: bool) -> list[Column]:
@@ -63,7 +64,11 @@ def line_measures(m: Model, contexts: Sequence[Sequence[str]], approximate: bool
     """
     contexts = _checked(contexts)
     keys = list(dict.fromkeys(k for c in contexts for k in c))
-    lines = family_frame(m, "sales_all", {*keys, "abc_class"}).select(*keys, "order_id", "status", "quantity", "rev_c", "cogs_c", "abc_class")
+    lines = family_frame(m, "sales_all", set(keys))
+    # only the ids of class A, a few hundredths of the products, are looked up on the lines
+    best = classify_cents(m).where("abc_class = 'A'").select(F.col("product_id").alias("_best"))
+    lines = lines.join(best, F.col("product_id") == F.col("_best"), "left").select(
+        *keys, "order_id", "status", "quantity", "rev_c", "cogs_c", F.col("_best").isNotNull().alias("best"))
     names = {sum(1 << (len(keys) - 1 - keys.index(k)) for k in keys if k not in c): ",".join(c) for c in contexts}
     label = F.lit(None).cast("string")
     for gid, name in names.items():

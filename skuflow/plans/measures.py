@@ -220,9 +220,9 @@ def family_frame(m: Model, family: str, keys: set[str]) -> DataFrame:
                 (F.col("quantity").cast("long") * F.col("unit_cost_cents")).alias("cogs_c")]
         if _need(keys, "date"):
             cols += _date_attrs(F.col("order_date"))
-        f = f.select(*cols)
-        if _need(keys, "product"):
-            f = _related(f, _product_dim(m, keys), "product_id")
+        f = f.select(*cols).withColumnRenamed("product_category", "category")
+        if _need(keys - {"category"}, "product"):                         # the category is on the line
+            f = _related(f.drop("category"), _product_dim(m, keys), "product_id")
         if _need(keys, "warehouse"):
             f = _related(f, _warehouse_dim(m), "warehouse_id")
         return f

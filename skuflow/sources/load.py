@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skuflow.session import ensure_checkpoint_dir
 from skuflow.sources.model import Model, record_stats
@@ -22,8 +23,8 @@ from skuflow.sources.tpch import PHASES, model_from_stages, read_sources, source
 
 # Stages that are fact-sized: cluster rows by date inside each file so Parquet
 # row-group statistics can skip date ranges.
-_DATE_SORT = {"orders": "order_date", "lines": "ship_date", "line_facts": "order_date",
-              "purchase_orders": "order_date"}
+_DATE_SORT = {"orders": ["order_date"], "lines": ["known_order", "order_date"]}
+_PARTITION = {"lines": "known_order"}
 
 
 def model_path(spark: SparkSession, sf_dir: str) -> str:
@@ -38,9 +39,12 @@ def load_model(spark: SparkSession, sf_dir: str, path: str | None = None) -> Mod
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         if name in _DATE_SORT:
-            df = df.sortWithinPartitions(_DATE_SORT[name])
-        df.write.mode("overwrite").parquet(f"{out}/{name}")
-        return spark.read.parquet(f"{out}/{name}")
+            df = df.sortWithinPartitions(*_DATE_SORT[name])
+        write = df.write.mode("overwrite")
+        if name in _PARTITION:
+            write = write.partitionBy(_PARTITION[name])
+        write.parquet(f"{out}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{out}/{name}")
 
     src = read_sources(spark, sf_dir)
     staged: dict[str, DataFrame] = {}
@@ -52,7 +56,8 @@ def load_model(spark: SparkSession, sf_dir: str, path: str | None = None) -> Mod
             futures = {name: pool.submit(stage, name, df) for name, df in plans.items()}
             for name, fut in futures.items():
                 staged[name] = fut.result()
-    model = model_from_stages(staged)
+    max_ship = staged["lines"].agg(F.max("ship_date")).first()[0]
+    model = model_from_stages(staged, max_ship)
     return replace(model, stats=record_stats(model))
 
 

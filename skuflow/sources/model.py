@@ -11,16 +11,16 @@ from skuflow.sources.schemas import DOLLAR_COLUMNS, LOAD_ORDER, MODEL_SCHEMAS, d
 
 
 LINE_FACT_COLUMNS = ("order_line_id", "order_id", "product_id", "quantity", "price_cents", "order_date",
-                     "warehouse_id", "customer_id", "status", "unit_cost_cents")
+                     "warehouse_id", "customer_id", "status", "unit_cost_cents", "product_category")
 
 
-def join_line_facts(order_lines: DataFrame, orders: DataFrame, product_cost: DataFrame) -> DataFrame:
-    """Lines with their order header and the product's unit cost (the sales fact grain).
+def join_line_facts(order_lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines with their order header and the product's unit cost and category (the sales fact grain).
 
-    ``product_cost`` is (product_id, unit_cost_cents); it is a left join so a
+    ``products`` is (product_id, unit_cost_cents, product_category); it is a left join so a
     line never disappears because of its product.
     """
-    return (order_lines.join(orders, "order_id").join(product_cost, "product_id", "left")
+    return (order_lines.join(orders, "order_id").join(products, "product_id", "left")
             .select(*LINE_FACT_COLUMNS))
 
 
@@ -90,11 +90,11 @@ class Model:
 
     @property
     def facts(self) -> DataFrame:
-        """order_lines joined to orders (inner) with unit cost: the sales fact at line grain."""
+        """order_lines joined to orders (inner) with unit cost and category: the sales fact at line grain."""
         if self.line_facts is not None:
             return self.line_facts
         return join_line_facts(self.order_lines, self.orders,
-                               self.products.select("product_id", "unit_cost_cents"))
+                               self.products.select("product_id", "unit_cost_cents", F.col("category").alias("product_category")))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in LOAD_ORDER}
@@ -105,7 +105,7 @@ class Model:
     def replace(self, **frames: DataFrame) -> "Model":
         t = self.tables()
         t.update(frames)
-        if "order_lines" not in frames and "orders" not in frames and "line_facts" not in frames:
+        if not {"order_lines", "orders", "products", "line_facts"} & set(frames):
             t["line_facts"] = self.line_facts
         return Model(**t)   # recorded stats may no longer hold for replaced tables
 

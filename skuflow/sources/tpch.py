@@ -10,14 +10,13 @@ nation) are left to Spark's size-checked auto-broadcast.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-from skuflow.sources.model import Model, join_line_facts
+from skuflow.sources.model import LINE_FACT_COLUMNS, Model
 
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -45,13 +44,6 @@ def _reliability_m(supplier_id):
 
 _BOUND: dict[tuple[str, str, bool], Model] = {}
 
-Stage = Callable[[str, DataFrame], DataFrame]
-
-
-def _lazy(name: str, df: DataFrame) -> DataFrame:
-    return df
-
-
 def source_version(spark: SparkSession, sf_dir: str) -> str:
     """Size, file count and times of the source tables, so that rewritten files are noticed."""
     path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
@@ -111,7 +103,7 @@ def _orders(src: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-#: Room for line numbers in a line id; an order of 2^20 lines or more would run into the next one's ids.
+#: Room for line numbers in a line id; an order of 2^20 lines or more stops the load.
 LINES_PER_ORDER = 1 << 20
 
 
@@ -120,8 +112,10 @@ def _lines(src: dict[str, DataFrame]) -> DataFrame:
     single orders (a handful of rows), so it never concentrates data."""
     w_line = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    number = F.row_number().over(w_line)
     return src["lineitem"].select(
-        (F.col("l_orderkey") * LINES_PER_ORDER + F.row_number().over(w_line)).cast("long").alias("line_id"),
+        (F.col("l_orderkey") * LINES_PER_ORDER
+         + F.when(number < LINES_PER_ORDER, number).otherwise(F.raise_error(F.lit("an order has too many lines for its ids")))).cast("long").alias("line_id"),
         F.col("l_orderkey").cast("long").alias("order_id"),
         F.col("l_partkey").cast("long").alias("product_id"),
         F.col("l_suppkey").cast("long").alias("supplier_id"),
@@ -137,10 +131,26 @@ def _unit_cost_cents():
     return F.round(F.col("p_retailprice") * COST_PER_LIST_DOLLAR_CENTS).cast("long")
 
 
-def _part_cost(src: dict[str, DataFrame]) -> DataFrame:
-    """(product_id, unit_cost_cents) straight from the part table (same expression as products)."""
+def _part_facts(src: dict[str, DataFrame]) -> DataFrame:
+    """A line's product attributes straight from the part table (same expressions as products)."""
     return src["part"].select(F.col("p_partkey").cast("long").alias("product_id"),
-                              _unit_cost_cents().alias("unit_cost_cents"))
+                              _unit_cost_cents().alias("unit_cost_cents"), F.col("p_type").alias("product_category"))
+
+
+def _wide_lines(src: dict[str, DataFrame], orders: DataFrame) -> DataFrame:
+    """Each line once with all that any of its tables needs: the order header and the product's cost and category.
+
+    The numbering has dealt the lines by order already, so the join with the orders moves only
+    those. Lines without an order keep empty headers (known_order is false).
+    """
+    header = orders.withColumn("known_order", F.lit(True))
+    return (_lines(src).join(header, "order_id", "left").join(_part_facts(src), "product_id", "left")
+            .withColumn("known_order", F.coalesce("known_order", F.lit(False))))
+
+
+def _line_facts(lines: DataFrame) -> DataFrame:
+    """The sales fact as a part of the loaded lines (known_order is their partition column)."""
+    return lines.where("known_order").withColumnRenamed("line_id", "order_line_id").select(*LINE_FACT_COLUMNS)
 
 
 def _order_lines(lines: DataFrame) -> DataFrame:
@@ -148,8 +158,7 @@ def _order_lines(lines: DataFrame) -> DataFrame:
         F.col("line_id").alias("order_line_id"), "order_id", "product_id", "quantity", "price_cents")
 
 
-def _purchase_orders(lines: DataFrame) -> DataFrame:
-    max_ship = lines.agg(F.max("ship_date")).scalar()
+def _purchase_orders(lines: DataFrame, max_ship) -> DataFrame:
     expected = F.date_add("ship_date", _lead_time(F.col("supplier_id")))
     actual = F.date_add(expected, (F.col("tax_pct") * _reliability_m(F.col("supplier_id")) - 12).cast("int"))
     return lines.select(
@@ -259,34 +268,32 @@ def _inventory(products: DataFrame, warehouses: DataFrame, orders: DataFrame) ->
 
 
 # Stage plan: each phase only needs earlier phases, stages inside a phase are
-# independent (the loader runs them concurrently).
+# independent (the loader runs them concurrently). The lines are written once;
+# order lines, purchase orders and the sales fact are projections of them.
 PHASES = (
     (("warehouses", lambda src, t: _warehouses(src)),
      ("orders", lambda src, t: _orders(src)),
-     ("lines", lambda src, t: _lines(src)),
      ("pair_units", lambda src, t: _pair_units(src))),
-    (("line_facts", lambda src, t: join_line_facts(_order_lines(t["lines"]), t["orders"], _part_cost(src))),
-     ("purchase_orders", lambda src, t: _purchase_orders(t["lines"])),
+    (("lines", lambda src, t: _wide_lines(src, t["orders"])),
      ("suppliers", lambda src, t: _suppliers(src, t["pair_units"])),
      ("products", lambda src, t: _products(src, t["pair_units"], t["orders"], t["warehouses"]))),
     (("inventory", lambda src, t: _inventory(t["products"], t["warehouses"], t["orders"])),),
 )
 
 
-def model_from_stages(t: dict[str, DataFrame]) -> Model:
+def model_from_stages(t: dict[str, DataFrame], max_ship=None) -> Model:
+    """``max_ship`` is the last shipping date where the loader knows it, else it is a scalar subquery."""
+    last = t["lines"].agg(F.max("ship_date")).scalar() if max_ship is None else F.lit(max_ship)
     return Model(warehouses=t["warehouses"], suppliers=t["suppliers"], products=t["products"],
-                 inventory=t["inventory"],
-                 purchase_orders=t["purchase_orders"] if "purchase_orders" in t else _purchase_orders(t["lines"]),
-                 orders=t["orders"], order_lines=_order_lines(t["lines"]), line_facts=t.get("line_facts"))
+                 inventory=t["inventory"], purchase_orders=_purchase_orders(t["lines"], last),
+                 orders=t["orders"], order_lines=_order_lines(t["lines"]),
+                 line_facts=_line_facts(t["lines"]) if "known_order" in t["lines"].columns else None)
 
 
-def bind_frames(src: dict[str, DataFrame], stage: Stage = _lazy) -> Model:
-    """Derive the seven tables.  ``stage(name, df)`` is called at each reuse
-    point (identity by default; the loader writes and re-reads there)."""
+def bind_frames(src: dict[str, DataFrame]) -> Model:
+    """Derive the seven tables as one lazy plan; lines and orders meet only where a query needs both."""
     t: dict[str, DataFrame] = {}
     for phase in PHASES:
         for name, build in phase:
-            if name in ("line_facts", "purchase_orders") and stage is _lazy:
-                continue  # lazily these are plain projections / joins of other stages
-            t[name] = stage(name, build(src, t))
+            t[name] = _lines(src) if name == "lines" else build(src, t)
     return model_from_stages(t)
