@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
@@ -34,16 +35,20 @@ def model_path(spark: SparkSession, sf_dir: str) -> str:
     return f"{base}/skuflow-model/{slug}"
 
 
-def load_model(spark: SparkSession, sf_dir: str, path: str | None = None) -> Model:
+def load_model(spark: SparkSession, sf_dir: str, path: str | None = None, seconds: dict[str, float] | None = None) -> Model:
+    """The model from its sources, written to ``path``; ``seconds`` receives the time of each stage."""
     out = path or model_path(spark, sf_dir)
 
     def stage(name: str, df: DataFrame) -> DataFrame:
+        begun = time.perf_counter()
         if name in _DATE_SORT:
             df = df.sortWithinPartitions(*_DATE_SORT[name])
         write = df.write.mode("overwrite")
         if name in _PARTITION:
             write = write.partitionBy(_PARTITION[name])
         write.parquet(f"{out}/{name}")
+        if seconds is not None:
+            seconds[name] = round(time.perf_counter() - begun, 2)
         return spark.read.schema(df.schema).parquet(f"{out}/{name}")
 
     src = read_sources(spark, sf_dir)
