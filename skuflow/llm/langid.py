@@ -29,6 +29,8 @@ from skuflow.llm import words
 from skuflow.llm.common import held_out, release, small_batches, text_blocks
 
 SAMPLE, BINS, BITS, STEPS = 2000, 2048, 15, 80
+#: Least number of bits in which two codewords differ: two wrong bits are corrected.
+APART = 5
 UNDETERMINED = "und"
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -57,20 +59,30 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def codewords(classes: int, bits: int = BITS, tries: int = 400) -> np.ndarray:
-    """A (classes, bits) matrix of signs: of random ones, that with the largest least distance."""
-    rng, best, far = np.random.default_rng(5), None, -1
-    for _ in range(tries):
-        code = np.where(rng.random((classes, bits)) < 0.5, -1.0, 1.0)
-        if classes > 1:
-            code = np.where(np.abs(code.sum(0)) == classes, np.where(np.arange(classes)[:, None] % 2, -code, code), code)
-            apart = bits - code @ code.T
-            least = apart[~np.eye(classes, dtype=bool)].min()
-        else:
-            least = 0
-        if least > far:
-            best, far = code, least
-    return best.astype(np.float32)
+def codewords(classes: int, bits: int = BITS, apart: int = APART, tries: int = 400) -> np.ndarray:
+    """A (classes, bits or more) matrix of signs whose rows differ in ``apart`` places or more.
+
+    Of random matrices that with the largest least distance is taken; bits grow with the
+    logarithm of the classes, and further if no matrix is good enough.
+    """
+    rng, bits = np.random.default_rng(5), max(bits, 4 * (classes - 1).bit_length())
+    while True:
+        best, far = None, -1
+        for _ in range(tries):
+            code = np.where(rng.random((classes, bits)) < 0.5, -1.0, 1.0)
+            if classes > 1:
+                code = np.where(np.abs(code.sum(0)) == classes, np.where(np.arange(classes)[:, None] % 2, -code, code), code)
+                differ = (bits - code @ code.T) / 2
+                least = differ[~np.eye(classes, dtype=bool)].min()
+            else:
+                least = bits
+            if least > far:
+                best, far = code, least
+            if far >= apart and classes > 16:                             # many pairs: good enough
+                break
+        if far >= apart:
+            return best.astype(np.float32)
+        bits += 1
 
 
 def fit(x: np.ndarray, label: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +103,7 @@ def fit(x: np.ndarray, label: np.ndarray, classes: int) -> tuple[np.ndarray, np.
 def decode(x: np.ndarray, code: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Class and score of each row by the least summed logistic loss."""
     margin = np.clip(x @ (w[:-1] * 8) + w[-1], -30, 30)
-    loss = np.log1p(np.exp(-margin[:, None, :] * code[None, :, :])).sum(2)
+    loss = np.log1p(np.exp(-margin)) @ (code > 0).T + np.log1p(np.exp(margin)) @ (code < 0).T
     share = np.exp(loss.min(1, keepdims=True) - loss)
     share /= share.sum(1, keepdims=True)
     best = share.argmax(1)

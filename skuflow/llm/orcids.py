@@ -49,7 +49,9 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = tokens.END_
                 position += len(ids)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id, a null above all, are dealt by their text too; within an id they go by its hash
+    order = ("doc_id", F.xxhash64("text"), "text")
+    (rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
      .mapInArrow(run, FILE_SCHEMA)
      .write.option("compression", "zstd").option("orc.stripe.size", stripe_bytes)
      .option("orc.row.index.stride", index_stride).option("orc.create.index", "true")

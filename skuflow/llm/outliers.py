@@ -5,11 +5,14 @@ language and source by their transformed statistics: log words, log mean word le
 log share of signs, twice the share of repeated words. Centre and covariance of each group
 are minimum-covariance-determinant estimates: from a start of medians and quartile
 ranges, concentration steps take the mean and covariance of the ``SUBSET`` of rows with
-the least Mahalanobis distance, STEPS times. A document is rejected if its squared
-distance exceeds ``CUTOFF``. Groups under ``LEAST`` rows use the estimate of their language,
-languages under ``LEAST`` rows that of the whole table.
+the least Mahalanobis distance, until nothing changes (at most STEPS times). Every group's
+estimate is drawn towards its language's, and that towards the whole table's, as if the
+parent gave it PRIOR more rows: n of n + PRIOR parts are its own, at every size. A document is
+rejected if its squared distance exceeds ``CUTOFF``.
 
-Per step, rows are only aggregated to one row per group; each text is read once.
+Statistics are taken to six decimals and summed as whole numbers, and quantiles are counted in
+bins of a fixed width, so estimates do not depend on how the rows are partitioned. Per step,
+rows are only aggregated to one row per group (or bin of a group); each text is read once.
 
 Defined cases: a null or empty text has no words and fails the base rule; null lang and
 source are groups like others; equal rows tie and are judged alike; a constant statistic
@@ -19,12 +22,15 @@ are harmless.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.llm.common import stage
 
-LEAST, SUBSET, STEPS, FLOOR = 200, 0.75, 4, 0.02
+PRIOR, SUBSET, STEPS, FLOOR = 200, 0.75, 12, 0.02
+#: Widths of the bins in which quantiles of statistics, and of the logarithm of 1 + distance, are counted.
+BIN, FAR_BIN = 1e-4, 1e-4
+_WHOLE = "decimal(38,0)"
 #: Squared distance that one in a million clean (normal, 4 dimensions) documents exceeds.
 CUTOFF = 33.4
 #: Variance of the inner 75 % of a 4-dimensional normal is short by this factor.
@@ -84,33 +90,71 @@ def _with_factor(groups: DataFrame) -> DataFrame:
     return groups
 
 
-def _level(rows: DataFrame) -> DataFrame:
-    """The group of each row: its language and source, its language, or all (``g``)."""
-    small = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    langs = small.groupBy("lang").agg(F.sum("n").alias("of_lang"))
-    key = small.alias("s").join(langs.alias("l"), F.col("s.lang").eqNullSafe(F.col("l.lang"))).select(
-        F.col("s.lang").alias("glang"), F.col("source").alias("gsource"),
-        F.when(F.col("n") >= LEAST, F.to_json(F.array("s.lang", "source")))
-        .when(F.col("of_lang") >= LEAST, F.to_json(F.array("s.lang"))).otherwise(F.lit("all")).alias("g"))
-    return rows.join(key, rows["lang"].eqNullSafe(key["glang"]) & rows["source"].eqNullSafe(key["gsource"])).drop("glang", "gsource")
+def _groups(rows: DataFrame) -> DataFrame:
+    """Each row three times: for all, for its language, for its language and source (``g``)."""
+    return rows.withColumn("g", F.explode(F.array(F.lit("all"), F.to_json(F.array("lang")), F.to_json(F.array("lang", "source")))))
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """Per group g: centre m1.. and factor l11.. of the minimum covariance determinant."""
-    start = rows.groupBy("g").agg(*(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(x) for x in _X))
-    start = start.select("g", *(F.col(x)[1].alias(f"m{i}") for i, x in enumerate(_X, 1)),
-                         *((F.pow((F.col(x)[2] - F.col(x)[0]) / 1.349, 2) if i == j else F.lit(0.0)).alias(f"c{i}{j}")
-                           for i, x in enumerate(_X, 1) for j in range(1, i + 1)))
-    groups = stage(_with_factor(start), "centres")
+def _counted(bins: DataFrame, shares: list[float]) -> DataFrame:
+    """Per group and name: the least bin that has each share of the rows up to it (b0, b1, ..)."""
+    counts = bins.groupBy("g", "name", "bin").agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("g", "name")
+    upto = F.sum("n").over(whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.select("g", "name", "bin", upto.alias("upto"), F.sum("n").over(whole).alias("all"))
+    return placed.groupBy("g", "name").agg(*(
+        F.min(F.when(F.col("upto") >= F.ceil(F.lit(q) * F.col("all")), F.col("bin"))).alias(f"b{i}") for i, q in enumerate(shares)))
+
+
+def _moments(rows: DataFrame) -> DataFrame:
+    """Per group: n, centre m1.. and covariances c11.. from exact sums of the statistics in millionths."""
+    q = [F.rint(F.col(x) * 1e6).cast("long") for x in _X]
+    sums = rows.groupBy("g").agg(
+        F.count("*").alias("n"), *(F.sum(v.cast(_WHOLE)).alias(f"s{i}") for i, v in enumerate(q, 1)),
+        *(F.sum((q[i - 1] * q[j - 1]).cast(_WHOLE)).alias(f"s{i}{j}") for i in range(1, 5) for j in range(1, i + 1)))
+    n = F.col("n").cast(_WHOLE)
+    return sums.select("g", *(((F.col(f"s{i}").cast("double") / F.col("n")) / 1e6).alias(f"m{i}") for i in range(1, 5)), *(
+        ((n * F.col(f"s{i}{j}") - F.col(f"s{i}") * F.col(f"s{j}")).cast("double") / (F.col("n").cast("double") * F.col("n")) / 1e12 * CONSISTENCY)
+        .alias(f"c{i}{j}") for i in range(1, 5) for j in range(1, i + 1)))
+
+
+_M = [f"m{i}" for i in range(1, 5)]
+_C = [f"c{i}{j}" for i in range(1, 5) for j in range(1, i + 1)]
+
+
+def determinants(rows: DataFrame) -> DataFrame:
+    """Per group g: n (its rows), centre m1.. and covariances c11.. of the minimum covariance determinant."""
+    bins = rows.select("g", F.explode(F.array(*(F.struct(F.lit(x).alias("name"), F.floor(F.col(x) / BIN).alias("bin")) for x in _X))).alias("b")).select("g", "b.*")
+    start = _counted(bins, [0.25, 0.5, 0.75]).groupBy("g").agg(
+        *(F.max(F.when(F.col("name") == x, (F.col("b1") + 0.5) * BIN)).alias(f"m{i}") for i, x in enumerate(_X, 1)),
+        *(F.max(F.when(F.col("name") == x, F.pow((F.col("b2") - F.col("b0")) * BIN / 1.349, 2))).alias(f"c{i}{i}") for i, x in enumerate(_X, 1)))
+    groups = stage(start.select("g", *_M, *(F.col(c) if c[1] == c[2] else F.lit(0.0).alias(c) for c in _C)), "centres")
+    mark = None
     for _ in range(STEPS):
-        placed = rows.join(groups, "g").withColumn("d", _distance([F.col(x) for x in _X]))
-        inner = placed.groupBy("g").agg(F.percentile_approx("d", SUBSET, 10000).alias("far"))
-        inner = placed.select("g", *_X, "d").join(stage(inner, "radii"), "g").where("d <= far")
-        groups = inner.groupBy("g").agg(
-            *(F.avg(x).alias(f"m{i}") for i, x in enumerate(_X, 1)),
-            *((F.covar_pop(_X[i - 1], _X[j - 1]) * CONSISTENCY).alias(f"c{i}{j}") for i in range(1, 5) for j in range(1, i + 1)))
-        groups = stage(_with_factor(groups), "centres")
-    return groups
+        placed = rows.join(_with_factor(groups), "g").select("g", *_X, F.floor(F.log1p(_distance([F.col(x) for x in _X])) / FAR_BIN).alias("bin"))
+        radii = _counted(placed.select("g", F.lit("d").alias("name"), "bin"), [SUBSET]).select("g", F.col("b0").alias("far"))
+        groups = stage(_moments(placed.join(stage(radii, "radii"), "g").where("bin <= far")), "centres")
+        now = groups.agg(F.bit_xor(F.xxhash64("g", *_M, *_C))).first()
+        if now == mark:
+            break
+        mark = now
+    return groups.join(rows.groupBy("g").agg(F.count("*").alias("n")), "g")
+
+
+def estimates(rows: DataFrame) -> DataFrame:
+    """Per language and source (lang, source, with the rows of ``rows``): centre m1.. and factor l11.., drawn towards their parents."""
+    found = stage(determinants(_groups(rows)), "determinants")
+
+    def drawn(own: DataFrame, parent: DataFrame) -> DataFrame:
+        weight = F.col("n") / (F.col("n") + PRIOR)
+        both = own.join(parent.select(F.col("g").alias("pg"), *(F.col(c).alias(f"p{c}") for c in (*_M, *_C))), F.col("parent") == F.col("pg"))
+        return both.select("g", "n", *(c for c in ("lang", "source") if c in own.columns),
+                           *((weight * F.col(c) + (1 - weight) * F.col(f"p{c}")).alias(c) for c in (*_M, *_C)))
+
+    names = rows.select("lang", "source").distinct().select("lang", "source", F.to_json(F.array("lang")).alias("glang"), F.to_json(F.array("lang", "source")).alias("gboth"))
+    langs = names.select(F.col("glang").alias("g")).distinct().join(found, "g").withColumn("parent", F.lit("all"))
+    langs = drawn(langs, found.where("g = 'all'"))
+    both = names.withColumnRenamed("gboth", "g").join(found, "g").withColumnRenamed("glang", "parent")
+    return _with_factor(drawn(both, langs)).drop("g", "n")
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
@@ -120,8 +164,10 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     found = stage(found.select(
         "*", F.log1p("n_words").alias("x1"), F.log(chars / n).alias("x2"), F.log1p(100 * F.col("n_symbols") / chars).alias("x3"),
         (2 * F.col("n_repeat_words") / n).alias("x4")), "statistics")
-    passed = stage(_level(found.where("not base_failed")), "passed")
-    judged = passed.join(estimates(passed), "g").withColumn("distance", _distance([F.col(x) for x in _X]))
+    passed = found.where("not base_failed")
+    centres = stage(estimates(passed), "estimates").withColumnsRenamed({"lang": "glang", "source": "gsource"})
+    judged = passed.join(centres, passed["lang"].eqNullSafe(centres["glang"]) & passed["source"].eqNullSafe(centres["gsource"]))
+    judged = judged.withColumn("distance", _distance([F.col(x) for x in _X]))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     failed = found.where("base_failed").select(*columns, F.lit(None).cast("double").alias("distance"))
     return judged.select(*columns, "distance").union(failed).withColumn(
