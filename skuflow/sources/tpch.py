@@ -9,7 +9,9 @@ nation) are left to Spark's size-checked auto-broadcast.
 
 from __future__ import annotations
 
+import hashlib
 import os
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,26 +46,44 @@ def _reliability_m(supplier_id):
 
 _BOUND: dict[tuple[str, str, bool], Model] = {}
 
-def source_version(spark: SparkSession, sf_dir: str) -> str:
-    """Size, file count and times of the source tables, so that rewritten files are noticed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    total = fs.getContentSummary(path)
-    times = sorted((s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(path))
-    return f"{total.getLength()}/{total.getFileCount()}/{times}"
+#: Seconds for which a session takes the sources as unchanged without looking again.
+SOURCE_CHECK_SECONDS = 60
+_VERSIONS: dict[tuple[str, str], tuple[float, str]] = {}
 
 
-def bind(spark: SparkSession, sf_dir: str, cache: bool = True, materialize: bool | None = None) -> Model:
+def source_version(spark: SparkSession, sf_dir: str, refresh: bool = False) -> str:
+    """Names, sizes and times of the source tables' files, so that rewritten ones are noticed.
+
+    The files of the seven tables are listed, nothing else below ``sf_dir``, and at most once in
+    SOURCE_CHECK_SECONDS of a session, unless ``refresh`` is set.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    seen = _VERSIONS.get(key)
+    if seen and not refresh and time.monotonic() - seen[0] < SOURCE_CHECK_SECONDS:
+        return seen[1]
+    fs_path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    mark = hashlib.sha256()
+    for table in SOURCE_TABLES:
+        path = fs_path(f"{sf_dir}/{table}.parquet")
+        files = path.getFileSystem(conf).listStatus(path)                 # of a file: itself
+        for line in sorted(f"{table}/{f.getPath().getName()}/{f.getLen()}/{f.getModificationTime()}" for f in files):
+            mark.update(line.encode() + b"\n")
+    _VERSIONS[key] = (time.monotonic(), mark.hexdigest())
+    return _VERSIONS[key][1]
+
+
+def bind(spark: SparkSession, sf_dir: str, cache: bool = True, materialize: bool | None = None, refresh: bool = False) -> Model:
     """The model over ``sf_dir``, shared by every query of the same application.
 
     With ``materialize`` (default: on unless SKUFLOW_LAZY_MODEL=1) the model is
     loaded once - every binding stage written as Parquet under the cluster's
     checkpoint directory and read back - like the reference's load-then-query
     pipeline.  Otherwise it stays a purely lazy plan over the sources.
+    ``refresh`` looks at the sources again, whenever they were last looked at.
     """
     if materialize is None:
         materialize = os.environ.get("SKUFLOW_LAZY_MODEL", "0") != "1"
-    key = (spark.sparkContext.applicationId, sf_dir, source_version(spark, sf_dir), materialize)
+    key = (spark.sparkContext.applicationId, sf_dir, source_version(spark, sf_dir, refresh), materialize)
     if cache and key in _BOUND:
         return _BOUND[key]
     if materialize:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skuflow.operators import abc, deadstock, questions, scorecard
+from tests.conftest import SF001
 
 
 @pytest.fixture(params=["model", "lazy_model"])
@@ -79,3 +80,31 @@ def test_warehouse_performance_shape(m):
     assert r.columns == ["warehouse_id", "warehouse_name", "region", "total_orders", "total_revenue",
                          "avg_order_value", "return_rate_pct", "cancellation_rate_pct"]
     assert r.count() == 5
+
+
+def test_rewritten_sources_are_noticed(spark, tmp_path):
+    import shutil
+
+    from skuflow.sources import tpch
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    for t in tpch.SOURCE_TABLES:
+        shutil.copy(f"{SF001}/{t}.parquet", folder / f"{t}.parquet")
+    first = tpch.bind(spark, str(folder), materialize=False)
+    assert tpch.bind(spark, str(folder), materialize=False) is first
+    spark.read.parquet(f"{SF001}/region.parquet").where("r_regionkey < 3").write.parquet(str(tmp_path / "region"))
+    (folder / "region.parquet").unlink()
+    shutil.copytree(tmp_path / "region", folder / "region.parquet")
+    again = tpch.bind(spark, str(folder), materialize=False, refresh=True)
+    assert again is not first and again.warehouses.count() == 3
+    calls = tpch._VERSIONS[(spark.sparkContext.applicationId, str(folder))]
+    tpch.bind(spark, str(folder), materialize=False)
+    assert tpch._VERSIONS[(spark.sparkContext.applicationId, str(folder))] == calls
+
+
+def test_an_order_with_too_many_lines_stops(spark, monkeypatch):
+    from skuflow.sources import tpch
+    monkeypatch.setattr(tpch, "LINES_PER_ORDER", 4)
+    lines = tpch._lines(tpch.read_sources(spark, SF001))
+    with pytest.raises(Exception, match="too many lines"):
+        lines.agg(F.max("line_id")).collect()
