@@ -142,7 +142,7 @@ def determinants(rows: DataFrame) -> DataFrame:
 
 def estimates(rows: DataFrame) -> DataFrame:
     """Per language and source (lang, source, with the rows of ``rows``): centre m1.. and factor l11.., drawn towards their parents."""
-    found = stage(determinants(_groups(rows)), "determinants")
+    found = stage(determinants(stage(_groups(rows).select("g", *_X), "groups")), "determinants")
 
     def drawn(own: DataFrame, parent: DataFrame) -> DataFrame:
         weight = F.col("n") / (F.col("n") + PRIOR)
