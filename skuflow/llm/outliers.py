@@ -132,7 +132,7 @@ def determinants(rows: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         placed = rows.join(_with_factor(groups), "g").select("g", *_X, F.floor(F.log1p(_distance([F.col(x) for x in _X])) / FAR_BIN).alias("bin"))
         radii = _counted(placed.select("g", F.lit("d").alias("name"), "bin"), [SUBSET]).select("g", F.col("b0").alias("far"))
-        groups = stage(_moments(placed.join(stage(radii, "radii"), "g").where("bin <= far")), "centres")
+        groups = stage(_moments(placed.join(radii, "g").where("bin <= far")), "centres")
         now = groups.agg(F.bit_xor(F.xxhash64("g", *_M, *_C))).first()
         if now == mark:
             break
