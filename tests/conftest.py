@@ -27,3 +27,17 @@ def model(spark):
 def lazy_model(spark):
     from skuflow.sources.tpch import bind
     return bind(spark, SF001, materialize=False)
+
+
+@pytest.fixture(scope="session")
+def built(spark):
+    """A registered query's result at sf0.001, built once for all tests that look at it."""
+    from skuflow import registry
+    made = {}
+
+    def get(key):
+        if key not in made:
+            made[key] = registry.queries()[key](spark, SF001)
+        return made[key]
+
+    return get

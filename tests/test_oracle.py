@@ -49,8 +49,8 @@ SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "stri
 
 
 @pytest.mark.parametrize("key", KEYS)
-def test_same_column_types(spark, con, key):
-    sdf = registry.queries()[key](spark, SF001)
+def test_same_column_types(built, con, key):
+    sdf = built(key)
     mine = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
             for f in sdf.schema.fields}
     theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {registry.oracle_sql()[key]}").fetchall()}
@@ -58,8 +58,8 @@ def test_same_column_types(spark, con, key):
 
 
 @pytest.mark.parametrize("key", KEYS)
-def test_matches_oracle(spark, con, key):
-    sdf = registry.queries()[key](spark, SF001)
+def test_matches_oracle(built, con, key):
+    sdf = built(key)
     cols = sorted(sdf.columns)
     got = sorted(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
     cur = con.execute(registry.oracle_sql()[key])
