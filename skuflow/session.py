@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -59,3 +61,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="skuflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+#: Rows of a fact table that one task of a shuffle gets: their sort stays far below a task's memory.
+ROWS_PER_TASK = 250_000
+
+
+def shuffle_width(spark: SparkSession, rows: int) -> int:
+    """Shuffle partitions for a table of ``rows`` rows: those configured, more if tasks grew beyond ROWS_PER_TASK."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is run inside shuffles into ``shuffle_width`` partitions, so that tasks do not grow with the input and spill."""
+    key = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(key)
+    spark.conf.set(key, str(shuffle_width(spark, rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, configured)
+
+
+def dealt(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt by ``key``; a number of partitions is set only where the configured one is too low."""
+    width = shuffle_width(df.sparkSession, rows)
+    return df.repartition(width, key) if width > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(key)

@@ -45,7 +45,7 @@ SCALARS = {
 
 
 def record_stats(m: "Model") -> dict:
-    """Compute every entry of SCALARS with one small job per table."""
+    """Compute every entry of SCALARS, and the number of lines, with one small job per table."""
     o = m.orders.agg(F.max("order_date").alias("mx"), F.min("order_date").alias("mn")).first()
     d = _delivered_dates(m).agg(F.max("order_date").alias("mx"), F.min("order_date").alias("mn")).first()
     p = m.purchase_orders.agg(F.max("order_date").alias("mx"), F.min("order_date").alias("mn")).first()
@@ -54,7 +54,8 @@ def record_stats(m: "Model") -> dict:
     lows = [x for x in (o["mn"], p["mn"]) if x is not None]
     return {"max_order_date": o["mx"], "min_order_date": o["mn"], "max_delivered_date": d["mx"],
             "min_delivered_date": d["mn"], "max_any_date": max(dates) if dates else None,
-            "min_any_date": min(lows) if lows else None, "warehouse_count": w}
+            "min_any_date": min(lows) if lows else None, "warehouse_count": w,
+            "line_count": m.order_lines.count()}
 
 
 @dataclass(frozen=True)

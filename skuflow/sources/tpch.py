@@ -127,24 +127,28 @@ def _orders(src: dict[str, DataFrame]) -> DataFrame:
 LINES_PER_ORDER = 1 << 20
 
 
-def _lines(src: dict[str, DataFrame]) -> DataFrame:
-    """One row per lineitem with a stable line id.  The window's partitions are
-    single orders (a handful of rows), so it never concentrates data."""
-    w_line = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
-    number = F.row_number().over(w_line)
-    return src["lineitem"].select(
-        (F.col("l_orderkey") * LINES_PER_ORDER
+def _lines(src: dict[str, DataFrame], parts: DataFrame | None = None) -> DataFrame:
+    """One row per lineitem with a stable line id, and the columns of ``parts`` if it is given.
+
+    The window's partitions are single orders (a handful of rows), so it never concentrates data.
+    Columns get their names first and are derived last: the lines are dealt with nothing twice, by
+    the same order_id that they are joined by afterwards.
+    """
+    lines = src["lineitem"].select(
+        F.col("l_orderkey").cast("long").alias("order_id"), F.col("l_partkey").cast("long").alias("product_id"),
+        F.col("l_suppkey").cast("long").alias("supplier_id"), "l_linenumber", F.col("l_quantity").cast("int").alias("quantity"),
+        "l_extendedprice", F.expr("CAST(round(100 * l_discount) AS BIGINT)").alias("discount_pct"),
+        F.round(F.col("l_tax") * 100).cast("int").alias("tax_pct"), "l_shipdate")
+    if parts is not None:
+        lines = lines.join(parts, "product_id", "left")
+    w_line = Window.partitionBy("order_id").orderBy("l_linenumber", "product_id", "supplier_id", "l_extendedprice", "l_shipdate")
+    number = F.col("number")
+    return lines.withColumn("number", F.row_number().over(w_line)).select(
+        (F.col("order_id") * LINES_PER_ORDER
          + F.when(number < LINES_PER_ORDER, number).otherwise(F.raise_error(F.lit("an order has too many lines for its ids")))).cast("long").alias("line_id"),
-        F.col("l_orderkey").cast("long").alias("order_id"),
-        F.col("l_partkey").cast("long").alias("product_id"),
-        F.col("l_suppkey").cast("long").alias("supplier_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.expr("(CAST(round(100 * l_extendedprice) AS BIGINT) * (100 - CAST(round(100 * l_discount) AS BIGINT)))"
-               " div (100 * CAST(l_quantity AS INT))").alias("price_cents"),
-        F.to_date("l_shipdate").alias("ship_date"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("tax_pct"),
-    )
+        "order_id", "product_id", "supplier_id", "quantity",
+        F.expr("(CAST(round(100 * l_extendedprice) AS BIGINT) * (100 - discount_pct)) div (100 * quantity)").alias("price_cents"),
+        F.to_date("l_shipdate").alias("ship_date"), "tax_pct", *([] if parts is None else ["unit_cost_cents", "product_category"]))
 
 
 def _unit_cost_cents():
@@ -160,16 +164,17 @@ def _part_facts(src: dict[str, DataFrame]) -> DataFrame:
 def _wide_lines(src: dict[str, DataFrame], orders: DataFrame) -> DataFrame:
     """Each line once with all that any of its tables needs: the order header and the product's cost and category.
 
-    The numbering has dealt the lines by order already, so the join with the orders moves only
-    those. Lines without an order keep empty headers (known_order is false).
+    The product comes first, while the lines are narrow. The numbering then deals them by order,
+    so the join with the orders moves only those. Lines without an order keep empty headers
+    (known_order is false).
     """
     header = orders.withColumn("known_order", F.lit(True))
-    return (_lines(src).join(header, "order_id", "left").join(_part_facts(src), "product_id", "left")
+    return (_lines(src, _part_facts(src)).join(header, "order_id", "left")
             .withColumn("known_order", F.coalesce("known_order", F.lit(False))))
 
 
 def _line_facts(lines: DataFrame) -> DataFrame:
-    """The sales fact as a part of the loaded lines (known_order is their partition column)."""
+    """The sales fact as a part of the loaded lines (those with a known order)."""
     return lines.where("known_order").withColumnRenamed("line_id", "order_line_id").select(*LINE_FACT_COLUMNS)
 
 
@@ -191,13 +196,15 @@ def _purchase_orders(lines: DataFrame, max_ship) -> DataFrame:
 
 
 def _pair_units(src: dict[str, DataFrame]) -> DataFrame:
-    """Units per (part, supplier) once; product and supplier attributes roll up from it.
+    """Units per (part, supplier); product and supplier attributes roll up from it.
 
-    Aggregates the raw lineitem directly (partial aggregation, no line ids
-    needed), so it does not wait for the line stage."""
-    return (src["lineitem"].groupBy(F.col("l_partkey").cast("long").alias("product_id"),
-                                    F.col("l_suppkey").cast("long").alias("supplier_id"))
-            .agg(F.sum(F.col("l_quantity").cast("int")).cast("long").alias("units")))
+    Nearly every line is a pair of its own, so pairs are as many as lines. They are dealt by product
+    alone: all that follows by product moves nothing more, and they are not written.
+    """
+    return (src["lineitem"].select(F.col("l_partkey").cast("long").alias("product_id"), F.col("l_suppkey").cast("long").alias("supplier_id"),
+                                   F.col("l_quantity").cast("int").alias("quantity"))
+            .repartition("product_id")
+            .groupBy("product_id", "supplier_id").agg(F.sum("quantity").cast("long").alias("units")))
 
 
 def _suppliers(src: dict[str, DataFrame], pair_units: DataFrame) -> DataFrame:
@@ -292,11 +299,10 @@ def _inventory(products: DataFrame, warehouses: DataFrame, orders: DataFrame) ->
 # order lines, purchase orders and the sales fact are projections of them.
 PHASES = (
     (("warehouses", lambda src, t: _warehouses(src)),
-     ("orders", lambda src, t: _orders(src)),
-     ("pair_units", lambda src, t: _pair_units(src))),
+     ("orders", lambda src, t: _orders(src))),
     (("lines", lambda src, t: _wide_lines(src, t["orders"])),
-     ("suppliers", lambda src, t: _suppliers(src, t["pair_units"])),
-     ("products", lambda src, t: _products(src, t["pair_units"], t["orders"], t["warehouses"]))),
+     ("suppliers", lambda src, t: _suppliers(src, _pair_units(src))),
+     ("products", lambda src, t: _products(src, _pair_units(src), t["orders"], t["warehouses"]))),
     (("inventory", lambda src, t: _inventory(t["products"], t["warehouses"], t["orders"])),),
 )
 
