@@ -218,24 +218,24 @@ def key_resolution(star: Star, keys: dict[str, DataFrame] | None = None) -> Data
     """
     t = star.tables() | (keys or {})
     spark = star.fact_sales.sparkSession
-    rel_name = {rel: f"{rel[0]}.{rel[1]} resolves" for rel in RELATIONSHIPS}
+    number = {rel: i for i, rel in enumerate(RELATIONSHIPS)}          # a hash table of numbers, not of names
     fact_keys = []
     for fact in dict.fromkeys(r[0] for r in RELATIONSHIPS):
-        pairs = [F.struct(F.lit(rel_name[r]).alias("check"), F.col(r[1]).cast("long").alias("k"))
+        pairs = [F.struct(F.lit(number[r]).alias("i"), F.col(r[1]).cast("long").alias("k"))
                  for r in RELATIONSHIPS if r[0] == fact]
         fact_keys.append(t[fact].select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
                          .filter(F.col("k").isNotNull()).distinct())
     # each dimension is read once; its key is tagged for every relation that uses it
     dim_keys = []
     for dim in dict.fromkeys(r[2] for r in RELATIONSHIPS):
-        tags = [F.struct(F.lit(rel_name[r]).alias("check"), F.col(r[3]).cast("long").alias("k"))
+        tags = [F.struct(F.lit(number[r]).alias("i"), F.col(r[3]).cast("long").alias("k"))
                 for r in RELATIONSHIPS if r[2] == dim]
         dim_keys.append(t[dim].select(F.explode(F.array(*tags)).alias("p")).select("p.*"))
     orphans = (reduce(DataFrame.unionByName, fact_keys)
-               .join(reduce(DataFrame.unionByName, dim_keys), ["check", "k"], "left_anti")
-               .groupBy("check").agg(F.count(F.lit(1)).alias("n")))
-    names = spark.createDataFrame([(rel_name[r], i) for i, r in enumerate(RELATIONSHIPS)], "check string, i int")
-    return (names.join(orphans, "check", "left")
+               .join(reduce(DataFrame.unionByName, dim_keys), ["i", "k"], "left_anti")
+               .groupBy("i").agg(F.count(F.lit(1)).alias("n")))
+    names = spark.createDataFrame([(f"{r[0]}.{r[1]} resolves", i) for r, i in number.items()], "check string, i int")
+    return (names.join(orphans, "i", "left")
             .select("check", (F.coalesce("n", F.lit(0)) == 0).alias("passed"),
                     F.format_string("%d unresolved keys", F.coalesce("n", F.lit(0))).alias("detail")))
 
