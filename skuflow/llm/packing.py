@@ -37,6 +37,13 @@ SEQUENCE_TOKENS = 4096
 #: Cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n (a model of width about 4096).
 LINEAR, QUADRATIC = 24576.0, 1.0
 PACK_TOKENS = 1 << 21
+#: Pieces that a task gives back at a time.
+BATCH = 512
+
+
+def sequences(total: int, capacity: int) -> int:
+    """Sequences of a run of ``total`` tokens: whole ones, and one for each power of two in the rest."""
+    return total // capacity + (total % capacity).bit_count()
 
 
 def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int]]:
@@ -74,7 +81,8 @@ def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -
     return out
 
 
-def _pack(run: list[tuple[int | None, np.ndarray]], base: int, capacity: int, linear: float, quadratic: float):
+def _pack(run: list[tuple[int | None, np.ndarray]], base: int, capacity: int, linear: float, quadratic: float) -> Iterator[pa.RecordBatch]:
+    """The pieces of one run by sequence, in batches of at most ``BATCH``; sequences are numbered from ``base`` on."""
     pieces = assign([len(ids) for _, ids in run], capacity, linear, quadratic)
     used: dict[int, int] = {}
     cost: dict[int, float] = {}
@@ -82,16 +90,18 @@ def _pack(run: list[tuple[int | None, np.ndarray]], base: int, capacity: int, li
         used[s] = used.get(s, 0) + n
         cost[s] = cost.get(s, 0.0) + linear * n + quadratic * n * n
     at = dict.fromkeys(used, 0)
-    columns: list[list] = [[] for _ in range(9)]
-    for k, start, n, s in sorted(pieces, key=lambda p: (p[3], p[0], p[1])):
-        doc_id, ids = run[k]
-        for column, value in zip(columns, (doc_id, start, n, len(ids), base + s, at[s], used[s], cost[s],
-                                           ids[start:start + n].tobytes())):
-            column.append(value)
-        at[s] += n
+    pieces.sort(key=lambda p: (p[3], p[0], p[1]))
     types = [pa.int64()] * 7 + [pa.float64(), pa.binary()]
     names = [c.split()[0] for c in SCHEMA.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names), len(used)
+    for i in range(0, len(pieces), BATCH):
+        columns: list[list] = [[] for _ in range(9)]
+        for k, start, n, s in pieces[i:i + BATCH]:
+            doc_id, ids = run[k]
+            for column, value in zip(columns, (doc_id, start, n, len(ids), base + s, at[s], used[s], cost[s],
+                                               ids[start:start + n].tobytes())):
+                column.append(value)
+            at[s] += n
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = SEQUENCE_TOKENS, linear: float = LINEAR,
@@ -111,11 +121,9 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = SEQUENCE_TOKENS, line
                 held += [(doc_ids[lo + i], ids[begin[i]:begin[i + 1]]) for i in range(hi - lo)]
                 size += len(ids)
                 if size >= pack_tokens:
-                    made, n = _pack(held, base, capacity, linear, quadratic)
-                    yield made
-                    base, held, size = base + n, [], 0
-        if held:
-            yield _pack(held, base, capacity, linear, quadratic)[0]
+                    yield from _pack(held, base, capacity, linear, quadratic)
+                    base, held, size = base + sequences(size, capacity), [], 0
+        yield from _pack(held, base, capacity, linear, quadratic)
         release()
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)

@@ -6,6 +6,7 @@ import collections
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -252,6 +253,55 @@ def test_block_lookups_equal_whole_texts(texts):
         assert got == whole_ids(texts + odd)
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 64, 1000])
+def test_chunks_equal_whole_texts(texts, chunk):
+    odd = ["", "a" * 100, " \n\t  ", "", "Ünïcödé" * 30 + " x", "b c\rd \x0be", "don't <b>x</b> " * 9, "", " y"]
+    encode = tokens.TextEncoder(tokens.vocabulary())
+    for lo, hi, data, offsets in text_blocks(pa.array(odd + texts + odd), 1 << 14):
+        cuts = list(tokens.chunks(data, offsets, chunk))
+        assert [a for a, _ in cuts] == [0, *(b for _, b in cuts)][:len(cuts)] and (not cuts or cuts[-1][1] == len(data))
+        assert all(b in offsets or data[b] in b" \t\n\x0b\x0c\r" for _, b in cuts)
+        assert all(b - a <= chunk or not set(data[a + 1:a + chunk + 1].tobytes()) & set(b" \t\n\x0b\x0c\r") for a, b in cuts)
+        ids, begin = encode.block(data, offsets, chunk=chunk)
+        assert [ids[begin[i]:begin[i + 1]].tolist() for i in range(hi - lo)] == whole_ids((odd + texts + odd)[lo:hi])
+
+
+def test_a_blocks_memory_does_not_grow_with_its_text():
+    """Arrays for 8 MB of text, one document and then many: 3 million ids take 4 bytes each, other arrays go by chunk."""
+    rng = random.Random(4)
+    some = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 5))) for _ in range(20000)) for _ in range(3)]
+    encode = tokens.TextEncoder(tokens.vocabulary())
+    for rows in ([" ".join(some * 8 * 4)], some * 8 * 4):
+        (lo, hi, data, offsets), = text_blocks(pa.array(rows), 1 << 24)
+        encode.block(data[:len(some[0])], np.array([0, len(some[0])]))
+        tracemalloc.start()
+        try:
+            encode.block(data, offsets)
+            assert tracemalloc.get_traced_memory()[1] < 12 * len(data)
+        finally:
+            tracemalloc.stop()
+
+
+def test_table_of_pieces_is_bounded_in_ids():
+    encode = tokens.TextEncoder(tokens.vocabulary(), table_size=20)
+    texts = ["a b", "".join(f"{i}!" for i in range(3000)), "c d"]
+    for lo, hi, data, offsets in text_blocks(pa.array(texts), 1):
+        ids, _ = encode.block(data, offsets)
+        assert ids.tolist() == whole_ids(texts[lo:hi])[0]
+        assert len(encode.keys) <= 20 and len(encode.ids) <= 20 * tokens.TABLE_IDS
+    assert len(encode.keys) == 4 and (encode.keys[1:] >= encode.keys[:-1]).all()
+
+
+def test_pieces_are_given_back_in_small_batches():
+    run = [(i, np.arange(n, dtype="<u4")) for i, n in enumerate([5, 300, 64, 1, 70] * 400)]
+    made = list(packing._pack(run, 7, 64, 1.0, 1.0))
+    assert len(made) > 1 and all(b.num_rows <= packing.BATCH for b in made)
+    rows = pa.Table.from_batches(made).to_pylist()
+    assert len({r["sequence_id"] for r in rows}) == packing.sequences(440 * 400, 64)
+    assert sum(r["length"] for r in rows) == 440 * 400 and {r["sequence_id"] for r in rows} == set(range(7, 7 + packing.sequences(440 * 400, 64)))
+    assert [(r["sequence_id"], r["offset"]) for r in rows] == sorted((r["sequence_id"], r["offset"]) for r in rows)
+
+
 def test_orc_round_trip(spark, docs, nothing, texts):
     path = f"{scratch_dir(spark)}/orc-test-{random.random()}"
     orcids.write(docs, path, tokens.vocabulary(), index_stride=1000)
