@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+import time
 from collections import Counter
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from skuflow.operators import questions
 from skuflow.plans import loads, publish, star
+from skuflow.sources import rejects
 from skuflow.sources.rejects import LoadStopped, load_with_rejects
 from skuflow.sources.schemas import DOLLAR_COLUMNS, LOAD_ORDER, MODEL_SCHEMAS
 
@@ -108,6 +110,71 @@ def test_report_of_a_faulty_load(model):
     assert got["warehouses", "loaded"] == 5
 
 
+LATE = {
+    "products": ["7,SKU-7,cat,1.00,2.00,1,10,5,", "7,SKU-8,cat,1.00,2.00,1,10,5,",      # the second goes, so SKU-8 is on one row only
+                 "8,SKU-8,cat,1.00,2.00,1,10,5,"],
+    "order_lines": ["8,1,1,2,1.99", "8,77,1,1,1.00",                                    # an orphan repeats no key
+                    "9,1,1,2,1.99", "9,1,1,2,1.99", "9,1,1,2,1.99", "9,1,1,3,1.99",     # of equal rows one stays
+                    "10,78,1,0,1.00"],
+}
+
+
+@pytest.mark.parametrize("bits", [6, rejects.KEY_BITS])
+def test_rows_are_judged_alike_however_full_the_bitmap_is(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(rejects, "KEY_BITS", bits)
+    (tmp_path / "in").mkdir()
+    load = load_with_rejects(spark, files(tmp_path / "in", **LATE), str(tmp_path / "out"))
+    assert Counter((r["line"], tuple(r["reasons"])) for r in load.rejects.collect()) == {
+        (LATE["products"][1], ("repeats product_id",)): 1,
+        (LATE["order_lines"][1], ("order_id is not in orders",)): 1,
+        (LATE["order_lines"][2], ("repeats order_line_id",)): 2, (LATE["order_lines"][5], ("repeats order_line_id",)): 1,
+        (LATE["order_lines"][6], ("breaks quantity > 0", "order_id is not in orders")): 1,
+    }
+    assert all("/in/" in r["file"] for r in load.rejects.select("file").collect())
+    assert sorted(r["product_id"] for r in load.model.products.collect()) == [1, 2, 7, 8]
+    assert sorted(r["order_line_id"] for r in load.model.order_lines.collect()) == [1, 2, 8, 9]
+
+
+def test_only_rows_of_keys_at_fault_are_moved(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows, keys = spark.range(1000).withColumnRenamed("id", "k"), spark.range(3, 5).withColumnRenamed("id", "at_fault")
+        marked = rejects._marked(rows, [(("k",), keys)])
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning(k" not in plan
+        assert {3, 4} <= {r["k"] for r in marked.where("__late").collect()} and marked.where("not __late").count() > 900
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_a_load_leaves_neither_shuffles_nor_copies_of_rows(spark, tmp_path):
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {x for x in found.split("\n") if "/shuffle_" in x}
+
+    (tmp_path / "in").mkdir()
+    path, before, configured = files(tmp_path / "in", **BAD), shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    load_with_rejects(spark, path, str(tmp_path / "out"))
+    until = time.time() + 20                                             # executors delete them when they are told
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == configured
+    assert not any(glob.glob(f"{tmp_path}/out/keys/*"))
+    rows = spark.read.parquet(*glob.glob(f"{tmp_path}/out/rows/*"))      # good rows are written once and without their text
+    assert rows.count() == sum(len(GOOD[t]) + len(BAD.get(t, [])) for t in LOAD_ORDER)
+    assert rows.where("__line is not null").count() == sum(map(len, BAD.values())) + 3      # three good ones have a key that another repeats
+
+
+def test_faulty_files_are_packed(spark, model, tmp_path):
+    loads.faulty_files(model, str(tmp_path))
+    for table in ("orders", "order_lines"):
+        size = sum(os.path.getsize(x) for x in glob.glob(f"{tmp_path}/{table}.csv/part-*"))
+        lines = spark.read.text(f"{tmp_path}/{table}.csv")
+        assert lines.count() >= model.table(table).count() and size < lines.agg(F.sum(F.length("value") + 1)).first()[0] / 2
+
+
 @pytest.fixture(scope="module")
 def frozen(model):
     return star.freeze_dimensions(star.build_star(model))
